@@ -9,6 +9,7 @@ from . import corpora
 _PLAIN = "line"
 for _pattern, _to in (
     (r"<!--\s*[^-]*-->", ""),
+    (r"<ref[^>]*\/>", ""),
     (r'<ref\s*name="([^"]*)"\s*\/?>[^<]*(<\/ref>)?', ""),
     (r"<ref[^\/]*\/>|<ref[^>]*>[^<]*<\/ref>", ""),
     (r"\[\[Category:([^\]]*)\]\]", r"\1"),
@@ -195,6 +196,8 @@ _FIELDS = "id, title, redirect_title, sha1, text"
 _FINAL = {
     # 2.1 sources and sinks
     "load_dump": "SELECT raw FROM w_raw",
+    "load_dump_offsets": """SELECT TRY_CAST(regexp_extract(raw, '(?s)<id>(.*?)</id>', 1) AS BIGINT) AS id,
+        CAST(strlen(raw) AS INTEGER) AS n_bytes, true AS placed FROM w_raw""",
     "load_tag_records": "SELECT '<title>' || title || '</title>' AS raw FROM w_fields",
     "multi_path_scan": f"SELECT raw FROM w_raw UNION ALL ({corpora.HTML_DUMP})",
     "export_tsv": "SELECT word || ' ' || id || chr(9) || tf AS value FROM d_postings",

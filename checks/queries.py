@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import pagequill as pq
 from pagequill.functions import fixed, text as tx
-from pagequill.operators import lines, pages as pg, ranking as rk, titles as tl, words as wd
+from pagequill.operators import ranking as rk, words as wd
 from pagequill.sources.scratch import scratch_path
 from pagequill.sources.tables import spread
 
@@ -64,16 +64,12 @@ def written_dump(rows: DataFrame, name: str) -> str:
 
 
 def dump_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return pq.page_fields(spread_rows(dump_rows(spark, sf)))
-
-
-def spread_rows(df: DataFrame) -> DataFrame:
-    return spread(df)
+    return pq.page_fields(spread(dump_rows(spark, sf)))
 
 
 def indexed(spark: SparkSession, sf: str) -> DataFrame:
     """Indexed pages of the dump."""
-    return pq.indexed_pages(spread_rows(dump_rows(spark, sf)))
+    return pq.indexed_pages(spread(dump_rows(spark, sf)))
 
 
 def markup_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +123,7 @@ def dump_index(spark: SparkSession, sf: str) -> tuple[pq.Index, DataFrame]:
         spark,
         sf,
         "dump",
-        lambda p: pq.index_dump(spark, written_dump(spread_rows(dump_rows(spark, sf)), "dump-files"), p),
+        lambda p: pq.index_dump(spark, written_dump(spread(dump_rows(spark, sf)), "dump-files"), p),
     )
     return pq.load_index(spark, path), pq.load_pages(spark, path)
 
@@ -161,8 +157,17 @@ def load_dump(spark, sf):
 
 @query
 def load_dump_offsets(spark, sf):
+    # A record must start its file or come right behind the line break after another one.
     found = pq.load_dump_offsets(spark, written_dump(dump_rows(spark, sf), "dump-files"))
-    return pq.page_fields(found).select("id", "title", "offset")
+    n_bytes = F.octet_length("raw")
+    behind = found.select(
+        "path", (F.col("offset") + n_bytes + 1).alias("offset"), F.lit(True).alias("behind")
+    )
+    return found.join(behind, ["path", "offset"], "left").select(
+        tx.tag_slice_first("raw", fixed.ID_OPEN, fixed.ID_CLOSE).try_cast("bigint").alias("id"),
+        n_bytes.alias("n_bytes"),
+        F.coalesce("behind", F.col("offset") == 0).alias("placed"),
+    )
 
 
 @query
