@@ -31,6 +31,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")
         .getOrCreate()
     )
 
@@ -56,12 +57,12 @@ def main() -> None:
         "page_word_count": lambda: run(pq.page_word_count(docs)),
         "page_max_word_count": lambda: run(pq.page_max_word_count(docs)),
         "inverted_index": lambda: run(pq.inverted_index(docs)),
-        "posting_lists": lambda: run(wd.posting_lines(pq.posting_lists(pq.inverted_index(docs)))),
         "load_dump": lambda: run(pq.page_fields(pq.load_dump(spark, dump))),
         "load_dump_offsets": lambda: run(pq.page_fields(pq.load_dump_offsets(spark, dump))),
         "visible_lines": lambda: run(pq.visible_lines(q.markup_pages(spark, sf))),
         "clean_text": lambda: run(q.indexed(spark, sf)),
         "build_index": lambda: pq.write_index(docs, path),
+        "posting_lists": lambda: run(wd.posting_lines(pq.posting_lists(indexed().postings))),
         "search": lambda: pq.search("10 the heat tion", indexed()).collect(),
         "search_again": lambda: pq.search("-10 of and the ing", indexed()).collect(),
         "search_batch": lambda: run(pq.search_batch(q.text_requests(spark, sf), indexed())),

@@ -57,7 +57,8 @@ TEXT_REQUESTS = """
 SELECT 2 * item_id + copy AS request_id,
     CASE WHEN item_id % 2 = 0 THEN '-' ELSE '' END || CAST(3 + item_id % 10 - 2 * copy AS varchar(20))
     || ' ' || replace(text, chr(10), ' ') AS msg
-FROM benchmark CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) c
+FROM (SELECT item_id, text, 0 AS copy FROM benchmark
+      UNION ALL SELECT item_id, text, 1 AS copy FROM benchmark) c
 """
 
 #: Requests that begin titles of the dump.

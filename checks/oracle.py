@@ -240,11 +240,11 @@ _FINAL = {
     "inverted_index": "SELECT word, id, tf FROM d_postings",
     "document_frequency": "SELECT word, df FROM d_df",
     "posting_lists": """
-        SELECT word, CASE WHEN df <= 100 THEN '' ELSE left(CAST(id AS VARCHAR), greatest(longest - 1, 1)) END
+        SELECT word, CASE WHEN df <= 100 THEN '' ELSE left(CAST(id AS VARCHAR), greatest(digits - 1, 1)) END
             AS part,
           word || ' ' || string_agg(id || ' ' || tf, ' ' ORDER BY CAST(id AS VARCHAR)) AS line
-        FROM d_postings JOIN d_df USING (word), (SELECT max(length(CAST(id AS VARCHAR))) AS longest
-          FROM d_postings) GROUP BY 1, 2""",
+        FROM d_postings JOIN (SELECT word, count(*) AS df, max(length(CAST(id AS VARCHAR))) AS digits
+          FROM d_postings GROUP BY word) USING (word) GROUP BY 1, 2""",
     "page_directory": "SELECT id, title, title_norm FROM w_directory",
     "title_list": "SELECT DISTINCT title FROM p_titles",
     "duplicate_titles": "SELECT title, count(*) AS n FROM p_titles GROUP BY title HAVING count(*) > 1",

@@ -37,11 +37,16 @@ def query_terms(parsed: DataFrame) -> DataFrame:
     return parsed.select("request_id", F.posexplode(rq.split_terms("words")).alias("pos", "word"))
 
 
+def counted_terms(parsed: DataFrame) -> DataFrame:
+    """Adds ``terms``, the distinct words of a request as ``(word, tf)``."""
+    return with_counts(parsed, rq.split_terms("words"), "terms")
+
+
 def distinct_terms(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(request_id, *keep, word, repeats)``."""
-    counted = with_counts(parsed, rq.split_terms("words"), "_terms")
+    counted = parsed if "terms" in parsed.columns else counted_terms(parsed)
     return (
-        counted.select("request_id", *keep, F.inline_outer("_terms"))
+        counted.select("request_id", *keep, F.inline_outer("terms"))
         .where(F.col("word").isNotNull())
         .withColumnRenamed("tf", "repeats")
     )
@@ -73,9 +78,11 @@ def terms_by_df(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
     )
 
 
-def term_lookup(terms: DataFrame, postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def term_lookup(
+    terms: DataFrame | KeySide, postings: DataFrame, vocabulary: DataFrame
+) -> DataFrame:
     """One row per request term and page with the word: the term's columns and the posting's."""
-    side = key_side(terms, "word")
+    side = terms if isinstance(terms, KeySide) else key_side(terms, "word")
     # The vocabulary has one row per word, so the weighted terms are no more than the terms.
     return join_on_key(postings, side.same_size(weighted_terms(side, vocabulary)), "word")
 
@@ -130,7 +137,7 @@ def rank_order() -> list[Column]:
 
 def rank_pages(scored: DataFrame, k: int) -> DataFrame:
     """The first ``k`` scored pages of each request, with their ``rank``."""
-    return top_per_group(scored, "request_id", rank_order(), F.lit(k), k, "rank").select(
+    return top_per_group(scored, ["request_id"], rank_order(), F.lit(k), k, "rank").select(
         "request_id", "rank", "id", "times", "ln_score"
     )
 
@@ -140,6 +147,23 @@ def redirect_resolve(scored: DataFrame, page_targets: DataFrame) -> DataFrame:
     return scored.join(page_targets, "id")
 
 
+def cut_hits(hits: DataFrame, max_k: int) -> DataFrame:
+    """The hits that can be among the first ``max_k`` results of their request.
+
+    A page that is hit directly is one result, so of those the first ``max_k`` are enough.
+    Hits by redirect are cut per target, as many of them may stand for the same result. Rows
+    are cut before the shuffle, so neither a frequent word nor a popular target gathers all
+    of its hits in one task.
+    """
+    by_redirect = hits.withColumn(
+        "_target", F.when(F.col("result_id") != F.col("id"), F.col("result_id"))
+    )
+    cut = top_per_group(
+        by_redirect, ["request_id", "_target"], rank_order(), F.lit(max_k), max_k, "_rank"
+    )
+    return cut.drop("_target", "_rank")
+
+
 def body_places(hits: DataFrame) -> DataFrame:
     """Hits ``(request_id, result_id, times, ln_score, id)`` as ``(request_id, id, place)``.
 
@@ -180,7 +204,7 @@ def top_k(places: DataFrame, k: Column, max_k: int) -> DataFrame:
     A request without a body hit has no results. ``k`` may be a column; ``max_k`` is its
     largest value.
     """
-    ranked = top_per_group(places, "request_id", [F.asc("place")], k, max_k, "rank")
+    ranked = top_per_group(places, ["request_id"], [F.asc("place")], k, max_k, "rank")
     best = F.min("place.source").over(Window.partitionBy("request_id"))
     return (
         ranked.withColumn("best_source", best)

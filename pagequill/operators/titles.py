@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import title_normalise
-from ..sizing import is_small, join_on_key, key_side
+from ..sizing import held, is_small, join_on_key, key_side
 from .toplist import top_per_group
 
 #: Most prefixes that are written into a scan filter.
@@ -87,7 +87,7 @@ def title_prefix_search(
     hits = parts.join(wanted, "prefix", "left_semi").withColumn("id_text", F.col("id").cast("string"))
     # An id may be there with several titles: the rank counts ids, not rows.
     return top_per_group(
-        hits, "prefix", [F.col("id_text")], F.lit(max_k), max_k, "title_rank", distinct_order=True
+        hits, ["prefix"], [F.col("id_text")], F.lit(max_k), max_k, "title_rank", distinct_order=True
     ).select("prefix", "id", "title_rank")
 
 
@@ -118,7 +118,7 @@ def page_targets(
 
 def fetch_pages(results: DataFrame, pages: DataFrame) -> DataFrame:
     """Page records of ``results(request_id, rank, id)``, in the order of the ranks."""
-    ranked = results.select("request_id", "rank", "id")
+    ranked, _ = held(results.select("request_id", "rank", "id"), "results")
     return join_on_key(pages, key_side(ranked, "id"), "id").select(
         "request_id", "rank", "id", *[c for c in pages.columns if c != "id"]
     ).orderBy("request_id", "rank")

@@ -12,7 +12,7 @@ SALTS = 64
 
 def top_per_group(
     df: DataFrame,
-    group: str,
+    group: list[str],
     order: list[Column],
     k: Column,
     max_k: int,
@@ -29,12 +29,12 @@ def top_per_group(
     number = F.dense_rank if distinct_order else F.row_number
     if max_k > CUT_BEFORE_SHUFFLE:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        piece = Window.partitionBy(group, "_salt").orderBy(*order)
+        piece = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (
             salted.withColumn("_rank", number().over(piece))
             .where(F.col("_rank") <= max_k)
             .drop("_rank", "_salt")
         )
-    whole = Window.partitionBy(group).orderBy(*order)
+    whole = Window.partitionBy(*group).orderBy(*order)
     out = df.withColumn(rank, number().over(whole)).where(F.col(rank) <= max_k).where(F.col(rank) <= k)
-    return out.dropDuplicates([group, rank]) if distinct_order else out
+    return out.dropDuplicates([*group, rank]) if distinct_order else out

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..sizing import is_small, settle
 
 #: Longest posting list, in pages, that stays in one row.
 LIST_LENGTH = 10_000
@@ -118,19 +119,25 @@ def posting_lists(
     """``(word, part, postings)`` with the ``(id, tf)`` of a word in string order of the ids.
 
     A word on at most ``list_length`` pages is one row with part "". A more frequent word is
-    split by the leading characters of its ids, all but the last ``part_digits`` of the
+    split by the leading characters of its ids, all but the last ``part_digits`` of its
     longest id, so no row holds more than ``11…1`` (``part_digits + 1`` ones) entries however
     frequent the word is. Parts of a word sort in the order of their ids.
     """
-    longest = postings.agg(F.max(F.length(F.col("id").cast("string")))).first()[0] or 0
-    frequent = document_frequency(postings).where(F.col("df") > list_length)
-    prefix = F.substring(F.col("id").cast("string"), 1, max(longest - part_digits, 1))
-    entry = F.struct(F.col("id").cast("string").alias("s"), "id", "tf")
+    id_text = F.col("id").cast("string")
+    frequent, rows = settle(
+        postings.groupBy("word")
+        .agg(F.count("*").alias("df"), F.max(F.length(id_text)).alias("digits"))
+        .where(F.col("df") > list_length)
+        .select("word", "digits")
+    )
+    if rows is not None or is_small(frequent):
+        frequent = F.broadcast(frequent)
+    prefix = F.substring(id_text, F.lit(1), F.greatest(F.col("digits") - part_digits, F.lit(1)))
     return (
         postings.join(frequent, "word", "left")
-        .withColumn("part", F.when(F.col("df").isNull(), F.lit("")).otherwise(prefix))
+        .withColumn("part", F.when(F.col("digits").isNull(), F.lit("")).otherwise(prefix))
         .groupBy("word", "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        .agg(F.sort_array(F.collect_list(F.struct(id_text.alias("s"), "id", "tf"))).alias("entries"))
         .select(
             "word",
             "part",

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import title_normalise
 from ..operators import lines, ranking as rk, titles as tl
-from ..sizing import is_small, settle
+from ..sizing import FILTER_ROWS, KeySide, held, is_small
 from ..sources.index_store import Index
+from .prune import first_places
 
 
 def search_batch(requests: DataFrame, index: Index, honour_strategy: bool = False) -> DataFrame:
@@ -23,12 +24,10 @@ def search_batch(requests: DataFrame, index: Index, honour_strategy: bool = Fals
     parsed = _parsed(requests, honour_strategy)
     same = ["words", "strategy"]
     queries = parsed.groupBy(*same).agg(F.min("request_id").alias("request_id"), F.max("k").alias("k"))
-    queries, rows = settle(queries)
-    answers = _answers(queries, rows, index, honour_strategy).withColumnRenamed("request_id", "query_id")
-    names = queries.select(*same, F.col("request_id").alias("query_id"))
+    answers, named, _ = _answers(queries, index, honour_strategy)
     return (
-        parsed.join(names, same)
-        .join(answers, "query_id")
+        parsed.join(named.select(*same, F.col("request_id").alias("query_id")), same)
+        .join(answers.withColumnRenamed("request_id", "query_id"), "query_id")
         .where(F.col("rank") <= F.col("k"))
         .select("request_id", "rank", "id")
     )
@@ -38,8 +37,8 @@ def search(msg: str, index: Index, honour_strategy: bool = False) -> DataFrame:
     """``(rank, id)`` for one request such as ``"10 some words"``, in order."""
     spark = index.postings.sparkSession
     one = spark.range(1).select(F.col("id").alias("request_id"), F.lit(msg).alias("msg"))
-    queries, rows = settle(_parsed(one, honour_strategy))
-    return _answers(queries, rows, index, honour_strategy).select("rank", "id").orderBy("rank")
+    answers, _, max_k = _answers(_parsed(one, honour_strategy), index, honour_strategy)
+    return answers.select("rank", "id").orderBy("rank").limit(max_k)
 
 
 def _parsed(requests: DataFrame, honour_strategy: bool) -> DataFrame:
@@ -48,49 +47,42 @@ def _parsed(requests: DataFrame, honour_strategy: bool) -> DataFrame:
 
 
 def _answers(
-    queries: DataFrame, rows: list | None, index: Index, honour_strategy: bool
-) -> DataFrame:
+    queries: DataFrame, index: Index, honour_strategy: bool
+) -> tuple[DataFrame, DataFrame, int]:
     """``(request_id, rank, id)`` of ``queries(request_id, k, strategy, words)``.
 
-    ``rows`` are the queries themselves if they are few.
+    Also returns the queries, evaluated once, and their largest ``k``.
     """
+    queries = rk.counted_terms(queries).withColumn("prefix", title_normalise("words"))
+    queries, rows = held(queries, "queries")
+    prefixes = words = None
     if rows is not None:
         small = True
         max_k = max((r["k"] for r in rows), default=0)
-        max_length = max((len(r["words"]) for r in rows), default=0)
+        max_length = max((len(r["prefix"]) for r in rows), default=0)
+        prefixes = sorted({r["prefix"] for r in rows})
+        words = sorted({t["word"] for r in rows for t in r["terms"]})
     else:
-        small = is_small(queries)
-        size = queries.agg(F.max("k").alias("k"), F.max(F.length("words")).alias("length")).first()
-        max_k, max_length = size["k"], size["length"]
-    prefixes = queries.select("request_id", "k", title_normalise("words").alias("prefix"))
-    literals = None
-    if rows is not None:
-        literals = sorted({r["prefix"] for r in prefixes.select("prefix").collect()})
-    found = tl.title_prefix_search(prefixes, index.directory, max_k, max_length, small, literals)
-    titles = (
-        (F.broadcast(prefixes) if small else prefixes)
-        .join(found, "prefix")
-        .where(F.col("title_rank") <= F.col("k"))
-    )
-    ks = queries.select("request_id", "k")
-    places = rk.merge_results(
-        rk.body_places(_scored(queries, index, honour_strategy)), rk.title_places(titles)
-    )
-    return rk.top_k(places.join(F.broadcast(ks) if small else ks, "request_id"), F.col("k"), max_k)
+        small = is_small(queries.select("words"))
+        size = queries.agg(F.max("k").alias("k"), F.max(F.length("prefix")).alias("n")).first()
+        max_k, max_length = size["k"], size["n"]
 
+    def hinted(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
 
-def _scored(queries: DataFrame, index: Index, honour_strategy: bool) -> DataFrame:
     terms = rk.distinct_terms(queries, ("strategy",))
-    matches = rk.term_lookup(terms, index.postings, index.vocabulary)
-    # Pages that are never returned have no influence on the others' scores.
-    matches = matches.where(F.col("result_id").isNotNull())
-    parts = "n_words"
-    if honour_strategy:
-        parts = "parts_of_page"
-        matches = matches.withColumn(
-            parts, F.when(F.col("strategy") == 1, F.col("n_words")).otherwise(F.col("max_tf"))
-        )
-    return rk.score(matches, parts)
+    side = KeySide(terms, words if words is not None and len(words) <= FILTER_ROWS else None, small)
+    # The vocabulary has one row per word, so the weighted terms are no more than the terms.
+    weighted, _ = held(rk.weighted_terms(side, index.vocabulary), "terms")
+    ks = hinted(queries.select("request_id", "k"))
+    body = first_places(side.same_size(weighted), index.postings, ks, max_k, honour_strategy)
+
+    wanted = queries.select("request_id", "k", "prefix")
+    found = tl.title_prefix_search(wanted, index.directory, max_k, max_length, small, prefixes)
+    titles = hinted(wanted).join(found, "prefix").where(F.col("title_rank") <= F.col("k"))
+
+    places = rk.merge_results(body, rk.title_places(titles))
+    return rk.top_k(places.join(ks, "request_id"), F.col("k"), max_k), queries, max_k
 
 
 def result_list(results: DataFrame, pages: DataFrame) -> DataFrame:

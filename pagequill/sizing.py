@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sources.scratch import scratch_path
+
 #: Largest table, in rows and in bytes of its strings, that is broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -65,11 +67,22 @@ def join_on_key(big: DataFrame, side: KeySide, key: str, how: str = "inner") ->
 
 
 def settle(df: DataFrame, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | None]:
-    """``df`` as a local table, and its rows, if it has at most ``rows``; else as it is.
-
-    What is derived from a settled table several times does not run its query again.
-    """
+    """``df`` as a local table, and its rows, if it has at most ``rows``; else as it is."""
     found = df.limit(rows + 1).toArrow()
     if found.num_rows > rows:
         return df, None
     return df.sparkSession.createDataFrame(found, schema=df.schema), found.to_pylist()
+
+
+def held(df: DataFrame, name: str) -> tuple[DataFrame, list | None]:
+    """``df`` evaluated once: a local table with its rows if it is short, else a stored table.
+
+    What is derived from it several times does not run its query again, and losing an
+    executor does not either.
+    """
+    df, rows = settle(df)
+    if rows is None:
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        df = df.sparkSession.read.parquet(path)
+    return df, rows

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import pagequill as pq
 from pagequill import sizing
-from pagequill.operators import ranking as rk, titles as tl, toplist
+from pagequill.operators import ranking as rk, toplist
+from pagequill.plans import prune
 
 from .conftest import rows
 
@@ -140,10 +141,47 @@ def test_large_batches_take_the_other_joins(spark, corpora, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("frequent_df, honour", [(2, False), (20, True), (45, False)])
+def test_frequent_words_are_looked_up_later(spark, corpora, monkeypatch, frequent_df, honour):
+    """Requests that find enough pages by their rarer words, and requests that do not."""
+    monkeypatch.setattr(prune, "FREQUENT_DF", frequent_df)
+    messages = MESSAGES + ["1 the heat", "2 of page sun the", "3 wa wb wc the the", "2 x the", "1 zeta the"]
+    requests = spark.createDataFrame(list(enumerate(messages)), REQUEST_SCHEMA)
+    for plain, index, _ in corpora:
+        expected = [plain.search(m, honour) for m in messages]
+        assert answers(pq.search_batch(requests, index, honour), messages) == expected
+
+
+def test_only_pages_with_a_rarer_word_are_looked_up(spark, monkeypatch):
+    """Two pages have both words: those that have only the frequent one are never scored."""
+    monkeypatch.setattr(prune, "FREQUENT_DF", 5)
+    scored = []
+    score = rk.score
+    monkeypatch.setattr(rk, "score", lambda m, p: scored.append(m) or score(m, p))
+    postings = spark.createDataFrame(
+        [("the", i, 1, 100, 1, i) for i in range(50)] + [("sun", i, 1, 100, 1, i) for i in (7, 9)],
+        "word string, id long, tf long, n_words long, max_tf long, result_id long",
+    )
+    terms = spark.createDataFrame(
+        [(r, "the", 1, 50) for r in (0, 1)] + [(r, "sun", 1, 2) for r in (0, 1)],
+        "request_id long, word string, repeats long, df long",
+    )
+    for ks, rounds in (([(0, 2), (1, 1)], 1), ([(0, 2), (1, 4)], 2)):
+        scored.clear()
+        side = sizing.KeySide(terms, ["sun", "the"], True)
+        first = prune.first_places(side, postings, spark.createDataFrame(ks, "request_id long, k int"), 4, False)
+        got = rows(first.select("request_id", "place", "id"))
+        assert [(r, i) for r, _, i in got if r == 0] == [(0, 7), (0, 9)]
+        assert [i for r, _, i in got if r == 1][: ks[1][1]] == [7, 9, 0, 1][: ks[1][1]]
+        assert len(scored) == rounds
+        assert rows(scored[0].select("id").distinct()) == [(7,), (9,)]
+    assert rows(scored[1].select("request_id").distinct()) == [(1,)]
+
+
 def test_few_words_reach_the_scan(corpora):
     _, index, _ = corpora[0]
     plan = pq.search("5 the heat", index)._jdf.queryExecution().toString()
-    assert "PushedFilters: [In(word, [heat,the])" in plan
+    assert re.search(r"PushedFilters: \[[^]]*In\(word, \[heat,the\]\)", plan)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
