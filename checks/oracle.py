@@ -66,8 +66,8 @@ def _words(prefix: str) -> dict[str, str]:
             JOIN {prefix}_df USING (word) JOIN {prefix}_postings USING (word)""",
         f"{prefix}_gain": f"""
             SELECT request_id, id, CAST(sum(repeats) AS BIGINT) AS times, min(df) AS min_df,
-              CAST(sum(repeats * (CAST(round(ln(tf) * 1e12) AS BIGINT) + CASE WHEN df = 1 THEN 0
-                ELSE CAST(round(ln(1::DOUBLE / ln(df)) * 1e12) AS BIGINT) END)) AS BIGINT) AS gain
+              CAST(sum(repeats * (CAST(floor(ln(tf) * 1e12 + 0.5) AS BIGINT) + CASE WHEN df = 1 THEN 0
+                ELSE CAST(floor(ln(1::DOUBLE / ln(df)) * 1e12 + 0.5) AS BIGINT) END)) AS BIGINT) AS gain
             FROM {prefix}_matches GROUP BY request_id, id""",
         f"{prefix}_scored": _scored(prefix, "n_words"),
         f"{prefix}_scored_max": _scored(prefix, "max_tf"),
@@ -77,7 +77,7 @@ def _words(prefix: str) -> dict[str, str]:
 def _scored(prefix: str, parts: str) -> str:
     return f"""
         SELECT request_id, id, times, CASE WHEN min_df = 1 THEN 'Infinity'::DOUBLE ELSE
-          round((gain - CAST(round(ln({parts}) * 1e12) AS BIGINT)) / 1000::DOUBLE) / 1e9 END AS ln_score
+          floor((gain - CAST(floor(ln({parts}) * 1e12 + 0.5) AS BIGINT)) / 1000::DOUBLE + 0.5) / 1e9 END AS ln_score
         FROM {prefix}_gain JOIN {prefix}_stats USING (id)"""
 
 
@@ -268,9 +268,9 @@ _FINAL = {
     "search": """
         SELECT row_number() OVER (ORDER BY times DESC, ln_score DESC, id) AS rank, id FROM (
           SELECT id, count(*) AS times, CASE WHEN min(df) = 1 THEN 'Infinity'::DOUBLE ELSE
-            round((CAST(sum(CAST(round(ln(tf) * 1e12) AS BIGINT)
-              + CAST(round(ln(1::DOUBLE / ln(df)) * 1e12) AS BIGINT)) AS BIGINT)
-              - CAST(round(ln(any_value(n_words)) * 1e12) AS BIGINT)) / 1000::DOUBLE) / 1e9 END AS ln_score
+            floor((CAST(sum(CAST(floor(ln(tf) * 1e12 + 0.5) AS BIGINT)
+              + CAST(floor(ln(1::DOUBLE / ln(df)) * 1e12 + 0.5) AS BIGINT)) AS BIGINT)
+              - CAST(floor(ln(any_value(n_words)) * 1e12 + 0.5) AS BIGINT)) / 1000::DOUBLE + 0.5) / 1e9 END AS ln_score
           FROM d_postings JOIN d_df USING (word) JOIN d_stats USING (id)
           WHERE word IN ('the', 'heat', 'tion') AND n_words >= 100 GROUP BY id)
         QUALIFY rank <= 10""",

@@ -60,13 +60,19 @@ def term_weight(df: Column | str) -> Column:
 
 def log_pico(c: Column) -> Column:
     """Natural logarithm in whole picounits."""
-    return F.round(F.ln(c) * F.lit(_PICO)).cast("bigint")
+    return F.floor(F.ln(c) * F.lit(_PICO) + F.lit(0.5))
+
+
+def log_weight(df: Column | str) -> Column:
+    """Logarithm of :func:`term_weight` in picounits, 0 where the weight is infinite."""
+    c = _col(df)
+    return F.when(c == 1, F.lit(0)).otherwise(log_pico(F.lit(1.0) / F.ln(c)))
 
 
 def weighted_terms(terms: DataFrame | KeySide, vocabulary: DataFrame) -> DataFrame:
-    """Adds ``df`` and ``weight`` to terms; unknown words drop out."""
+    """Adds ``df`` and ``ln_weight`` to terms; unknown words drop out."""
     side = terms if isinstance(terms, KeySide) else key_side(terms, "word")
-    return join_on_key(vocabulary, side, "word").withColumn("weight", term_weight("df"))
+    return join_on_key(vocabulary, side, "word").withColumn("ln_weight", log_weight("df"))
 
 
 def terms_by_df(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -95,10 +101,7 @@ def score(matches: DataFrame, denominator: str = "n_words") -> DataFrame:
     logarithm, rounded to nine digits.
     """
     target = [c for c in ("result_id",) if c in matches.columns]
-    ln_weight = F.when(F.col("df") == 1, F.lit(0)).otherwise(
-        log_pico(F.lit(1.0) / F.ln("df"))
-    )
-    gain = F.col("repeats") * (log_pico(F.col("tf")) + ln_weight)
+    gain = F.col("repeats") * (log_pico(F.col("tf")) + F.col("ln_weight"))
     summed = matches.groupBy("request_id", "id").agg(
         *[F.first(c).alias(c) for c in target],
         F.sum("repeats").alias("times"),
@@ -106,7 +109,8 @@ def score(matches: DataFrame, denominator: str = "n_words") -> DataFrame:
         F.min("df").alias("min_df"),
         F.first(denominator).alias("parts"),
     )
-    finite = F.round((F.col("gain") - log_pico(F.col("parts"))) / F.lit(1000.0)) / F.lit(1e9)
+    nano = F.floor((F.col("gain") - log_pico(F.col("parts"))) / F.lit(1000.0) + F.lit(0.5))
+    finite = nano / F.lit(1e9)
     return summed.select(
         "request_id",
         "id",

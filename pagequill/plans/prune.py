@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking as rk
 from ..operators.toplist import top_per_group
-from ..sizing import KeySide, held, is_small, join_on_key, key_side
+from ..sizing import LOCAL_ROWS, KeySide, held, is_small, join_on_key, key_side
 
 #: Pages from which on a word is frequent.
 FREQUENT_DF = 5_000_000
@@ -44,7 +44,7 @@ def first_places(
     if terms.df.where(F.col("df") >= FREQUENT_DF).isEmpty():
         return places(join_on_key(postings, terms, "word"))
 
-    marked, _ = held(mark_frequent(terms.df), "marked-terms")
+    marked, _ = held(mark_frequent(terms.df), "marked-terms", LOCAL_ROWS)
     rare = key_side(marked.where(~F.col("frequent")), "word")
     frequent = key_side(marked.where(F.col("frequent")), "word")
     found = join_on_key(postings, rare, "word")
@@ -62,9 +62,9 @@ def first_places(
         max_k,
         "rank",
     )
-    first, _ = held(first.select("request_id", "id", "place"), "first-places")
+    first, _ = held(first.select("request_id", "id", "place"), "first-places", LOCAL_ROWS)
 
-    unsure, rows = held(_unsure(first, marked, ks), "unsure-requests")
+    unsure, rows = held(_unsure(first, marked, ks), "unsure-requests", LOCAL_ROWS)
     if rows == []:
         return first
     if rows is not None or is_small(unsure):

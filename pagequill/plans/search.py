@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import title_normalise
 from ..operators import lines, ranking as rk, titles as tl
-from ..sizing import FILTER_ROWS, KeySide, held, is_small
+from ..sizing import FILTER_ROWS, LOCAL_ROWS, KeySide, held, is_small
 from ..sources.index_store import Index
 from .prune import first_places
 
@@ -73,7 +73,7 @@ def _answers(
     terms = rk.distinct_terms(queries, ("strategy",))
     side = KeySide(terms, words if words is not None and len(words) <= FILTER_ROWS else None, small)
     # The vocabulary has one row per word, so the weighted terms are no more than the terms.
-    weighted, _ = held(rk.weighted_terms(side, index.vocabulary), "terms")
+    weighted, _ = held(rk.weighted_terms(side, index.vocabulary), "terms", LOCAL_ROWS)
     ks = hinted(queries.select("request_id", "k"))
     body = first_places(side.same_size(weighted), index.postings, ks, max_k, honour_strategy)
 

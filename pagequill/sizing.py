@@ -14,6 +14,8 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 #: Most rows whose keys are written into a scan filter.
 FILTER_ROWS = 1_000
+#: Most rows of a table of words or numbers that is kept as a local table.
+LOCAL_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -74,15 +76,15 @@ def settle(df: DataFrame, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | No
     return df.sparkSession.createDataFrame(found, schema=df.schema), found.to_pylist()
 
 
-def held(df: DataFrame, name: str) -> tuple[DataFrame, list | None]:
+def held(df: DataFrame, name: str, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | None]:
     """``df`` evaluated once: a local table with its rows if it is short, else a stored table.
 
     What is derived from it several times does not run its query again, and losing an
     executor does not either.
     """
-    df, rows = settle(df)
-    if rows is None:
+    df, found = settle(df, rows)
+    if found is None:
         path = scratch_path(df.sparkSession, name)
         df.write.parquet(path)
         df = df.sparkSession.read.parquet(path)
-    return df, rows
+    return df, found

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import pagequill as pq
 from pagequill import sizing
 from pagequill.operators import ranking as rk, toplist
-from pagequill.plans import prune
+from pagequill.plans import prune, search as search_plan
 
 from .conftest import rows
 
@@ -131,6 +131,8 @@ def test_large_batches_take_the_other_joins(spark, corpora, monkeypatch):
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 2)
     monkeypatch.setattr(sizing.settle, "__defaults__", (2,))
     monkeypatch.setattr(sizing.is_small, "__defaults__", (2, 10))
+    monkeypatch.setattr(search_plan, "LOCAL_ROWS", 2)
+    monkeypatch.setattr(sizing.held, "__defaults__", (2,))
     monkeypatch.setattr(toplist, "CUT_BEFORE_SHUFFLE", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
@@ -165,7 +167,7 @@ def test_only_pages_with_a_rarer_word_are_looked_up(spark, monkeypatch):
     terms = spark.createDataFrame(
         [(r, "the", 1, 50) for r in (0, 1)] + [(r, "sun", 1, 2) for r in (0, 1)],
         "request_id long, word string, repeats long, df long",
-    )
+    ).withColumn("ln_weight", rk.log_weight("df"))
     for ks, rounds in (([(0, 2), (1, 1)], 1), ([(0, 2), (1, 4)], 2)):
         scored.clear()
         side = sizing.KeySide(terms, ["sun", "the"], True)
@@ -239,6 +241,7 @@ def test_long_queries_do_not_lose_precision(spark):
         [(0, f"w{i}", 1, 1000 + i, page, 1 + page, 500) for i in range(2000) for page in (1, 2)],
         "request_id long, word string, repeats long, df long, id long, tf long, n_words long",
     )
+    matches = matches.withColumn("ln_weight", rk.log_weight("df"))
     got = {r["id"]: r["ln_score"] for r in pq.score_by_length(matches).collect()}
     base = -sum(math.log(math.log(1000 + i)) for i in range(2000)) - math.log(500)
     assert got[1] == pytest.approx(base + 2000 * math.log(2), abs=1e-6)
