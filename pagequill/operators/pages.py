@@ -2,26 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as tx
+from ..functions.markup import plain_text
 from .filters import drop_blocked_sha1, drop_empty_text
 from .lines import with_shown_lines
-from ..functions.markup import plain_text
 
 
-def page_fields(raw_pages: DataFrame) -> DataFrame:
-    """Raw records to ``(id, title, redirect_title, sha1, text)``; an offset is kept."""
-    kept = [c for c in ("path", "offset") if c in raw_pages.columns]
-    return raw_pages.select(
-        *kept,
+def field_columns() -> list[Column]:
+    """Fields of a page as columns over ``raw``."""
+    return [
         tx.tag_slice_first("raw", fixed.ID_OPEN, fixed.ID_CLOSE).try_cast("bigint").alias("id"),
         tx.tag_slice_first("raw", fixed.TITLE_OPEN, fixed.TITLE_CLOSE).alias("title"),
         tx.redirect_title("raw").alias("redirect_title"),
         tx.tag_slice_greedy("raw", fixed.SHA1_OPEN, fixed.SHA1_CLOSE).alias("sha1"),
         tx.tag_slice_greedy("raw", fixed.TEXT_OPEN, fixed.TEXT_CLOSE).alias("text"),
-    )
+    ]
+
+
+def directory_columns() -> list[Column]:
+    """Fields that decide on a page's place in the directory; of the text, its first character."""
+    *fields, text = field_columns()
+    return [*fields, F.substring(text, 1, 1).alias("text")]
+
+
+def page_fields(raw_pages: DataFrame) -> DataFrame:
+    """Raw records to ``(id, title, redirect_title, sha1, text)``; an offset is kept."""
+    kept = [c for c in ("path", "offset") if c in raw_pages.columns]
+    return raw_pages.select(*kept, *field_columns())
 
 
 def decoded_text(pages: DataFrame) -> DataFrame:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import indexable_pages
-from ..operators.pages import clean_text, decoded_text, page_fields
-from ..sources.dump import load_dump_offsets
+from ..operators.pages import clean_text, decoded_text, directory_columns, page_fields
+from ..operators.titles import page_directory
+from ..sources.dump import load_dump, load_dump_offsets
 from ..sources.index_store import Index, write_index
+from ..sources.scratch import scratch_path
+from ..sources.tables import store_sorted
 
 
 def indexed_pages(raw_pages: DataFrame, blocked: DataFrame | None = None) -> DataFrame:
@@ -19,15 +22,13 @@ def index_dump(
     spark: SparkSession, paths: str | list[str], out: str, blocked: DataFrame | None = None
 ) -> Index:
     """Index a dump below ``out``: the page store, the directory with offsets, all tables."""
-    raw = load_dump_offsets(spark, paths)
-    pages = indexed_pages(raw, blocked).select(
-        "id", "offset", "title", "redirect_title", "sha1", "text", "content"
-    )
+    # Sorting by range looks at its input twice, so texts are cleaned before, once.
+    cleaned = scratch_path(spark, "cleaned-pages")
+    indexed_pages(load_dump(spark, paths), blocked).write.parquet(cleaned)
     # Sorted by id, so that fetching results reads a few row groups only.
-    pages.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(
-        f"{out}/pages"
-    )
-    return write_index(spark.read.parquet(f"{out}/pages"), out)
+    pages = store_sorted(spark.read.parquet(cleaned), f"{out}/pages", ["id"], unique=False)
+    placed = load_dump_offsets(spark, paths, columns=directory_columns())
+    return write_index(pages, out, page_directory(indexable_pages(placed, blocked)))
 
 
 def load_pages(spark: SparkSession, out: str) -> DataFrame:

@@ -7,7 +7,7 @@ a file may lack its end tag; a record in it is not complete and is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -83,12 +83,14 @@ def load_dump_offsets(
     paths: str | list[str],
     start: str = fixed.PAGE_START,
     end: str = fixed.PAGE_END,
+    columns: list[Column] | None = None,
 ) -> DataFrame:
     """``(path, offset, raw)``: records with the byte offset of their start tag in the file.
 
     An offset is the size of all pieces before it. Sizes are summed per split, then over the
     splits of a file, so only sizes are shuffled by file and the running sum of one task
-    covers one split.
+    covers one split. ``columns`` over ``raw`` replace it before anything is shuffled; a list
+    of titles, say, does not move the texts.
     """
     pieces = _pieces(spark, paths, end)
     of_file = Window.partitionBy("path").orderBy("split")
@@ -100,18 +102,22 @@ def load_dump_offsets(
     )
     in_split = Window.partitionBy("path", "split").orderBy("seq")
     at = F.instr("value", start)
-    before_tag = F.octet_length(F.substr("value", F.lit(1), at - 1))
+    place = ["path", "file_size", "split", "seq", "n_bytes", "before_tag"]
+    wanted = [F.col("raw")] if columns is None else columns
+    cut = pieces.select(
+        *place[:-1],
+        # NULL for a piece without a record.
+        F.when(at > 0, F.octet_length(F.substr("value", F.lit(1), at - 1))).alias("before_tag"),
+        F.when(at > 0, _cut("value", start, end)).alias("raw"),
+    ).select(*place, *wanted)
+    names = [c for c in cut.columns if c not in place]
     return (
-        pieces.withColumn("piece_at", F.sum("n_bytes").over(in_split) - F.col("n_bytes"))
+        cut.withColumn("piece_at", F.sum("n_bytes").over(in_split) - F.col("n_bytes"))
         .join(splits, ["path", "split"])
         .withColumn("piece_at", F.col("piece_at") + F.col("split_at"))
-        .where(at > 0)
+        .where(F.col("before_tag").isNotNull())
         .where(F.col("piece_at") + F.col("n_bytes") <= F.col("file_size"))
-        .select(
-            "path",
-            (F.col("piece_at") + before_tag).alias("offset"),
-            _cut("value", start, end).alias("raw"),
-        )
+        .select("path", (F.col("piece_at") + F.col("before_tag")).alias("offset"), *names)
     )
 
 

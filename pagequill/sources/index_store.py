@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import titles as tl, words as wd
+from .tables import store_sorted
 
 
 @dataclass(frozen=True)
@@ -26,34 +27,32 @@ class Index:
     page_targets: DataFrame  # id, result_id
 
 
-def write_index(pages: DataFrame, path: str) -> Index:
+def write_index(pages: DataFrame, path: str, directory: DataFrame | None = None) -> Index:
     """Build the index of ``pages(id, title, redirect_title, content)`` below ``path``.
 
+    A ``directory`` with offsets replaces the one made of the pages.
+
     Words are counted once into a table of page rows; every other table derives from it. A
     table that is read more than once is read back from its files, so a lost executor never
     sends the job back to the dump.
     """
     spark = pages.sparkSession
 
-    def stored(df: DataFrame, name: str, sort: list[str]) -> DataFrame:
-        ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-        ranged.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
-
-    extra = tuple(c for c in ("offset",) if c in pages.columns)
-    wd.page_terms(pages, ("title", "redirect_title", *extra)).write.mode("overwrite").parquet(
+    wd.page_terms(pages, ("title", "redirect_title")).write.mode("overwrite").parquet(
         f"{path}/page_terms"
     )
     terms = spark.read.parquet(f"{path}/page_terms")
-    directory = stored(tl.page_directory(terms), "directory", ["title_norm", "id"])
+    directory = tl.page_directory(terms) if directory is None else directory
+    directory = store_sorted(directory, f"{path}/directory", ["title_norm", "id"], unique=False)
 
     page_stats = wd.page_stats(terms)
     facts = page_stats.join(tl.page_targets(terms, page_stats, directory), "id", "left")
     facts.write.mode("overwrite").parquet(f"{path}/page_facts")
     facts = spark.read.parquet(f"{path}/page_facts")
 
-    postings = stored(wd.postings_of(terms).join(facts, "id"), "postings", ["word", "id"])
-    stored(wd.document_frequency(postings), "vocabulary", ["word"])
+    postings = wd.postings_of(terms).join(facts, "id")
+    postings = store_sorted(postings, f"{path}/postings", ["word", "id"])
+    store_sorted(wd.document_frequency(postings), f"{path}/vocabulary", ["word"])
     return load_index(spark, path)
 
 

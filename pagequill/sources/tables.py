@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -13,3 +14,17 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def store_sorted(df: DataFrame, path: str, keys: list[str], unique: bool = True) -> DataFrame:
+    """Write ``df`` as files that follow each other in the order of ``keys``; read it back.
+
+    Without ``unique`` keys, rows of one key may go on in the next file, so a frequent key
+    does not end in one task.
+    """
+    order = keys
+    if not unique:
+        df, order = df.withColumn("_row", F.monotonically_increasing_id()), [*keys, "_row"]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.drop("_row").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
