@@ -1,5 +1,18 @@
 """Page search on Spark: corpus statistics, an inverted index, ranked keyword search."""
 
+from .functions.markup import plain_text
+from .functions.text import (
+    entity_decode,
+    is_redirect_text,
+    normalise_letters,
+    redirect_title,
+    tag_slice_exact,
+    tag_slice_first,
+    tag_slice_greedy,
+    title_cut,
+    title_normalise,
+    tokenize,
+)
 from .operators.filters import (
     drop_blocked_sha1,
     drop_empty_text,

@@ -77,12 +77,16 @@ def title_prefix_search(
     if literals is not None and len(literals) <= SCAN_PREFIXES:
         starts = [F.col("title_norm").startswith(p) for p in literals if p != ""]
         directory = directory.where(reduce(or_, starts, F.lit(False)))
-    lengths = F.sequence(
-        F.lit(1), F.greatest(F.lit(1), F.least(F.length("title_norm"), F.lit(max(max_length, 1))))
-    )
+    if literals is not None:
+        lengths = F.array(*[F.lit(n) for n in sorted({0, *map(len, literals)})])
+    else:
+        lengths = F.sequence(F.lit(1), F.lit(max(max_length, 1)))
+    lengths = F.filter(lengths, lambda n: n <= F.length("title_norm"))
     parts = directory.select(
         F.col("id"),
-        F.explode(F.transform(lengths, lambda n: F.substring("title_norm", F.lit(1), n))).alias("prefix"),
+        F.explode_outer(
+            F.transform(lengths, lambda n: F.substring("title_norm", F.lit(1), n))
+        ).alias("prefix"),
     )
     hits = parts.join(wanted, "prefix", "left_semi").withColumn("id_text", F.col("id").cast("string"))
     # An id may be there with several titles: the rank counts ids, not rows.

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table of few files.
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a small table that is read without a shuffle.
 
     Word counting and markup extraction work on single rows, so they run in as many tasks as
-    the scan has. A table of at least as many files as cores is left as it is.
+    the scan has. A table with at least as many splits as cores is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def store_sorted(df: DataFrame, path: str, keys: list[str], unique: bool = True) -> DataFrame:

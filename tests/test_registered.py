@@ -35,6 +35,9 @@ def test_keys_match():
 @pytest.mark.parametrize("name", list(registered.queries()))
 def test_query(spark, duck, name):
     df = registered.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert operator not in plan
     result = duck.execute(registered.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
@@ -44,3 +47,11 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = registered.entry(spark)
     assert df.columns == ["rank", "id"] and df.count() == 10
+
+
+def test_scans_read_only_what_they_need(spark):
+    """Counting words reads one column of the documents."""
+    plan = registered.queries()["word_count"](spark, SF)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<text:string>" in plan
+    plan = registered.queries()["title_list"](spark, SF)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<html:string>" in plan

@@ -246,3 +246,23 @@ def test_long_queries_do_not_lose_precision(spark):
     base = -sum(math.log(math.log(1000 + i)) for i in range(2000)) - math.log(500)
     assert got[1] == pytest.approx(base + 2000 * math.log(2), abs=1e-6)
     assert got[2] == pytest.approx(base + 2000 * math.log(3), abs=1e-6)
+
+
+def test_a_third_of_all_pages_are_copies(spark, tmp_path):
+    """Copies of one record share its id: their words add up, their results do not."""
+    pages = corpus(5)
+    pages += [pages[0]] * (len(pages) // 2)
+    df = spark.createDataFrame(pages, PAGE_SCHEMA)
+    index = pq.write_index(df, str(tmp_path / "copies"))
+    plain = Plain(pages)
+    assert rows(index.page_stats) == sorted((p, plain.n_words[p], plain.max_tf[p]) for p in plain.n_words)
+    requests = spark.createDataFrame(list(enumerate(MESSAGES)), REQUEST_SCHEMA)
+    assert answers(pq.search_batch(requests, index), MESSAGES) == [plain.search(m) for m in MESSAGES]
+
+
+def test_nothing_to_search(spark, corpora):
+    _, index, _ = corpora[0]
+    none = spark.createDataFrame([], REQUEST_SCHEMA)
+    assert pq.search_batch(none, index).collect() == []
+    for msg in ("5 nosuchword", "5", "0 the", "-3 12 ..."):
+        assert pq.search(msg, index).collect() == []
