@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_base(application: str) -> str:
+    return tempfile.mkdtemp(prefix="pagequill-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset and Spark runs on this machine only, it is set to a new folder here.
+    Where that is unset, Spark must run on this machine only, and a new folder here is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="pagequill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
