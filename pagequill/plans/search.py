@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import title_normalise
 from ..operators import lines, ranking as rk, titles as tl
-from ..sizing import FILTER_ROWS, LOCAL_ROWS, KeySide, held, is_small
+from ..sizing import BROADCAST_ROWS, FILTER_ROWS, LOCAL_ROWS, KeySide, held, is_small
 from ..sources.index_store import Index
 from .prune import first_places
 
@@ -55,22 +55,22 @@ def _answers(
     """
     queries = rk.counted_terms(queries).withColumn("prefix", title_normalise("words"))
     queries, rows = held(queries, "queries")
+    terms = rk.distinct_terms(queries, ("strategy",))
     prefixes = words = None
     if rows is not None:
-        small = True
+        small = sum(len(r["terms"]) for r in rows) <= BROADCAST_ROWS
         max_k = max((r["k"] for r in rows), default=0)
         max_length = max((len(r["prefix"]) for r in rows), default=0)
         prefixes = sorted({r["prefix"] for r in rows})
         words = sorted({t["word"] for r in rows for t in r["terms"]})
     else:
-        small = is_small(queries.select("words"))
+        small = is_small(queries.select("words")) and is_small(terms)
         size = queries.agg(F.max("k").alias("k"), F.max(F.length("prefix")).alias("n")).first()
         max_k, max_length = size["k"], size["n"]
 
     def hinted(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    terms = rk.distinct_terms(queries, ("strategy",))
     side = KeySide(terms, words if words is not None and len(words) <= FILTER_ROWS else None, small)
     # The vocabulary has one row per word, so the weighted terms are no more than the terms.
     weighted, _ = held(rk.weighted_terms(side, index.vocabulary), "terms", LOCAL_ROWS)
