@@ -1,0 +1,88 @@
+"""SimHash groups against all pairs of fingerprints."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from pagequill.llm import simhash
+from pagequill.llm.queries import QUERIES
+from pagequill.llm.shared import components
+
+
+def plain_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints):
+    """Smallest index reachable from each fingerprint."""
+    array, group = np.array(prints, np.uint64), list(range(len(prints)))
+    for i in range(len(array)):
+        for j in np.flatnonzero(np.bitwise_count(array[i] ^ array) <= 3):
+            a, b = sorted((group[i], group[int(j)]))
+            group = [a if g == b else g for g in group]
+    return group
+
+
+def test_covering_masks():
+    for i in range(64):
+        for j in range(i, 64):
+            for k in range(j, 64, 7):
+                assert any(not m >> i & 1 and not m >> j & 1 and not m >> k & 1 for m in simhash.FIRST)
+    assert simhash.MOST <= 1 << 16
+
+
+@pytest.mark.parametrize("text", [None, "", " \x0b", "One", "one TWO", "A b c\td É", "w x y z " * 300])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("crowded", [1024, 8])
+def test_links_of_a_dense_group(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng, base, prints = np.random.default_rng(3), 0x123456789ABCDEF, set()
+    while len(prints) < 250:
+        flips = rng.choice(np.arange(0, 64, 4), rng.integers(0, 6), replace=False)
+        prints.add(int(np.bitwise_xor.reduce(np.append(np.uint64(1) << flips.astype(np.uint64), np.uint64(base)))))
+    prints = sorted(prints | {int(x) for x in rng.integers(0, 1 << 63, 60)})
+    df = spark.createDataFrame([(p,) for p in prints], "fp long")
+    found = {r["node"]: r["component"] for r in components(simhash.fingerprint_links(df)).collect()}
+    assert [found.get(p, p) for p in prints] == [prints[g] for g in plain_groups(prints)]
+
+
+def test_groups_with_nulls_copies_and_other_columns(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, text), (2, text + " end"), (9, None), (7, ""), (None, text), (None, "alone here"), (3, "x"), (3, "x")]
+    df = spark.createDataFrame([(i, t, "c", 0) for i, t in rows], "doc_id long, text string, component_id string, fp int")
+    got = sorted((tuple(r) for r in simhash.simhash_groups(df).collect()), key=repr)
+    prints = [plain_fingerprint(t) for _, t in rows]
+    group = plain_groups(prints)
+    least = lambda g: min((i for (i, _), h in zip(rows, group) if h == g and i is not None), default=None)
+    assert got == sorted(((i, f"{p:016x}", least(g)) for (i, _), p, g in zip(rows, prints, group)), key=repr)
+    kept = simhash.drop_near_copies(df)
+    assert kept.columns == df.columns
+    assert {r["doc_id"] for r in kept.collect()} == {2, 7, 3, None}
+    assert simhash.simhash_groups(df.limit(0)).count() == 0
+
+
+def test_components(spark):
+    path = [(i, i + 1) for i in range(0, 300, 2)] + [(i + 1, i + 2) for i in range(0, 300, 2)]
+    links = path + [(1000, 1000 + i) for i in range(1, 200)] + [(7, 7), (2000, 1999), (1999, 2000), (None, 3)]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    want = {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(200)}, 1999: 1999, 2000: 1999}
+    assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
+
+
+def test_registered_query_against_all_pairs(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    prints = [plain_fingerprint(r["text"]) for r in rows]
+    group = plain_groups(prints)
+    want = sorted((r["doc_id"], f"{p:016x}", rows[g]["doc_id"]) for r, p, g in zip(rows, prints, group))
+    assert sorted(map(tuple, QUERIES["op2_simhash"](spark, "/root/testdata/sf0.001").collect())) == want
