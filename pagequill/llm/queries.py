@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, line_dedup, simhash, token_file, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +45,46 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(plain) AS text_sha256
 FROM g
 """
+
+
+@query
+def op3_token_file(spark, sf):
+    return token_file.token_table(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_line_dedup(spark, sf):
+    kept = line_dedup.deduplicated(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
+ORACLE["op7_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+w AS (
+  SELECT doc_id, pos, line, lead(line, 1) OVER d AS second, lead(line, 2) OVER d AS third
+  FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY line, second, third ORDER BY doc_id, pos) AS place FROM w
+  WHERE third IS NOT NULL AND trim(line || second || third, ' ') <> ''),
+c AS (SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS pos FROM n WHERE place > 1)
+SELECT l.doc_id, CAST(count(*) AS integer) AS n_lines, CAST(count(c.pos) AS integer) AS n_removed,
+       md5(coalesce(string_agg(CASE WHEN c.pos IS NULL THEN line END, chr(10) ORDER BY l.pos), '')) AS kept_md5
+FROM l LEFT JOIN c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
+"""
+
+
+@query
+def op10_warc(spark, sf):
+    return warc.archived_pages(table(spark, sf, "pages"))
+
+
+ORACLE["op10_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper FROM p),
+r AS (SELECT *, strlen(html) >= 1000 AND page_id <> keeper AS again FROM k)
+SELECT page_id, CAST(strlen(html) AS bigint) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN keeper END AS refers_to FROM r
+"""

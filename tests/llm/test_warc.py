@@ -1,0 +1,76 @@
+"""Web archives: round trip, shared payloads, pushed predicates and partitions."""
+
+import gzip
+import hashlib
+
+import pytest
+
+from pagequill.llm import warc
+
+LONG = "é<html>" * 300
+ROWS = [
+    (1, "http://a/1", LONG), (5, "http://a/5", LONG), (3, None, LONG), (2, "http://b\r\nX: y", "short"),
+    (4, "http://c", "short"), (6, "http://d", None), (7, "http://e", ""), (None, "http://f", LONG), (8, "u", "z" * 1000),
+    (8, "u", "z" * 1000), (9, "u", "z" * 999), (10, "u", "z" * 999), (11, "u", "\r\n\r\nWARC/1.1\r\n" * 100),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    return spark.createDataFrame([(*r, "x") for r in ROWS], "page_id long, url string, html string, record_type string")
+
+
+def expected():
+    out = []
+    for page, _, html in ROWS:
+        data = (html or "").encode()
+        largest = max((p for p, _, h in ROWS if (h or "") == (html or "") and p is not None), default=None)
+        again = len(data) >= 1000 and largest is not None and page != largest
+        kind = "revisit" if again else "response"
+        out.append((page, len(data), hashlib.sha1(data).hexdigest(), kind, largest if again else None))
+    return sorted(out, key=repr)
+
+
+def test_archived_pages(spark, pages):
+    got = warc.archived_pages(pages)
+    assert sorted(map(tuple, got.collect()), key=repr) == expected()
+    assert warc.archived_pages(pages.limit(0)).count() == 0
+
+
+def test_partitions_predicates_and_payloads(spark, pages, tmp_path):
+    path = str(tmp_path / "archive")
+    warc.write_archive(warc.records_of(pages).repartition(2), path, split_bytes=500)
+    read = warc.read_archive(spark, path)
+    assert read.rdd.getNumPartitions() > 2
+    by_id = {r["page_id"]: r for r in read.where("record_type = 'response' AND page_id >= 4").collect()}
+    assert sorted(by_id) == [4, 5, 6, 7, 8, 9, 10, 11]
+    assert by_id[5]["payload"].decode() == LONG and by_id[11]["payload"].decode() == ROWS[-1][2]
+    assert {r["payload"] for r in warc.read_archive(spark, path, payload=False).collect()} == {None}
+    urls = {r["page_id"]: r["url"] for r in read.where("page_id IN (2, 3)").collect()}
+    assert urls == {2: "http://b%0D%0AX: y", 3: None}
+
+
+def test_unwanted_payloads_are_not_decoded(tmp_path):
+    reader = warc.WarcReader(str(tmp_path), True)
+    rest = list(reader.pushFilters([warc.ds.EqualTo(("record_type",), "revisit"), warc.ds.EqualTo(("payload",), b"")]))
+    assert len(rest) == 1 and reader.tests == [("EqualTo", "record_type", "revisit")]
+
+    class Counted(__import__("io").BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            self.taken += n
+            return super().read(n)
+
+    row = {"page_id": 1, "url": "u", "record_type": "response", "payload": b"p" * 9000, "payload_bytes": 9000, "payload_digest": "d"}
+    stream = Counted(warc.record(row) * 3)
+    assert list(reader._rows(stream, None)) == [] and stream.taken == 0
+
+
+def test_foreign_compressed_file(spark, tmp_path):
+    row = {"page_id": 4, "url": "u", "record_type": "response", "payload": b"abc", "payload_bytes": 3, "payload_digest": "d"}
+    data = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nxyz\r\n\r\n" + warc.record(row)
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(data))
+    got = warc.read_archive(spark, str(tmp_path)).collect()
+    assert [(r["record_type"], r["payload"]) for r in got] == [("warcinfo", b"xyz"), ("response", b"abc")]
+    assert warc.read_archive(spark, str(tmp_path)).where("record_type = 'response'").count() == 1
