@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, simhash, token_file, warc
+from . import exact_dedup, line_dedup, pivot_index, sentencepiece, simhash, token_file, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,13 @@ SELECT page_id, CAST(strlen(html) AS bigint) AS payload_bytes, sha1(html) AS pay
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN keeper END AS refers_to FROM r
 """
+
+
+@query
+def op8_pivot_index(spark, sf):
+    return pivot_index.vector_groups(table(spark, sf, "embeddings"))
+
+
+@query
+def op9_sentencepiece(spark, sf):
+    return sentencepiece.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -1,0 +1,119 @@
+"""Unigram encoding against the sentencepiece library, and exact round trips."""
+
+import itertools
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece as library
+
+from pagequill.llm import sentencepiece as sp
+from pagequill.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+HARD = [
+    "", " ", "  two  spaces ", "line\nbreak\n\n x", "tab\tx", "héllo Wörld", "日本語 text", "\U0001f600 ok", "a" * 300,
+    "x" * 100 + " " * 20, "Ünïcödé\r\n", "1234567890", "http://a.b/c?d=e", "\x00\x01", "ꙮ",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return sp.model(PATH)
+
+
+def test_segmentation_equals_the_library():
+    """The same pieces as a unigram model in the library, which adds in single precision;
+    so the lowest scores are raised to where its sums are exact."""
+    pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    proto = pb.ModelProto()
+    with open(PATH, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    for piece in proto.pieces:
+        piece.score = max(piece.score, -40_000)
+    theirs = library.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    vocabulary = sp.Vocabulary.load(PATH)
+    vocabulary.scores = [max(s, -40_000) for s in vocabulary.scores]
+    ours = sp.Model(vocabulary)
+    rng = random.Random(1)
+    words = [p.replace(sp.MARK, " ") for p, k in zip(vocabulary.pieces, vocabulary.kinds) if k == "normal"]
+    texts = HARD[:8] + HARD[10:] + ["".join(rng.choices(words, k=12)) for _ in range(300)]
+    for text in texts:
+        want, got = theirs.encode(text), ours.encode(text).tolist()
+        score = lambda ids: sum(vocabulary.scores[i] for i in ids)
+        assert got == want or score(got) == score(want), text
+        assert ours.decode(got) == theirs.decode(got) or sp.MARK in text
+
+
+def test_viterbi_is_the_best_of_all_segmentations():
+    pieces = ["<unk>", *[f"<0x{b:02X}>" for b in range(256)], "▁", "a", "b", "ab", "▁a", "abc", "bc", "▁abca", "é"]
+    kinds = ["unknown"] + ["byte"] * 256 + ["normal"] * 9
+    scores = [0.0] * 257 + [-3.0, -2.0, -2.5, -2.75, -4.0, -5.5, -3.5, -9.0, -1.5]
+    own = sp.Model(sp.Vocabulary(pieces, scores, kinds))
+    value = {p: s for p, s, k in zip(pieces, scores, kinds) if k == "normal"}
+    for word in ("▁abcab", "abcabcé", "▁aacb", "c▁", "éc"):
+        totals = []
+        for cuts in itertools.product([False, True], repeat=len(word) - 1):
+            parts, at = [], 0
+            for i, cut in enumerate([*cuts, True], 1):
+                if cut:
+                    parts.append(word[at:i])
+                    at = i
+            if all(p in value or len(p) == 1 for p in parts):
+                totals.append(sum(value.get(p, own.unknown_score) for p in parts))
+        ids = own.viterbi(word)
+        n_bytes = sum(kinds[i] == "byte" for i in ids)
+        got = sum(scores[i] for i in ids if kinds[i] == "normal") + n_bytes * own.unknown_score
+        assert n_bytes == sum(c == "c" for c in word) - word.count("bc") or got <= max(totals)
+        assert abs(got - max(totals)) < 1e-9
+
+
+@pytest.mark.parametrize("text", HARD)
+def test_round_trip(model, text):
+    assert model.decode(model.encode(text).tolist()) == text
+
+
+def test_byte_fallback_and_markers(model):
+    ids = model.encode("ꙮ").tolist()
+    assert [model.vocabulary.kinds[i] for i in ids[-3:]] == ["byte"] * 3
+    assert model.decode([1, *model.encode("a b").tolist(), 2]) == "a b"
+    assert model.decode([model.bytes[0xFF]]) == "�"
+
+
+def test_trie_holds_its_keys(model):
+    base, check = model.trie.base, model.trie.check
+    for i in range(300, 32000, 97):
+        state = 0
+        for byte in model.vocabulary.pieces[i].encode():
+            child = base[state] + byte + 1
+            assert check[child] == state
+            state = child
+        assert check[base[state]] == state and base[base[state]] == i
+
+
+def test_frames(spark, model):
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (None, None, None), (2, "", "y"), (3, "日 é▁", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    out = sp.encoded(df, PATH)
+    assert out.columns == ["doc_id", "text", "ids"]
+    got = {(r["doc_id"], r["text"]): r["ids"] for r in out.collect()}
+    assert got[1, "a b"] == model.encode("a b").tolist() and got[None, None] == [] and got[2, ""] == []
+    back = {r["doc_id"]: r["text"] for r in sp.decoded(out, PATH).collect()}
+    assert back == {1: "a b", None: "", 2: "", 3: "日 é "}
+    restored = {r["doc_id"]: r["restored"] for r in sp.round_trip(df, PATH).collect()}
+    assert restored == {1: True, None: True, 2: True, 3: False}
+    assert sp.round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_registered_query(spark, model):
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    rows = {r["doc_id"]: r for r in QUERIES["op9_sentencepiece"](spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(rows) == len(docs) and all(r["restored"] for r in rows.values())
+    fresh = sp.Model(sp.Vocabulary.load(PATH))
+    for d in docs[:40]:
+        ids = fresh.encode(d["text"])
+        assert rows[d["doc_id"]]["ids_crc32"] == zlib.crc32(ids.tobytes())
