@@ -25,7 +25,7 @@ from .shared import shared_path
 
 END_ID = 0
 #: Distinct pieces whose ids one worker keeps.
-CACHE = 400_000
+CACHE = 600_000
 #: Longest piece that is kept.
 CACHED_CHARS = 64
 ROW_GROUP, PAGE_BYTES, PAGE_ROWS = 32 << 20, 1 << 20, 2000
@@ -50,7 +50,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)])
-        self.pieces = re.compile(r"\s*\S+|\s+\Z")
+        self.pieces = re.compile(r"\s*[^\W_]++(?=[\s!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+\Z")
         self.known: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -74,15 +74,15 @@ class Encoder:
         # Python counts \x1c to \x1f as white space, the tokenizer does not.
         odd = [bool(re.search("[\x1c-\x1f]", t)) for t in texts]
         cut = [[t] if o else self.pieces.findall(t) for t, o in zip(texts, odd)]
-        new = {p for ps, o in zip(cut, odd) if not o for p in ps if p not in self.known and len(p) <= CACHED_CHARS}
+        new = set().union(*(ps for ps, o in zip(cut, odd) if not o)) - self.known.keys()
         if new:
             self._learn(list(new))
-        known, out = self.known, []
-        for pieces, is_odd in zip(cut, odd):
-            if is_odd or any(len(p) > CACHED_CHARS for p in pieces):
-                out.append(b"".join(known.get(p) or self._plain([p])[0] for p in pieces))
-            else:
-                out.append(b"".join([known[p] for p in pieces]))
+        brief = {t: self._plain([t])[0] for t, o in zip(texts, odd) if o}
+        known = {**self.known, **brief} if brief else self.known
+        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
+        for piece in new:
+            if len(piece) > CACHED_CHARS:
+                del self.known[piece]
         return out
 
 
