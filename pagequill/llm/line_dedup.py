@@ -70,8 +70,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     begins = F.filter("s", lambda x, i: (i == 0) | (x > F.get(F.col("s"), i - 1) + LINES))
     ends = F.filter("s", lambda x, i: (i == F.size("s") - 1) | (F.get(F.col("s"), i + 1) > x + LINES))
     cuts = saved(starts.select(*[F.col(k).alias(f"_{k}") for k in _KEY], begins.alias("begins"), ends.alias("ends")), "cuts")
-    own = docs.withColumns({"_lines": _lines(F.col(text_col)), "_hash": F.xxhash64(text)})
+    # The cuts grow with the corpus: they are never broadcast. Lines are split behind the join.
+    own = docs.withColumn("_hash", F.xxhash64(text))
     same = own[id_col].eqNullSafe(cuts["_doc_id"]) & (own["_hash"] == cuts["_version"])
+    joined = own.join(cuts.hint("merge"), same, "left").withColumn("_lines", _lines(F.col(text_col)))
     n_lines = F.size("_lines")
 
     def between(i: Column) -> Column:
@@ -81,7 +83,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("begins")), between))
     changed = F.col("begins").isNotNull()
-    result = own.join(cuts, same, "left").withColumn("_kept", F.when(changed, kept).otherwise(F.col("_lines")))
+    result = joined.withColumn("_kept", F.when(changed, kept).otherwise(F.col("_lines")))
     columns = [F.when(changed, F.array_join("_kept", "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
                for c in docs.columns if c not in ("n_lines", "n_removed")]
     return result.select(
