@@ -295,7 +295,7 @@ def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .where("n > 1 AND keeper IS NOT NULL")
     )
     revisit = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
-    return rows.join(shared, "same", "left").select(
+    return rows.join(shared.hint("merge"), "same", "left").select(
         "page_id",
         "url",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
