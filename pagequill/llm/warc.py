@@ -1,12 +1,16 @@
 """Web archives (WARC) as a Spark data source, for reading and writing.
 
 ``spark.read.format("warc")`` plans parts of files as partitions: the writer leaves a list of
-its files with places where records start, about every 64 MB; a file from elsewhere is one part,
-as is every compressed one. In a part the headers of a record are parsed first. Predicates on the record type
-and the other header columns are pushed into the reader (with the setting
+its files with places where records start, about every 64 MB; a file from elsewhere is one part.
+In a part the headers of a record are parsed first. Predicates on the record type and the other
+header columns are pushed into the reader (with the setting
 ``spark.sql.python.filterPushdown.enabled``) and decided on the headers alone; the payload of an
 unwanted record, or any payload with the option ``payload=false``, is skipped by seeking.
 
+Each record is a gzip member of its own, as usual for archives, whose extra field ``sl`` holds its
+length; so only the first bytes of an unwanted record are decompressed. Files without
+that field are decompressed as a stream, and uncompressed files are read as well.
+
 Files are opened with pyarrow's file systems, so a path may be local, HDFS or an object store.
 A write becomes visible with its list of files, which is written at the commit; files that lost
 or repeated tasks leave behind are in no list and never read.
@@ -19,7 +23,9 @@ import io
 import json
 import operator
 import re
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +58,13 @@ _COMPARE = {
 }
 
 
+#: Gzip header with an extra field of 12 bytes, whose ``sl`` part has the lengths of the member
+#: and of its content. Behind the header come the data and eight bytes of checksum and length.
+_MEMBER = struct.Struct("<10sH2sHII")
+_GZIP_START = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff"
+HEAD_BYTES = 2048
+
+
 def _opened(path: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", path):
         return pafs.FileSystem.from_uri(path)
@@ -90,14 +103,24 @@ def record(row: dict) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member that tells its own length."""
+    packer = zlib.compressobj(1, zlib.DEFLATED, -zlib.MAX_WBITS)
+    packed = packer.compress(data) + packer.flush()
+    size = _MEMBER.size + len(packed) + 8
+    start = _MEMBER.pack(_GZIP_START, 12, b"sl", 8, size, len(data))
+    return start + packed + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
 @dataclass
 class Written(ds.WriterCommitMessage):
     files: list[dict]
 
 
 class WarcWriter(ds.DataSourceArrowWriter):
-    def __init__(self, path: str, split_bytes: int):
+    def __init__(self, path: str, split_bytes: int, compressed: bool):
         self.path, self.split_bytes = path, split_bytes
+        self.packed, self.ending = (member, ".warc.gz") if compressed else (bytes, ".warc")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, base = _opened(self.path)
@@ -109,11 +132,11 @@ class WarcWriter(ds.DataSourceArrowWriter):
                     if out is not None:
                         files[-1]["size"] = at
                         out.close()
-                    files.append({"name": f"part-{uuid.uuid4().hex}.warc", "starts": [0]})
+                    files.append({"name": f"part-{uuid.uuid4().hex}{self.ending}", "starts": [0]})
                     out, at = fs.open_output_stream(f"{base}/{files[-1]['name']}"), 0
                 if at - files[-1]["starts"][-1] >= self.split_bytes:
                     files[-1]["starts"].append(at)
-                at += out.write(record(row))
+                at += out.write(self.packed(record(row)))
         if out is not None:
             files[-1]["size"] = at
             out.close()
@@ -185,12 +208,11 @@ class WarcReader(ds.DataSourceReader):
             return
         fs, _ = _opened(self.path)
         with fs.open_input_file(partition.file) as raw:
-            stream = io.BufferedReader(raw, 1 << 20)
-            if partition.file.endswith(".gz"):
-                stream = gzip.GzipFile(fileobj=stream)
+            stream = io.BufferedReader(raw, 1 << 16)
             stream.seek(partition.start)
+            records = self._members if partition.file.endswith(".gz") else self._rows
             rows, size = [], 0
-            for row in self._rows(stream, partition.stop):
+            for row in records(stream, partition.stop):
                 rows.append(row)
                 size += len(row["payload"] or b"")
                 if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -199,6 +221,31 @@ class WarcReader(ds.DataSourceReader):
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, ARROW)
 
+    def _members(self, stream: io.BufferedIOBase, stop: int | None) -> Iterator[dict]:
+        while stop is None or stream.tell() < stop:
+            at, start = stream.tell(), stream.read(_MEMBER.size)
+            if not start:
+                return
+            if len(start) < _MEMBER.size or start[3] != 4 or _MEMBER.unpack(start)[2] != b"sl":
+                stream.seek(at)
+                yield from self._rows(gzip.GzipFile(fileobj=stream), None)
+                return
+            left = _MEMBER.unpack(start)[4] - _MEMBER.size - 8
+            unpacker, data = zlib.decompressobj(-zlib.MAX_WBITS), b""
+            while b"\r\n\r\n" not in data and left > 0:
+                taken = stream.read(min(HEAD_BYTES, left))
+                left -= len(taken)
+                data += unpacker.decompress(taken)
+            content = io.BytesIO(data)
+            row = _row(head := _headers(content))
+            if self._wanted(row):
+                if self.payload and row["record_type"] != "revisit":
+                    rest = unpacker.decompress(stream.read(left)) + unpacker.flush()
+                    block = (data[content.tell() :] + rest)[: int(head.get("content-length", 0))]
+                    row["payload"] = _body(head, block)
+                yield row
+            stream.seek(at + _MEMBER.unpack(start)[4])
+
     def _rows(self, stream: io.BufferedIOBase, stop: int | None) -> Iterator[dict]:
         while stop is None or stream.tell() < stop:
             head = _headers(stream)
@@ -211,10 +258,7 @@ class WarcReader(ds.DataSourceReader):
                 continue
             stored = row["record_type"] != "revisit"
             if self.payload and stored:
-                block = stream.read(length)
-                if head.get("content-type", "").startswith("application/http"):
-                    block = block.partition(b"\r\n\r\n")[2]
-                row["payload"] = block
+                row["payload"] = _body(head, stream.read(length))
             else:
                 stream.seek(length, io.SEEK_CUR)
             yield row
@@ -236,6 +280,12 @@ def _headers(stream: io.BufferedIOBase) -> dict[str, str] | None:
     return head
 
 
+def _body(head: dict[str, str], block: bytes) -> bytes:
+    """The payload in a record's block, behind the headers of an HTTP response."""
+    http = head.get("content-type", "").startswith("application/http")
+    return block.partition(b"\r\n\r\n")[2] if http else block
+
+
 def _row(head: dict[str, str]) -> dict:
     page = lambda name: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", head.get(name, ""))) else None
     length = head.get("x-payload-length")
@@ -251,7 +301,8 @@ def _row(head: dict[str, str]) -> dict:
 
 
 class WarcSource(ds.DataSource):
-    """Options: ``path``; ``payload`` (default true); ``splitBytes``."""
+    """Options: ``path``; ``payload`` (default true); for writing ``splitBytes`` and
+    ``compression`` (gzip or none)."""
 
     @classmethod
     def name(cls) -> str:
@@ -264,7 +315,8 @@ class WarcSource(ds.DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], int(self.options.get("splitBytes", SPLIT_BYTES)))
+        compressed = self.options.get("compression", "gzip") == "gzip"
+        return WarcWriter(self.options["path"], int(self.options.get("splitBytes", SPLIT_BYTES)), compressed)
 
 
 def register(spark: SparkSession) -> None:
@@ -306,9 +358,10 @@ def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     )
 
 
-def write_archive(rows: DataFrame, path: str, split_bytes: int = SPLIT_BYTES) -> None:
+def write_archive(rows: DataFrame, path: str, split_bytes: int = SPLIT_BYTES, compression: str = "gzip") -> None:
     register(rows.sparkSession)
-    rows.write.format("warc").option("splitBytes", split_bytes).mode("append").save(path)
+    options = {"splitBytes": split_bytes, "compression": compression}
+    rows.write.format("warc").options(**options).mode("append").save(path)
 
 
 def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -37,9 +38,10 @@ def test_archived_pages(spark, pages):
     assert warc.archived_pages(pages.limit(0)).count() == 0
 
 
-def test_partitions_predicates_and_payloads(spark, pages, tmp_path):
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_partitions_predicates_and_payloads(spark, pages, tmp_path, compression):
     path = str(tmp_path / "archive")
-    warc.write_archive(warc.records_of(pages).repartition(2), path, split_bytes=500)
+    warc.write_archive(warc.records_of(pages).repartition(2), path, 500, compression)
     read = warc.read_archive(spark, path)
     assert read.rdd.getNumPartitions() > 2
     by_id = {r["page_id"]: r for r in read.where("record_type = 'response' AND page_id >= 4").collect()}
@@ -62,9 +64,16 @@ def test_unwanted_payloads_are_not_decoded(tmp_path):
             self.taken += n
             return super().read(n)
 
-    row = {"page_id": 1, "url": "u", "record_type": "response", "payload": b"p" * 9000, "payload_bytes": 9000, "payload_digest": "d"}
+    noise = random.Random(1).randbytes(100_000)
+    row = {"page_id": 1, "url": "u", "record_type": "response", "payload": noise, "payload_bytes": 100_000, "payload_digest": "d"}
     stream = Counted(warc.record(row) * 3)
     assert list(reader._rows(stream, None)) == [] and stream.taken == 0
+    packed = warc.member(warc.record(row))
+    assert gzip.decompress(packed * 2) == warc.record(row) * 2
+    stream = Counted(packed * 3)
+    assert list(reader._members(stream, None)) == [] and stream.taken < 10_000
+    reader.tests = []
+    assert [r["payload"] for r in reader._members(Counted(packed * 3), None)] == [noise] * 3
 
 
 def test_foreign_compressed_file(spark, tmp_path):
