@@ -133,7 +133,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
                         files[-1]["size"] = at
                         out.close()
                     files.append({"name": f"part-{uuid.uuid4().hex}{self.ending}", "starts": [0]})
-                    out, at = fs.open_output_stream(f"{base}/{files[-1]['name']}"), 0
+                    out, at = fs.open_output_stream(f"{base}/{files[-1]['name']}", compression=None), 0
                 if at - files[-1]["starts"][-1] >= self.split_bytes:
                     files[-1]["starts"].append(at)
                 at += out.write(self.packed(record(row)))
