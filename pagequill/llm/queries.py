@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, pivot_index, sentencepiece, simhash, token_file, warc
+from . import exact_dedup, line_dedup, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +98,8 @@ def op8_pivot_index(spark, sf):
 @query
 def op9_sentencepiece(spark, sf):
     return sentencepiece.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op4_toxicity(spark, sf):
+    return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
