@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
+from . import exact_dedup, line_dedup, mixing, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,13 @@ def op9_sentencepiece(spark, sf):
 @query
 def op4_toxicity(spark, sf):
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+#: Shares of tokens wanted of each domain.
+MIX = {"good": 0.75, "poor": 0.2, "toxic": 0.05}
+
+
+@query
+def op1_mixing(spark, sf):
+    labelled = mixing.domains_of(table(spark, sf, "labels"))
+    return mixing.document_rates(table(spark, sf, "documents"), labelled, MIX)
