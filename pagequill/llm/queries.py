@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
+from . import exact_dedup, line_dedup, mixing, pii, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,8 @@ MIX = {"good": 0.75, "poor": 0.2, "toxic": 0.05}
 def op1_mixing(spark, sf):
     labelled = mixing.domains_of(table(spark, sf, "labels"))
     return mixing.document_rates(table(spark, sf, "documents"), labelled, MIX)
+
+
+@query
+def op6_pii(spark, sf):
+    return pii.personal_data(table(spark, sf, "documents"))
