@@ -217,20 +217,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     ``labels`` has (doc_id, toxic); rows with another label than 0 or 1 are not used, and of an
     id labelled more than once the largest label counts. At most ``TOXIC_ROWS`` and
-    ``ORDINARY_ROWS`` rows, of texts up to ``FIT_CHARS`` characters, come to the driver. The
-    share of toxic rows is counted over all labelled rows.
+    ``ORDINARY_ROWS`` rows, of texts up to ``FIT_CHARS`` characters, come to the driver; of an id
+    with several texts one is taken. The share of toxic rows is counted over all labelled rows.
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.where(F.length("text") <= FIT_CHARS).join(known, "doc_id")
-    rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    found = []
-    for kind, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)):
-        # A share of the rows by their hash, somewhat over the bound, before the exact cut.
-        share = min(1.0, 2.0 * most / max(1, counts.get(kind, 0)))
-        part = rows.where((F.col("toxic") == kind) & (F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20))))
-        found += part.orderBy("h", "doc_id", "text").limit(most).select("text", "toxic").collect()
+    texts = texts.where(F.length("text") <= FIT_CHARS)
+    # Ids are matched and chosen first, so that no text is shuffled for those not chosen.
+    there = known.join(texts.select("doc_id").hint("merge"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
+    parts = [
+        there.where(F.col("toxic") == kind).orderBy("h", "doc_id").limit(most)
+        for kind, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))
+    ]
+    # At most TOXIC_ROWS + ORDINARY_ROWS ids are broadcast, and as many texts come here.
+    chosen = texts.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+    found = chosen.groupBy("h", "doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    found.sort(key=lambda r: (r["h"], r["doc_id"]))
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     return fitted([r["text"] for r in found], np.array([r["toxic"] for r in found], int), prior)
 
