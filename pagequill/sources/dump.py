@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 
+#: Endings of the files that the text source decompresses.
+PACKED = (".bz2", ".gz", ".deflate", ".lz4", ".snappy", ".zst")
+#: Bytes of a byte order mark, which the text source leaves out.
+BOM = 3
+
 
 def _pieces(spark: SparkSession, paths: str | list[str], end: str) -> DataFrame:
     """Pieces of text between end tags, with their place: file, split, order in the split."""
@@ -34,20 +39,52 @@ def _cut(piece: str, start: str, end: str):
     return F.concat(F.substr(piece, at), F.lit(end))
 
 
-def _open_tails(pieces: DataFrame, start: str) -> DataFrame:
-    """``(path, seq)`` of last pieces that hold a start tag but lack the end tag.
+def _packed_tails(spark: SparkSession, pieces: DataFrame, start: str, end: str) -> DataFrame | None:
+    """``path`` of compressed files whose last start tag has no end tag behind it.
+
+    The size of a compressed file says nothing about its text, so these files are cut at their
+    start tags, too: the last piece tells.
+    """
+    packed = [p for p in pieces.inputFiles() if p.endswith(PACKED)]
+    if not packed:
+        return None
+    last = F.max_by(F.contains("value", F.lit(end)), F.struct("split", "seq"))
+    by_start = _pieces(spark, packed, start).groupBy("path").agg(last.alias("ended"))
+    return by_start.where("NOT ended").select("path", F.lit(True).alias("unended"))
+
+
+def _splits(spark: SparkSession, pieces: DataFrame, start: str, end: str) -> DataFrame:
+    """``(path, split, split_at, open_seq)``: where each split begins in its file, and the order
+    number of an unterminated record, which only a file's last piece can be.
 
-    The pieces of a file with their end tags add up to its size; if they exceed it, the last
-    one had none. There is at most one row per file, usually none at all.
+    The pieces of a plain file with an end tag each add up to its size, except that its
+    last piece has no end tag if something follows the last record, and that a byte order mark
+    is in no piece. Each case has its own difference.
     """
-    last = F.max_by(
-        F.struct("seq", F.contains("value", F.lit(start)).alias("starts")), F.struct("split", "seq")
+    of_file = Window.partitionBy("path")
+    length = len(end.encode())
+    over = F.sum("split_bytes").over(of_file) - F.col("file_size")
+    marked = F.coalesce(~F.col("packed") & over.isin(-BOM, length - BOM), F.lit(False))
+    is_last = F.col("split") == F.max("split").over(of_file)
+    sizes = pieces.groupBy("path", "split").agg(
+        F.sum("n_bytes").alias("split_bytes"),
+        F.max("file_size").alias("file_size"),
+        F.max_by(F.struct("seq", F.contains("value", F.lit(start)).alias("starts")), "seq").alias("last"),
     )
-    return (
-        pieces.groupBy("path")
-        .agg(F.sum("n_bytes").alias("total"), F.max("file_size").alias("file_size"), last.alias("last"))
-        .where((F.col("total") > F.col("file_size")) & F.col("last.starts"))
-        .select("path", F.col("last.seq").alias("seq"))
+    tails = _packed_tails(spark, pieces, start, end)
+    if tails is None:
+        sizes = sizes.withColumn("unended", F.lit(None).cast("boolean"))
+    else:
+        # One row per damaged file: no larger than the driver's own list of files.
+        sizes = sizes.join(F.broadcast(tails), "path", "left")
+    sizes = sizes.withColumn("packed", F.lower("path").rlike("(" + "|".join(PACKED).replace(".", r"\.") + ")$"))
+    unended = F.when(F.col("packed"), F.coalesce("unended", F.lit(False))).otherwise(over > 0)
+    before = F.sum("split_bytes").over(of_file.orderBy("split")) - F.col("split_bytes")
+    return sizes.select(
+        "path",
+        "split",
+        (before + F.when(marked, BOM).otherwise(0)).alias("split_at"),
+        F.when(is_last & unended & F.col("last.starts"), F.col("last.seq")).alias("open_seq"),
     )
 
 
@@ -62,8 +99,10 @@ def load_tag_records(
     pieces = _pieces(spark, paths, end)
     records = pieces.where(F.contains("value", F.lit(start)))
     if not complete:
-        # One row per damaged file: no larger than the driver's own list of files.
-        records = records.join(F.broadcast(_open_tails(pieces, start)), ["path", "seq"], "left_anti")
+        open_tails = _splits(spark, pieces, start, end).where("open_seq IS NOT NULL")
+        # At most one row per file, usually none at all.
+        open_tails = F.broadcast(open_tails.select("path", F.col("open_seq").alias("seq")))
+        records = records.join(open_tails, ["path", "seq"], "left_anti")
     return records.select(_cut("value", start, end).alias("raw"))
 
 
@@ -87,22 +126,17 @@ def load_dump_offsets(
 ) -> DataFrame:
     """``(path, offset, raw)``: records with the byte offset of their start tag in the file.
 
+    In a compressed file that is the offset in its uncompressed text, less a byte order mark.
+
     An offset is the size of all pieces before it. Sizes are summed per split, then over the
     splits of a file, so only sizes are shuffled by file and the running sum of one task
     covers one split. ``columns`` over ``raw`` replace it before anything is shuffled; a list
     of titles, say, does not move the texts.
     """
     pieces = _pieces(spark, paths, end)
-    of_file = Window.partitionBy("path").orderBy("split")
-    splits = (
-        pieces.groupBy("path", "split")
-        .agg(F.sum("n_bytes").alias("split_bytes"))
-        .withColumn("split_at", F.sum("split_bytes").over(of_file) - F.col("split_bytes"))
-        .drop("split_bytes")
-    )
     in_split = Window.partitionBy("path", "split").orderBy("seq")
     at = F.instr("value", start)
-    place = ["path", "file_size", "split", "seq", "n_bytes", "before_tag"]
+    place = ["path", "split", "seq", "n_bytes", "before_tag"]
     wanted = [F.col("raw")] if columns is None else columns
     cut = pieces.select(
         *place[:-1],
@@ -113,10 +147,10 @@ def load_dump_offsets(
     names = [c for c in cut.columns if c not in place]
     return (
         cut.withColumn("piece_at", F.sum("n_bytes").over(in_split) - F.col("n_bytes"))
-        .join(splits, ["path", "split"])
+        .join(_splits(spark, pieces, start, end), ["path", "split"])
         .withColumn("piece_at", F.col("piece_at") + F.col("split_at"))
         .where(F.col("before_tag").isNotNull())
-        .where(F.col("piece_at") + F.col("n_bytes") <= F.col("file_size"))
+        .where(~F.col("seq").eqNullSafe(F.col("open_seq")))
         .select("path", (F.col("piece_at") + F.col("before_tag")).alias("offset"), *names)
     )
 

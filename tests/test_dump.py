@@ -1,5 +1,9 @@
+import bz2
+import gzip
 import os
 
+import pytest
+
 import pagequill as pq
 
 from .conftest import rows
@@ -65,14 +69,21 @@ def test_tag_records_and_several_paths(spark, tmp_path):
     assert pq.multi_path_scan(spark, [a, b]).count() == 3
 
 
-def test_compressed_dump(spark, tmp_path):
-    import bz2
-
-    path = str(tmp_path / "d.xml.bz2")
+@pytest.mark.parametrize("ending", ["\n", "", "\n</mediawiki>\n", "<page>open", "\n<page><page>open"])
+@pytest.mark.parametrize("pack", ["bz2", "gz", None])
+@pytest.mark.parametrize("bom", [b"", b"\xef\xbb\xbf"])
+def test_compressed_and_plain_dumps_agree(spark, tmp_path, ending, pack, bom):
+    pages = [f"<page><id>{i}</id>é{'x' * (i % 50)}</page>" for i in range(400)]
+    text = ("\n ".join(pages) + ending).encode()
+    path = str(tmp_path / "d.xml") + (f".{pack}" if pack else "")
+    half = len(text) // 2
+    squeeze = {"bz2": bz2.compress, "gz": gzip.compress, None: bytes}[pack]
     with open(path, "wb") as f:
-        f.write(bz2.compress(b"<page>1</page>\n") + bz2.compress(b"<page>2</page>\n"))
-    assert rows(pq.load_dump(spark, path, complete=True)) == [("<page>1</page>",), ("<page>2</page>",)]
-    assert rows(pq.load_dump(spark, path)) == [("<page>1</page>",), ("<page>2</page>",)]
+        f.write(squeeze(bom + text[:half]) + squeeze(text[half:]))
+    assert sorted(r["raw"] for r in pq.load_dump(spark, path).collect()) == sorted(pages)
+    shift = 0 if pack else len(bom)
+    want = sorted((a + shift, raw) for a, raw in scan(text))
+    assert rows(pq.load_dump_offsets(spark, path), "offset", "raw") == want
 
 
 def test_export_is_ordered_over_all_files(spark, tmp_path):
