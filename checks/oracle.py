@@ -102,7 +102,7 @@ def _results(prefix: str, scored: str) -> str:
 
 _PARSED = """
     SELECT request_id, abs(n) AS k, CASE WHEN n < 0 THEN 1 ELSE 0 END AS strategy, words FROM (
-      SELECT request_id, CAST(string_split(trim(msg), ' ')[1] AS INTEGER) AS n,
+      SELECT request_id, CAST(string_split(trim(msg), ' ')[1] AS BIGINT) AS n,
         substr(trim(msg), strpos(trim(msg), ' ') + 1) AS words FROM ({}))"""
 
 NAMED = {
@@ -122,7 +122,7 @@ NAMED = {
           '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' ') AS text FROM w_pages""",
     **_shown("w"),
     "w_content": """
-        SELECT w_text.id, title || ' ' || coalesce(string_agg(plain, chr(10) ORDER BY pos), '') AS content
+        SELECT w_text.id, replace(replace(replace(replace(replace(title, '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' ') || ' ' || coalesce(string_agg(plain, chr(10) ORDER BY pos), '') AS content
         FROM w_text LEFT JOIN w_plain ON w_plain.id = w_text.id GROUP BY w_text.id, title""",
     "w_parsed": _PARSED.format(corpora.REQUESTS),
     **_words("w"),
@@ -164,7 +164,7 @@ NAMED = {
     "m_abstracts": r"""
         SELECT id, coalesce(arg_min(plain, pos), '') AS abstract FROM m_text LEFT JOIN (
           SELECT * FROM m_plain WHERE NOT regexp_matches(line, '^(\*|\[\*[^\]]*\])')
-            AND NOT regexp_matches(line, '^=+[^=]')) p USING (id) GROUP BY id""",
+            AND NOT starts_with(line, '=')) p USING (id) GROUP BY id""",
     # HTML pages.
     "p_titles": r"""
         SELECT page_id AS id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages""",
@@ -242,11 +242,9 @@ _FINAL = {
     "inverted_index": "SELECT word, id, tf FROM d_postings",
     "document_frequency": "SELECT word, df FROM d_df",
     "posting_lists": """
-        SELECT word, CASE WHEN df <= 100 THEN '' ELSE left(CAST(id AS VARCHAR), greatest(digits - 1, 1)) END
-            AS part,
+        SELECT word, id // 10000 AS part,
           word || ' ' || string_agg(id || ' ' || tf, ' ' ORDER BY CAST(id AS VARCHAR)) AS line
-        FROM d_postings JOIN (SELECT word, count(*) AS df, max(length(CAST(id AS VARCHAR))) AS digits
-          FROM d_postings GROUP BY word) USING (word) GROUP BY 1, 2""",
+        FROM d_postings GROUP BY 1, 2""",
     "page_directory": "SELECT id, title, title_norm FROM w_directory",
     "title_list": "SELECT DISTINCT title FROM p_titles",
     "duplicate_titles": "SELECT title, count(*) AS n FROM p_titles GROUP BY title HAVING count(*) > 1",
@@ -281,7 +279,7 @@ _FINAL = {
     "visible_lines": "SELECT id, pos, line FROM m_shown",
     "plain_text": "SELECT id, pos, plain FROM m_plain",
     "classify_lines": r"""SELECT id, pos, CASE WHEN regexp_matches(line, '^(\*|\[\*[^\]]*\])') THEN 'item'
-        WHEN regexp_matches(line, '^=+[^=]') THEN 'heading' ELSE 'paragraph' END AS kind, plain FROM m_plain""",
+        WHEN starts_with(line, '=') THEN 'heading' ELSE 'paragraph' END AS kind, plain FROM m_plain""",
     "headings": """
         SELECT id, pos, level, substring(line, level + 1, greatest(length(line) - 2 * level, 0)) AS heading
         FROM (SELECT *, length(regexp_extract(line, '^(=+)[^=]', 1)) AS level FROM m_shown) WHERE level > 0""",
@@ -358,7 +356,7 @@ _FINAL["result_list"] = """
     SELECT request_id, rank, id, title, abstract FROM w_results JOIN w_text USING (id) JOIN (
       SELECT w_text.id, coalesce(arg_min(plain, pos), '') AS abstract FROM w_text LEFT JOIN (
         SELECT * FROM w_plain WHERE NOT regexp_matches(line, '^(\\*|\\[\\*[^\\]]*\\])')
-          AND NOT regexp_matches(line, '^=+[^=]')) p ON p.id = w_text.id GROUP BY w_text.id) a USING (id)"""
+          AND NOT starts_with(line, '=')) p ON p.id = w_text.id GROUP BY w_text.id) a USING (id)"""
 
 
 def oracle_sql() -> dict[str, str]:

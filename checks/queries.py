@@ -344,9 +344,7 @@ def document_frequency(spark, sf):
 
 @query
 def posting_lists(spark, sf):
-    # Short lists and parts, so that the test tables have both kinds of words.
-    lists = pq.posting_lists(pq.inverted_index(documents(spark, sf)), list_length=100, part_digits=1)
-    return wd.posting_lines(lists)
+    return wd.posting_lines(pq.posting_lists(pq.inverted_index(documents(spark, sf))))
 
 
 @query

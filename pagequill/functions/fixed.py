@@ -15,7 +15,6 @@ BLOCKED_SHA1 = ("t5mm8lyj25cvxe8i4i9pgokb6krbzj9",)
 
 # Pages with fewer words are not returned themselves.
 MIN_WORDS = 100
-DEFAULT_K = 10
 
 # Entities in the order in which they are decoded.
 ENTITIES = (

@@ -65,7 +65,7 @@ def heading_text(line: Column | str) -> Column:
 
 
 def line_kind(line: Column | str) -> Column:
-    """``item``, ``heading`` or ``paragraph``.
+    """``item``, ``heading`` or ``paragraph``. A line of ``=`` alone is a heading, if an empty one.
 
     What counts is the converted line: only a line that starts with ``*``, or with a
     bracket around one, still starts with ``*`` after conversion.
@@ -73,7 +73,7 @@ def line_kind(line: Column | str) -> Column:
     c = _col(line)
     return (
         F.when(c.rlike(r"^(\*|\[\*[^\]]*\])"), "item")
-        .when(heading_level(c) > 0, "heading")
+        .when(c.startswith("="), "heading")
         .otherwise("paragraph")
     )
 

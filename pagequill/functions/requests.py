@@ -7,15 +7,22 @@ from pyspark.sql import functions as F
 
 from .text import _col
 
+#: Largest limit, which has a negative counterpart.
+MOST = (1 << 63) - 1
+
 
 def _trimmed(msg: Column | str) -> Column:
     return F.regexp_replace(_col(msg), r"^\s+|\s+$", "")
 
 
 def request_limit(msg: Column | str) -> Column:
-    """Signed limit: the leading integer of the first token, 0 if there is none."""
+    """Signed limit: the leading integer of the first token, 0 if there is none.
+
+    A limit beyond 64 bits is as good as the largest one.
+    """
     digits = F.regexp_extract(_trimmed(msg), r"^([+-]?[0-9]+)", 1)
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
+    most = F.when(digits.startswith("-"), -MOST).when(digits != "", MOST).otherwise(0)
+    return F.greatest(F.coalesce(digits.try_cast("bigint"), most), F.lit(-MOST))
 
 
 def request_words(msg: Column | str) -> Column:

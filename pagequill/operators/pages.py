@@ -40,11 +40,14 @@ def decoded_text(pages: DataFrame) -> DataFrame:
 
 
 def clean_text(pages: DataFrame) -> DataFrame:
-    """Adds ``content``: the title, then the shown lines without markup."""
+    """Adds ``content``: the title with its entities resolved, then the shown lines without markup.
+
+    The title itself stays as it is, so that redirects to it still match.
+    """
     lines = F.transform("shown", lambda s: plain_text(s["line"]))
     return (
         with_shown_lines(pages)
-        .withColumn("content", F.concat_ws(" ", "title", F.array_join(lines, "\n")))
+        .withColumn("content", F.concat_ws(" ", tx.entity_decode("title"), F.array_join(lines, "\n")))
         .drop("shown")
     )
 

@@ -28,8 +28,8 @@ def duplicate_titles(titles: DataFrame) -> DataFrame:
 
 
 def page_directory(pages: DataFrame) -> DataFrame:
-    """Distinct ``(id, title, title_norm)`` of indexable pages, with the offset if there is one."""
-    offset = [c for c in ("offset",) if c in pages.columns]
+    """Distinct ``(id, title, title_norm)`` of indexable pages, with path and offset if there are."""
+    offset = [c for c in ("path", "offset") if c in pages.columns]
     return (
         pages.select("id", *offset, "title")
         .distinct()

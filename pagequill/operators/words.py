@@ -9,12 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..sizing import is_small, settle
 
-#: Longest posting list, in pages, that stays in one row.
-LIST_LENGTH = 10_000
-#: Digits of the page id that one part of a longer list spans.
-PART_DIGITS = 4
+#: Page ids that one part of a posting list spans.
+PART_IDS = 10_000
 
 
 def with_counts(df: DataFrame, words: Column, name: str) -> DataFrame:
@@ -113,31 +110,18 @@ def sorted_index(postings: DataFrame) -> DataFrame:
     return postings.orderBy("word", F.col("id").cast("string"))
 
 
-def posting_lists(
-    postings: DataFrame, list_length: int = LIST_LENGTH, part_digits: int = PART_DIGITS
-) -> DataFrame:
+def posting_lists(postings: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
     """``(word, part, postings)`` with the ``(id, tf)`` of a word in string order of the ids.
 
-    A word on at most ``list_length`` pages is one row with part "". A more frequent word is
-    split by the leading characters of its ids, all but the last ``part_digits`` of its
-    longest id, so no row holds more than ``11…1`` (``part_digits + 1`` ones) entries however
-    frequent the word is. Parts of a word sort in the order of their ids.
+    A part spans ``part_ids`` consecutive ids, whatever the word: the list of a word on
+    pages of several such ranges is in as many rows, and no row holds more than ``part_ids``
+    entries however frequent the word is.
     """
-    id_text = F.col("id").cast("string")
-    frequent, rows = settle(
-        postings.groupBy("word")
-        .agg(F.count("*").alias("df"), F.max(F.length(id_text)).alias("digits"))
-        .where(F.col("df") > list_length)
-        .select("word", "digits")
-    )
-    if rows is not None or is_small(frequent):
-        frequent = F.broadcast(frequent)
-    prefix = F.substring(id_text, F.lit(1), F.greatest(F.col("digits") - part_digits, F.lit(1)))
+    entry = F.struct(F.col("id").cast("string").alias("s"), "id", "tf")
     return (
-        postings.join(frequent, "word", "left")
-        .withColumn("part", F.when(F.col("digits").isNull(), F.lit("")).otherwise(prefix))
+        postings.withColumn("part", F.floor(F.col("id") / part_ids).cast("bigint"))
         .groupBy("word", "part")
-        .agg(F.sort_array(F.collect_list(F.struct(id_text.alias("s"), "id", "tf"))).alias("entries"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .select(
             "word",
             "part",

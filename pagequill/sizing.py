@@ -37,17 +37,12 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, max_bytes: int = BROADCA
     """Measure ``df``: whether it has at most ``rows`` rows and ``max_bytes`` string bytes."""
     strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     width = sum((F.coalesce(F.octet_length(s), F.lit(0)) for s in strings), F.lit(0))
-    size = df.limit(rows + 1).agg(
+    size = df.agg(
         F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")
     ).first()
     return size["n"] <= rows and size["b"] <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it measures small; otherwise the planner chooses."""
-    return F.broadcast(df) if is_small(df) else df
-
-
 def key_side(df: DataFrame, key: str) -> KeySide:
     """Look at the size of ``df`` and, if it has few rows, at its keys."""
     rows = df.select(key).limit(FILTER_ROWS + 1).collect()

@@ -59,7 +59,7 @@ def test_plain_text(spark):
 def test_kinds(spark):
     df = pq.classify_lines(lines(spark, "* i", "== h ==", "====", "p", "[* x]", "'''* y'''", "[[* z]]"))
     assert [r[0] for r in df.orderBy("id").select("kind").collect()] == [
-        "item", "heading", "paragraph", "paragraph", "item", "paragraph", "paragraph"
+        "item", "heading", "heading", "paragraph", "item", "paragraph", "paragraph"
     ]
 
 
@@ -96,7 +96,7 @@ def test_library_and_language_notes(spark):
 def test_abstracts(spark):
     got = dict(rows(pq.abstracts(pages(spark))))
     assert got == {
-        1: "Body  text", 2: "Bold and it label Plain", 3: "See A title", 4: "", 5: "====", 6: ""
+        1: "Body  text", 2: "Bold and it label Plain", 3: "See A title", 4: "", 5: "", 6: ""
     }
 
 

@@ -75,6 +75,15 @@ def test_requests(spark):
     assert value(spark, rq.split_terms("c"), c=" A  b a") == ["a", "b", "a"]
 
 
+def test_large_limits_do_not_fail(spark):
+    messages = ["99999999999 a", "-2147483648 x", "-9223372036854775808 x", "99999999999999999999999 y", "-99999999999999999999999 y"]
+    df = spark.createDataFrame(list(enumerate(messages)), "request_id int, msg string")
+    most = (1 << 63) - 1
+    assert rows(pq.parse_request(df), "request_id", "k", "strategy") == [
+        (0, 99999999999, 0), (1, 2147483648, 1), (2, most, 1), (3, most, 0), (4, most, 1)
+    ]
+
+
 def test_query_terms_keep_repeats(spark):
     df = pq.parse_request(spark.createDataFrame([(1, "-5 The the foo-bar")], "request_id int, msg string"))
     assert rows(pq.query_terms(df)) == [(1, 0, "the"), (1, 1, "the"), (1, 2, "foo-bar")]

@@ -51,23 +51,28 @@ def test_against_plain_counting(spark, data):
     assert stats == sorted((p, n_words[p], max_tf[p]) for p in {p for p, _ in data})
 
 
-def test_posting_lists_split_frequent_words_in_order(spark):
+def test_posting_lists_span_id_ranges_for_all_words(spark):
     ids = [1, 2, 10, 100, 101, 110, 19, 200]
     df = spark.createDataFrame(
         [("hot", i, i) for i in ids] + [("rare", 7, 1), ("rare", 10, 2)], "word string, id long, tf long"
     )
-    lists = pq.posting_lists(df, list_length=3, part_digits=1)
+    lists = pq.posting_lists(df, part_ids=100)
     got = sorted((r["word"], r["part"], [p["id"] for p in r["postings"]]) for r in lists.collect())
-    assert got[-1] == ("rare", "", [10, 7])
-    hot = [i for word, _, part in got if word == "hot" for i in part]
-    assert hot == [int(s) for s in sorted(map(str, ids))]
-    assert max(len(part) for _, _, part in got) <= 11
+    assert got == [
+        ("hot", 0, [1, 10, 19, 2]), ("hot", 1, [100, 101, 110]), ("hot", 2, [200]), ("rare", 0, [10, 7])
+    ]
     whole = pq.posting_lists(df)
     assert rows(wd.posting_lines(whole), "line") == [
         ("hot 1 1 10 10 100 100 101 101 110 110 19 19 2 2 200 200",), ("rare 10 2 7 1",)
     ]
 
 
+def test_posting_lists_have_one_rule_beyond_any_size(spark):
+    df = spark.range(25_000).selectExpr("'the' AS word", "id", "1L AS tf")
+    got = {r["part"]: len(r["postings"]) for r in pq.posting_lists(df).collect()}
+    assert got == {0: 10_000, 1: 10_000, 2: 5_000}
+
+
 def test_sorted_index_orders_ids_as_strings(spark):
     df = spark.createDataFrame([("b", 2, 1), ("a", 9, 1), ("a", 10, 1)], "word string, id long, tf long")
     assert [tuple(r) for r in pq.sorted_index(df).collect()] == [("a", 10, 1), ("a", 9, 1), ("b", 2, 1)]
