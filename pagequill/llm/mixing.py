@@ -38,7 +38,7 @@ LENGTHS, SAFE_LENGTHS = (1.0, 0.5, 0.25, 0.1), (1.5, 0.75)
 #: Weight in G of documents at the floor, which a step may raise.
 AT_FLOOR = 0.1
 #: Largest difference from a target share at which the steps end, and the most steps.
-TOLERANCE, MOST_STEPS = 5e-4, 60
+TOLERANCE, MOST_STEPS = 5e-4, 25
 #: Updates between two writes of the rates, which keep the plan short.
 SAVE_EVERY = 10
 
