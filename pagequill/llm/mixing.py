@@ -38,7 +38,7 @@ LENGTHS, SAFE_LENGTHS = (1.0, 0.5, 0.25, 0.1), (1.5, 0.75)
 #: Weight in G of documents at the floor, which a step may raise.
 AT_FLOOR = 0.1
 #: Largest difference from a target share at which the steps end, and the most steps.
-TOLERANCE, MOST_STEPS = 5e-4, 25
+TOLERANCE, MOST_STEPS = 5e-4, 60
 #: Updates between two writes of the rates, which keep the plan short.
 SAVE_EVERY = 10
 
@@ -171,6 +171,7 @@ def fitted_mix(
     targets: dict[str, float],
     floor: float = 0.0,
     budget: float | None = 1.0,
+    most_steps: int = MOST_STEPS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[Mix, DataFrame]:
@@ -211,7 +212,7 @@ def fitted_mix(
         budget = float((now[wanted] / mix.target[wanted]).max())
     mix.target = mix.target * budget
     far = lambda t: float((t - mix.target) @ safe @ (t - mix.target))
-    while np.abs(now - mix.target).max() > TOLERANCE * budget and len(mix.steps) < MOST_STEPS:
+    while np.abs(now - mix.target).max() > TOLERANCE * budget and len(mix.steps) < most_steps:
         own_way = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ (now - mix.target)
         pulls = [x * own_way for x in LENGTHS] + [x * safe @ (now - mix.target) for x in SAFE_LENGTHS]
         tried = [mix.updated(rate, p, [F.lit(float(g)) for g in pull]) for pull in pulls]

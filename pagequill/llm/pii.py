@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
+from .shared import hashed_share
+
 KINDS = ("email", "ip", "card", "phone")
 SPACES = " \t\n\x0b\x0c\r"
 #: Words that the field is fitted on at most.
@@ -307,7 +309,11 @@ def fit(docs: DataFrame, text_col: str = "text") -> Field:
             rows = pa.RecordBatch.from_arrays([part.column("h"), pa.array(count, pa.int32()), pa.array(cut, pa.string())], ["h", "words", "text"])
             yield rows.filter(pa.array([c > 0 for c in count], pa.bool_()))
 
-    found = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(lines, schema)
+    hashed = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    hinted = hashed.where(F.col("text").rlike("[0-9@]"))
+    few = hashed_share(F.col("h"), FIT_WORDS // 10, hinted.count())
+    # Equal texts have one hash: however many there are, one is taken.
+    found = hinted.where(few).groupBy("h").agg(F.min("text").alias("text")).mapInArrow(lines, schema)
     rows = found.orderBy("h").limit(FIT_WORDS // 10).collect()
     texts, left = [], FIT_WORDS
     for r in rows:

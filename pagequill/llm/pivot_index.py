@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, saved
+from .shared import components, hashed_share, saved
 
 COSINE = 0.95
 #: Vectors looked at for pivots; most pivots; most cosine between two of them.
@@ -135,7 +135,9 @@ def vector_links(distinct: DataFrame) -> DataFrame:
     The sum of ``links`` is the number of other vectors within reach, copies counted; the pairs
     (node, root) connect what the links do. A node without links has no row.
     """
-    sample = distinct.select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(SAMPLE).toArrow()
+    hashed = distinct.select("embedding", F.xxhash64("embedding").alias("h"))
+    few = hashed.where(hashed_share(F.col("h"), SAMPLE, distinct.count()))
+    sample = few.orderBy("h").limit(SAMPLE).toArrow()
     if not sample.num_rows:
         return distinct.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))
     pivots = spread_pivots(unit(_matrix(sample["embedding"])))

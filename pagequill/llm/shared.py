@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What counts as white space in texts, as a class for Java and DuckDB patterns.
@@ -41,6 +41,15 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def hashed_share(h: Column, wanted: int, total: int) -> Column:
+    """Condition on a hash that about twice the ``wanted`` of ``total`` rows meet, or all.
+
+    A sort with a limit behind it then gets few rows, however many there are.
+    """
+    share = min(1.0, 2.0 * wanted / max(1, total))
+    return F.pmod(h, F.lit(1 << 40)) < int(share * (1 << 40))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the undirected ``links(a, b)`` of BIGINT nodes.
 

@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
+from .shared import hashed_share
+
 WORDS, STEP = 6, 4
 GRAM, SLOTS = 5, 1 << 20
 TOXIC_BYTES = 4096
@@ -227,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Ids are matched and chosen first, so that no text is shuffled for those not chosen.
     there = known.join(texts.select("doc_id").hint("merge"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     parts = [
-        there.where(F.col("toxic") == kind).orderBy("h", "doc_id").limit(most)
+        there.where((F.col("toxic") == kind) & hashed_share(F.col("h"), most, counts.get(kind, 0))).orderBy("h", "doc_id").limit(most)
         for kind, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))
     ]
     # At most TOXIC_ROWS + ORDINARY_ROWS ids are broadcast, and as many texts come here.
