@@ -9,7 +9,7 @@ from pagequill.llm import mixing
 from pagequill.llm.queries import MIX, QUERIES
 
 WORDS = {"a": "red crimson scarlet rose".split(), "b": "blue navy azure sky".split(), "c": "green lime moss leaf".split()}
-TARGETS = {"a": 0.2, "b": 0.5, "c": 0.3}
+TARGETS = {"a": 0.4, "b": 0.3, "c": 0.3}
 
 
 @pytest.fixture(scope="module")
