@@ -33,6 +33,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number for each row in ``__row``, written so that the numbers stay."""
+    return saved(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
+def row_key(id_col: str) -> Column:
+    """Key of a numbered row that no other has; sorts by id, null ids last."""
+    own = F.col(id_col)
+    return F.struct(own.isNull().alias("none"), own.alias("id"), F.col("__row").alias("row"))
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table that ``saved`` wrote and nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
