@@ -23,9 +23,12 @@ from .shared import components, hashed_share, saved
 COSINE = 0.95
 #: Vectors looked at for pivots; most pivots; most cosine between two of them.
 SAMPLE, PIVOTS, APART = 8192, 512, 0.85
-#: Pivots that describe a vector, and how many of them candidates share. Against all pairs on
-#: the test tables this finds over 0.99 of the links; see the tests.
+#: Pivots that describe a vector, and how many of them candidates share at most. Fewer are asked
+#: for where the links inside the sample need it, and one list of all vectors, in which every pair
+#: is compared, is taken where that does not do either.
 NEAREST, SHARED = 8, 3
+#: Share of the sample's links that the pivots have to find.
+RECALL = 0.995
 #: Vectors of a list compared in one group are at most twice as many.
 BLOCK = 2048
 
@@ -48,6 +51,36 @@ def spread_pivots(sample: np.ndarray) -> np.ndarray:
     return np.array(pivots)
 
 
+def nearest(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Numbers of the nearest pivots of each vector, in order."""
+    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :NEAREST]
+
+
+def chosen_pivots(sample: np.ndarray) -> tuple[np.ndarray, int]:
+    """Pivots, and how many of them candidates have to share, so that the links inside the sample
+    are found. Where no such number finds them, one pivot: all vectors share it."""
+    pivots = spread_pivots(sample)
+    # Up to so many pivots each vector has all of them, and a single list compares all pairs.
+    if len(pivots) <= NEAREST:
+        return pivots[:1], 1
+    order = nearest(sample, pivots)
+    own = np.zeros((len(sample), len(pivots)), np.float32)
+    np.put_along_axis(own, order, 1.0, 1)
+    with_at_least = np.zeros(SHARED + 1, np.int64)
+    for at in range(0, len(sample), 512):
+        part = slice(at, at + 512)
+        i, j = np.nonzero(sample[part] @ sample[at:].T >= COSINE)
+        i, j = i[i < j], j[i < j]
+        for some in range(0, len(i), 1 << 16):
+            a, b = at + i[some : some + (1 << 16)], at + j[some : some + (1 << 16)]
+            shared = np.einsum("ij,ij->i", own[a], own[b]).astype(int)
+            with_at_least += [(shared >= s).sum() for s in range(SHARED + 1)]
+    for shared in range(SHARED, 0, -1):
+        if with_at_least[shared] >= RECALL * with_at_least[0]:
+            return pivots, shared
+    return pivots[:1], 1
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -60,8 +93,7 @@ def _described(pivots: np.ndarray):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = unit(_matrix(batch.column("embedding"))) @ pivots.T
-            order = np.argsort(-near, axis=1, kind="stable")[:, :NEAREST]
+            order = nearest(unit(_matrix(batch.column("embedding"))), pivots)
             bits = np.zeros((len(order), words * 64), bool)
             np.put_along_axis(bits, order, True, 1)
             sets = np.packbits(bits, axis=1, bitorder="little").view("<i8")
@@ -79,7 +111,7 @@ def _smallest(shared: np.ndarray) -> np.ndarray:
     return word * 64 + np.bitwise_count(low - np.uint64(1))
 
 
-def _compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+def _compare(least_shared: int, key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     pivot, left, right = (k.as_py() for k in key)
     node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
     own = group["block"].to_numpy()
@@ -91,7 +123,7 @@ def _compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         count = np.zeros((len(part), len(columns)), np.uint8)
         for w in range(bits.shape[1]):
             count += np.bitwise_count(bits[part, w][:, None] & bits[columns, w][None, :])
-        i, j = np.nonzero(count >= min(SHARED, NEAREST))
+        i, j = np.nonzero(count >= least_shared)
         i, j = part[i], columns[j]
         if left == right:
             i, j = i[i < j], j[i < j]
@@ -140,7 +172,11 @@ def vector_links(distinct: DataFrame) -> DataFrame:
     sample = few.orderBy("h").limit(SAMPLE).toArrow()
     if not sample.num_rows:
         return distinct.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))
-    pivots = spread_pivots(unit(_matrix(sample["embedding"])))
+    pivots, shared = chosen_pivots(unit(_matrix(sample["embedding"])))
+
+    def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        return _compare(shared, key, group)
+
     kind = distinct.schema["embedding"].dataType.simpleString()
     schema = f"node long, copies long, embedding {kind}, pivots array<int>, bits array<long>"
     described = saved(distinct.select("node", "copies", "embedding").mapInArrow(_described(pivots), schema), "described")
@@ -157,7 +193,7 @@ def vector_links(distinct: DataFrame) -> DataFrame:
         F.greatest("block", "other").alias("second"),
         "block", "node", "copies", "embedding", "bits",
     )
-    return groups.groupBy("pivot", "first", "second").applyInArrow(_compare, "node long, links long, root long")
+    return groups.groupBy("pivot", "first", "second").applyInArrow(compare, "node long, links long, root long")
 
 
 def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

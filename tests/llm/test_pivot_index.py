@@ -75,6 +75,41 @@ def test_dense_groups_and_recall(spark, monkeypatch, block):
     assert sum(g[2:] == w[2:] for g, w in zip(got, want)) >= 0.99 * len(want)
 
 
+def cone(rng, n, cosine, size=64):
+    """Vectors around one direction, two of which have the given cosine on average, and copies moved a little."""
+    centre = np.zeros(size)
+    centre[0] = np.sqrt(cosine)
+    spread = rng.normal(size=(n, size)) * np.sqrt((1 - cosine) / size)
+    spread[n // 2 :] = spread[: n - n // 2] + rng.normal(size=(n - n // 2, size)) * 0.15 * np.sqrt((1 - cosine) / size)
+    return centre + spread
+
+
+def test_two_near_vectors(spark):
+    vectors = [[1.0, 0.0], [1.0, 0.1]]
+    got = sorted(map(tuple, pivot_index.vector_groups(frame(spark, [5, 3], vectors)).collect()))
+    assert got == sorted(all_pairs([5, 3], vectors)) == [(3, 1, 3, True), (5, 1, 3, False)]
+
+
+@pytest.mark.parametrize("cosine", [0.9, 0.94])
+def test_narrow_cone_is_exact(spark, monkeypatch, cosine):
+    monkeypatch.setattr(pivot_index, "BLOCK", 100)
+    vectors = cone(np.random.default_rng(11), 400, cosine).tolist()
+    ids = list(range(len(vectors)))
+    want = sorted(all_pairs(ids, vectors))
+    assert sum(r[1] for r in want) > 150
+    assert sorted(map(tuple, pivot_index.vector_groups(frame(spark, ids, vectors, "double")).collect())) == want
+
+
+@pytest.mark.parametrize("cosine", [0.0, 0.5, 0.7, 0.8, 0.85])
+def test_pivots_find_the_links_of_cones(cosine):
+    vectors = pivot_index.unit(cone(np.random.default_rng(12), 3000, cosine))
+    pivots, shared = pivot_index.chosen_pivots(vectors)
+    own = np.zeros((len(vectors), len(pivots)))
+    np.put_along_axis(own, pivot_index.nearest(vectors, pivots), 1.0, 1)
+    linked = np.triu(vectors @ vectors.T >= 0.95, 1)
+    assert linked.sum() > 1000 and ((own @ own.T >= shared) & linked).sum() >= pivot_index.RECALL * linked.sum()
+
+
 def test_registered_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
