@@ -4,23 +4,26 @@ A classifier fitted on a labelled table predicts for every document how likely i
 each domain: naive Bayes over the presence of hashed words, with a temperature chosen on
 labelled documents it was not fitted on. Every document then gets a nonnegative rate, such that the tokens
 expected in each domain, rate times tokens times posterior summed over all documents, match the
-targets. The rates solve a least-squares problem by projected gradient steps:
+targets. The rates solve a least-squares problem:
 
     minimise  1/2 (t(r) - T)' G^-1 (t(r) - T) + RIDGE/2 sum_d w_d (r_d - 1)^2,   r_d >= floor
 
 where ``w_d`` is the document's share of all tokens, ``t(r) = sum_d w_d r_d p_d`` the domain
-shares, ``T`` the target shares and ``G = sum_d w_d p_d p_d'``, in which documents at the floor
-count a tenth, renewed in each step; its inverse evens out the directions, so that a step goes
-to the targets unless it meets the floor. One aggregate per step returns t and G, a few numbers,
-for several lengths of the step, and the best of them updates each document's rate; only those
-numbers and the bounded word table reach the driver.
+shares, ``T`` the target shares and ``G = sum_d w_d p_d p_d'``. Its dual has one variable per
+domain, and the rates follow from them row by row: ``r_d = max(floor, 1 + y'p_d)``. Semismooth
+Newton steps with a line search solve it until the gradient is gone. Shares that the second term
+still keeps off targets within reach are brought there by solving again with the term centred
+where the last solution was, until they are met or come no nearer. One aggregate per step returns
+value, gradient and curvature, a few numbers, for several lengths of the step; only those and
+the bounded word table reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -33,14 +36,12 @@ BUCKETS = 4096
 SMOOTHING = 1.0
 TEMPERATURES = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0)
 RIDGE = 1e-4
-#: Lengths of a step that are tried, along the renewed G and along that of all documents.
-LENGTHS, SAFE_LENGTHS = (1.0, 0.5, 0.25, 0.1), (1.5, 0.75)
-#: Weight in G of documents at the floor, which a step may raise.
-AT_FLOOR = 0.1
-#: Largest difference from a target share at which the steps end, and the most steps.
-TOLERANCE, MOST_STEPS = 5e-4, 60
-#: Updates between two writes of the rates, which keep the plan short.
-SAVE_EVERY = 10
+#: Lengths of a step that are tried at once.
+LENGTHS = (1.0, 0.3)
+#: Largest difference from a target share that counts as met.
+TOLERANCE = 5e-4
+#: Targets are out of reach once another solution leaves more than this of the difference.
+NO_NEARER = 0.9
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
@@ -139,30 +140,100 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col:
 
 @dataclass
 class Mix:
-    """A classifier and the steps of the rates; rates of any document follow from these."""
+    """A classifier and the dual variables; rates of any document follow from these.
+
+    ``reached`` has the domain shares at the rates, ``met`` whether they are those of the target.
+    """
 
     classifier: Classifier
     floor: float
     target: np.ndarray
-    steps: list[np.ndarray] = field(default_factory=list)
+    pull: np.ndarray | None = None
+    base: float = 1.0
     reached: np.ndarray | None = None
+    met: bool = False
+    steps: int = 0
 
-    def updated(self, rate: Column, posterior: list[Column], pull: list[Column]) -> Column:
-        slope = sum((p * g for p, g in zip(posterior, pull)), F.lit(0.0)) + RIDGE * (rate - 1)
-        return F.greatest(F.lit(float(self.floor)), rate - slope)
+    def rate(self) -> Column:
+        """Rate of a row from its posteriors ``_p``."""
+        if self.pull is None:
+            return F.lit(max(1.0, self.floor))
+        free = sum((F.get("_p", F.lit(i)) * float(y) for i, y in enumerate(self.pull)), F.lit(float(self.base)))
+        return F.greatest(F.lit(float(self.floor)), free)
 
     def rates(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """``docs`` with ``_n``, ``_p`` and ``_rate``, row by row without a join: the steps are
-        taken again for each document from its posteriors."""
-        k = len(self.target)
-        docs = self.classifier.posteriors(docs, text_col)
-        if not self.steps:
-            return docs.withColumn("_rate", F.lit(max(1.0, self.floor)))
-        posterior = [F.get("_p", F.lit(i)) for i in range(k)]
-        flat = _literal(np.concatenate(self.steps))
-        places = F.sequence(F.lit(0), F.lit(k * (len(self.steps) - 1)), F.lit(k))
-        step = lambda r, at: self.updated(r, posterior, [F.get(flat, at + i) for i in range(k)])
-        return docs.withColumn("_rate", F.aggregate(places, F.lit(max(1.0, self.floor)), step))
+        """``docs`` with ``_n``, ``_p`` and ``_rate``, row by row without a join."""
+        return self.classifier.posteriors(docs, text_col).withColumn("_rate", self.rate())
+
+
+@dataclass
+class _Solution:
+    pull: np.ndarray
+    off: np.ndarray
+    steps: int
+
+
+def _solved(state: DataFrame, total: float, away: np.ndarray, target: np.ndarray, floor: float, near: float) -> _Solution:
+    """Dual variables for features ``_p - away``, of which the weighted sum is to be ``target``,
+    and what it is off at the solution."""
+    k = len(target)
+    cells = [(i, j) for i in range(k) for j in range(i, k)]
+    f = [F.get("_p", F.lit(i)) - F.lit(float(away[i])) for i in range(k)]
+
+    def matrix(row, name: str) -> np.ndarray:
+        return np.array([[row[f"{name}g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
+
+    row = state.agg(*[F.sum(F.col("_n") * f[i] * f[j]).alias(f"g{i}_{j}") for i, j in cells]).first()
+    values, vectors = np.linalg.eigh(matrix(row, ""))
+    some = values > 1e-9 * max(values.max(), 1e-30)
+    # In these coordinates G is one; directions in which no document differs are left out.
+    white = vectors[:, some] / np.sqrt(values[some])
+    size = white.shape[1]
+
+    def at(points: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Value, sums and curvature at each point, the second term left out."""
+        frame, wanted = state, []
+        for x, z in enumerate(points):
+            free = sum((c * float(y) for c, y in zip(f, white @ z)), F.lit(1.0))
+            frame = frame.withColumn(f"_z{x}", free)
+            free, rate = F.col(f"_z{x}"), F.greatest(F.col(f"_z{x}"), F.lit(float(floor)))
+            value = rate * rate / 2 + floor * F.least(F.lit(0.0), free - floor)
+            wanted.append(F.sum(F.col("_n") * value).alias(f"v{x}"))
+            wanted += [F.sum(F.col("_n") * rate * c).alias(f"s{x}_{i}") for i, c in enumerate(f)]
+            bent = F.when(free > floor, F.col("_n")).otherwise(0)
+            wanted += [F.sum(bent * f[i] * f[j]).alias(f"{x}_g{i}_{j}") for i, j in cells]
+        row = frame.agg(*wanted).first()
+        out = []
+        for x, z in enumerate(points):
+            sums = np.array([row[f"s{x}_{i}"] for i in range(k)]) / total
+            out.append((row[f"v{x}"] / total - target @ (white @ z), sums, matrix(row, f"{x}_")))
+        return out
+
+    z = np.zeros(size)
+    centre, missed, steps = z, np.inf, 1
+    value, sums, curve = at([z])[0]
+    while True:
+        full = value + RIDGE / 2 * ((z - centre) ** 2).sum()
+        slope = white.T @ (sums - target) + RIDGE * (z - centre)
+        way, scale, settled = None, 1.0, not size or np.linalg.norm(slope) <= near / 10
+        while not settled:
+            if way is None:
+                way = np.linalg.solve(white.T @ curve @ white + RIDGE * np.eye(size), slope)
+            tried = [z - scale * x * way for x in LENGTHS]
+            results = at(tried)
+            steps += 1
+            fulls = [r[0] + RIDGE / 2 * ((t - centre) ** 2).sum() for r, t in zip(results, tried)]
+            best = int(np.argmin(fulls))
+            if fulls[best] < full:
+                z, (value, sums, curve) = tried[best], results[best]
+                break
+            scale *= LENGTHS[-1]
+            settled = scale < 1e-8  # no lower value in double precision
+        if settled:
+            off = np.abs(sums - target).max()
+            if off <= near or off > NO_NEARER * missed:
+                return _Solution(white @ z, sums - target, steps)
+            missed, centre = off, z
 
 
 def fitted_mix(
@@ -171,15 +242,16 @@ def fitted_mix(
     targets: dict[str, float],
     floor: float = 0.0,
     budget: float | None = 1.0,
-    most_steps: int = MOST_STEPS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[Mix, DataFrame]:
     """The mix for the target weights, and its documents (id, _n, _p, _rate) as a written table.
 
-    ``budget`` is the number of tokens wanted in relation to those there are; None takes the
-    least for which no domain has to shrink. Where the targets are out of reach the rates come
-    as near to them as they can. Without tokens all rates are 1 (or the floor, if larger).
+    ``budget`` is the number of tokens wanted in relation to those there are. None takes the
+    least for which no domain has to shrink; with a floor of 1 or more, where documents of mixed
+    domains need more, it takes the one at which the targets are met with the least change.
+    Where the targets are out of reach the rates come as near to them as they can, ``met`` is
+    false and a warning tells so. Without tokens all rates are 1 (or the floor, if larger).
     """
     domains = list(targets)
     weights = np.array([targets[d] for d in domains], float)
@@ -187,50 +259,31 @@ def fitted_mix(
         raise ValueError("target weights must be nonnegative and not all zero")
     own = classifier(docs, labelled, domains, id_col, text_col)
     start = own.posteriors(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text")
-    state = saved(start.drop("_text").withColumn("_rate", F.lit(max(1.0, floor))), "rates")
-    k, n, rate, p = len(domains), F.col("_n"), F.col("_rate"), [F.get("_p", F.lit(i)) for i in range(len(domains))]
-    cells = [(i, j) for i in range(k) for j in range(i, k)]
-
-    def sums(rate: Column, name: str) -> list[Column]:
-        free = F.when(rate > floor, n).otherwise(n * AT_FLOOR)
-        grams = [F.sum(free * p[i] * p[j]).alias(f"{name}g{i}_{j}") for i, j in cells]
-        return [*grams, *[F.sum(n * rate * x).alias(f"{name}t{i}") for i, x in enumerate(p)]]
-
-    def read(row, name: str, total: float) -> tuple[np.ndarray, np.ndarray]:
-        gram = [[row[f"{name}g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
-        return np.array([row[f"{name}t{i}"] for i in range(k)]) / total, np.array(gram) / total
-
-    whole = [F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in cells]
-    first = state.agg(F.sum(n).alias("n"), *whole, *sums(rate, "now_"), *[F.sum(n * x).alias(f"t{i}") for i, x in enumerate(p)]).first()
-    mix, written = Mix(own, floor, weights / weights.sum()), state
-    total = first["n"]
+    state = saved(start.drop("_text"), "rates")
+    shares = [F.sum(F.col("_n") * F.get("_p", F.lit(i))).alias(f"t{i}") for i in range(len(domains))]
+    first = state.agg(F.sum("_n").alias("n"), *shares).first()
+    mix, total = Mix(own, floor, weights / weights.sum()), first["n"]
     if not total:
-        return mix, state
-    (now, gram), safe = read(first, "now_", total), np.linalg.pinv(read(first, "", total)[1], rcond=1e-9, hermitian=True)
-    if budget is None:
-        wanted = mix.target > 0
-        budget = float((now[wanted] / mix.target[wanted]).max())
-    mix.target = mix.target * budget
-    far = lambda t: float((t - mix.target) @ safe @ (t - mix.target))
-    while np.abs(now - mix.target).max() > TOLERANCE * budget and len(mix.steps) < most_steps:
-        own_way = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ (now - mix.target)
-        pulls = [x * own_way for x in LENGTHS] + [x * safe @ (now - mix.target) for x in SAFE_LENGTHS]
-        tried = [mix.updated(rate, p, [F.lit(float(g)) for g in pull]) for pull in pulls]
-        names = [f"_r{i}" for i in range(len(tried))]
-        row = state.withColumns(dict(zip(names, tried))).agg(*[c for x in names for c in sums(F.col(x), x)]).first()
-        results = [read(row, x, total) for x in names]
-        best = min(range(len(results)), key=lambda i: far(results[i][0]))
-        if far(results[best][0]) > far(now) * 0.999:  # as near as the rates can come
-            break
-        now, gram = results[best]
-        mix.steps.append(pulls[best])
-        state = state.withColumn("_rate", tried[best])
-        if len(mix.steps) % SAVE_EVERY == 0:
-            old, written = written, saved(state, "rates")
-            state = written
-            remove(old)
-    mix.reached = now
-    return mix, state
+        return mix, state.withColumn("_rate", mix.rate())
+    share, nothing, now = mix.target, np.zeros(len(domains)), np.array([first[f"t{i}"] for i in range(len(domains))]) / total
+    if budget is None and floor >= 1:
+        # Rates times (posteriors - target shares) add to nothing at any budget that meets them.
+        found = _solved(state, total, share, nothing, floor, TOLERANCE * floor)
+        mix.pull, mix.base, mix.steps = found.pull, 1.0 - float(share @ found.pull), found.steps
+        tokens = state.agg(F.sum(F.col("_n") * mix.rate())).first()[0] / total
+        mix.target, mix.reached = share * tokens, share * tokens + found.off
+        mix.met = bool(np.abs(found.off).max() <= TOLERANCE * tokens)
+    if not mix.met:
+        if budget is None:
+            budget = float((now[share > 0] / share[share > 0]).max()) * max(1.0, floor)
+        found = _solved(state, total, nothing, share * budget, floor, TOLERANCE * budget)
+        mix.pull, mix.base, mix.steps = found.pull, 1.0, mix.steps + found.steps
+        mix.target, mix.reached = share * budget, share * budget + found.off
+        mix.met = bool(np.abs(found.off).max() <= TOLERANCE * budget)
+    if not mix.met:
+        off = np.abs(mix.reached - mix.target).max() / mix.target.sum()
+        warnings.warn(f"target shares are out of reach: the rates come within {off:.4f}", stacklevel=2)
+    return mix, state.withColumn("_rate", mix.rate())
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:

@@ -74,6 +74,30 @@ def test_floor_and_open_budget(corpus):
     assert away(got) < 0.7 * away(n @ p / n.sum())
 
 
+FAR = {"a": 0.2, "b": 0.5, "c": 0.3}
+
+
+def test_targets_far_from_the_corpus_are_met(corpus):
+    far = np.array(list(FAR.values()))
+    mix, state = mixing.fitted_mix(*corpus, FAR)
+    n, p, rate = arrays(state)
+    assert mix.met and rate.min() >= 0 and np.abs((n * rate) @ p / n.sum() - far).max() <= mixing.TOLERANCE
+    plain = solved(n, p, far)
+    spread = lambda r: (n * (r - 1) ** 2).sum() / n.sum()
+    assert spread(rate) < 1.1 * spread(plain) + 1e-3
+    mix, state = mixing.fitted_mix(*corpus, FAR, floor=1.0, budget=None)
+    n, p, rate = arrays(state)
+    got = (n * rate) @ p / n.sum()
+    assert mix.met and rate.min() >= 1.0 and np.abs(got / got.sum() - far).max() < 0.01
+
+
+def test_targets_out_of_reach_are_marked(corpus):
+    with pytest.warns(UserWarning, match="out of reach"):
+        mix, state = mixing.fitted_mix(*corpus, {"a": 0.0, "b": 0.0, "c": 1.0})
+    n, p, rate = arrays(state)
+    assert not mix.met and np.abs((n * rate) @ p / n.sum() - mix.reached).max() < 1e-9
+
+
 def test_posteriors_know_the_domains(corpus, spark):
     own = mixing.classifier(*corpus, list(TARGETS))
     df = spark.createDataFrame([("red rose crimson " * 9,), ("sky navy " * 9,), (None,), ("MOSS leaf lime " * 9,)], "text string")
