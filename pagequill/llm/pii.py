@@ -2,10 +2,11 @@
 
 Patterns find emails, IP addresses, card and phone numbers. A random field over the words that
 hold a digit or an ``@`` then labels those the patterns missed: neighbouring words share
-transition potentials, and words of a document that repeat each other, however far apart, share
-skip potentials. Words in a pattern's span keep its label. Loopy belief propagation
-carries labels along both kinds of edges; a word whose label is likely enough, and which repeats
-a word that the patterns labelled so, becomes a span. Numbers that failed a pattern's test and
+transition potentials. Mentions of a document that repeat each other, however far apart, share
+skip potentials: runs of number words with the same digits, phone numbers without their first
+digits, the same mailbox. Words in a pattern's span keep its label. Loopy belief propagation
+carries labels along both kinds of edges; a mention whose label is likely enough, and which
+repeats one that the patterns labelled so, becomes a span. Numbers that failed a pattern's test and
 are repeated nowhere in a span are thus left alone.
 
 All potentials are estimated from a bounded sample of such words, labelled by the patterns; the
@@ -30,11 +31,11 @@ KINDS = ("email", "ip", "card", "phone")
 SPACES = " \t\n\x0b\x0c\r"
 #: Words that the field is fitted on at most.
 FIT_WORDS = 20_000
-#: Likelihood from which a word is a span, if it repeats a word in a pattern's span of that kind.
+#: Likelihood from which a mention is a span, if it repeats a pattern's span of that kind.
 CERTAIN = 0.5
 ROUNDS, DAMPING = 20, 0.5
 BATCH_BYTES = 4 << 20
-#: Least digits that make two words alike, and most weight of an edge between such words.
+#: Least digits that make two mentions alike, and most weight of an edge between such words.
 SAME_DIGITS, MOST_SKIP = 7, 6.0
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -135,12 +136,122 @@ def _features(text: str, places: list[tuple[int, int]]) -> tuple[np.ndarray, np.
     return out, near
 
 
-def _key(word: str) -> str | None:
-    """What words have in common that repeat each other: the mailbox, or seven digits or more."""
-    if "@" in word:
-        return re.sub(r"[^a-z0-9@]", "", word[: word.index("@") + 1].lower()).lstrip("0123456789") or None
-    digits = re.sub("[^0-9]", "", word)
-    return digits if len(digits) >= SAME_DIGITS else None
+def _mailbox(word: str) -> str | None:
+    """What addresses have in common that repeat each other."""
+    return re.sub(r"[^a-z0-9@]", "", word[: word.index("@") + 1].lower()).lstrip("0123456789") or None
+
+
+#: A run of number words: nothing but digits and what stands between their groups.
+_NUMBER = re.compile(r"[^A-Za-z0-9@]*[0-9][0-9().+/-]*[^A-Za-z0-9@]*")
+_IP_WORD = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])")
+#: Most digits of a card and of a phone number.
+CARD_DIGITS, PHONE_DIGITS = 19, 15
+
+
+@dataclass
+class Entity:
+    """Neighbouring words ``first`` to ``last`` that are one mention, and the key it is known by."""
+
+    first: int
+    last: int
+    key: str
+    kind: int = -1  # of the pattern's span it lies in
+
+
+def alike(one: Entity, other: Entity) -> bool:
+    """Whether two mentions repeat each other: equal keys, or phone numbers of which one is the
+    other without its first digits, a leading zero in place of a prefix left out."""
+    if one.key == other.key:
+        return True
+    if 3 not in (one.kind, other.kind) or not (one.key[-1:].isdigit() and other.key[-1:].isdigit()):
+        return False
+    if "." in one.key or "." in other.key:
+        return False
+    short, long = sorted((one.key.lstrip("0"), other.key.lstrip("0")), key=len)
+    return SAME_DIGITS <= len(short) and len(long) <= PHONE_DIGITS and long.endswith(short)
+
+
+def entities(text: str, places: list[tuple[int, int]], spans: list[Span]) -> list[Entity]:
+    """Mentions among the words: those of each pattern's span, then addresses, and of each run of
+    other number words the parts that repeat a span; what is left of it is one mention."""
+    found: list[Entity] = []
+    used = np.zeros(len(places), bool)
+    at = 0
+    for start, kind, end in spans:
+        at = next((i for i in range(at, len(places)) if places[i][1] > start), len(places))
+        last = at
+        while last < len(places) and places[last][0] < end:
+            last += 1
+        if last == at or used[at:last].any():
+            continue
+        used[at:last] = True
+        key = _mailbox(text[start:end]) if kind == 0 else text[start:end] if kind == 1 else re.sub("[^0-9]", "", text[start:end])
+        if key:
+            found.append(Entity(at, last - 1, key, kind))
+    exact = {e.key for e in found if e.kind >= 2}
+    phones: dict[str, list[Entity]] = {}
+    for e in found:
+        if e.kind == 3 and not any(e.key == x.key for x in phones.get(e.key[-SAME_DIGITS:], ())):
+            phones.setdefault(e.key[-SAME_DIGITS:], []).append(e)
+
+    def rest(first: int, last: int) -> None:
+        digits = re.sub("[^0-9]", "", text[places[first][0] : places[last][1]]) if first <= last else ""
+        if len(digits) >= SAME_DIGITS:
+            found.append(Entity(first, last, digits))
+
+    i = 0
+    while i < len(places):
+        word = text[slice(*places[i])]
+        if used[i] or ("@" not in word and not _NUMBER.fullmatch(word)):
+            i += 1
+            continue
+        if "@" in word or (ip := _IP_WORD.search(word)):
+            key = _mailbox(word) if "@" in word else ip[0]
+            if key:
+                found.append(Entity(i, i, key))
+            i += 1
+            continue
+        last = i
+        while last + 1 < len(places) and not used[last + 1] and not text[places[last][1] : places[last + 1][0]].strip(" ") \
+                and text[places[last][1] - 1] not in ",;:.!?" and _NUMBER.fullmatch(text[slice(*places[last + 1])]):
+            last += 1
+        parts, left = [re.sub("[^0-9]", "", text[a:b]) for a, b in places[i : last + 1]], i
+        x = i
+        while x <= last:
+            end, key, best = x, "", None
+            while end <= last and len(key) + len(parts[end - i]) <= CARD_DIGITS:
+                key += parts[end - i]
+                if len(key) >= SAME_DIGITS and (key in exact or any(alike(e, Entity(x, end, key)) for e in phones.get(key[-SAME_DIGITS:], ()))):
+                    best = Entity(x, end, key)
+                end += 1
+            if best is not None:
+                rest(left, x - 1)
+                found.append(best)
+                x = left = best.last + 1
+            else:
+                x += 1
+        rest(left, last)
+        i = last + 1
+    return sorted(found, key=lambda e: e.first)
+
+
+def repeats(own: list[Entity]) -> list[tuple[int, int]]:
+    """Pairs (earlier or labelled mention, mention) that are alike: each mention with the one of
+    its key before it and, where that is none, with the first span of a phone it may be part of."""
+    pairs, last = [], {}
+    phones: dict[str, list[int]] = {}
+    for i, e in enumerate(own):
+        if e.kind == 3:
+            phones.setdefault(e.key[-SAME_DIGITS:], []).append(i)
+    for i, e in enumerate(own):
+        if e.key in last:
+            pairs.append((last[e.key], i))
+        elif e.kind != 0 and "@" not in e.key:
+            anchor = next((j for j in phones.get(e.key[-SAME_DIGITS:], []) if j != i and alike(own[j], e)), None)
+            if anchor is not None:
+                pairs.append((anchor, i))
+        last[e.key] = i
+    return pairs
 
 
 def _labels(places: list[tuple[int, int]], spans: list[Span]) -> np.ndarray:
@@ -167,22 +278,21 @@ class Graph:
 
 
 def graph(texts: list[str], places: list[list[tuple[int, int]]], spans: list[list[Span]]) -> Graph:
-    """One graph of all documents; a word's skip edge goes to the next that repeats it, so
-    their number is at most that of the words."""
+    """One graph of all documents; skip edges tie the words of a mention to those of the one it
+    repeats, in order, so their number is at most twice that of the words."""
     features, labels, pairs, skip, offset = [np.zeros((0, FEATURES))], [np.zeros(0, np.int64)], [], [], 0
     for text, words, own in zip(texts, places, spans):
         found, near = _features(text, words)
-        last: dict[str, int] = {}
-        for i, (a, b) in enumerate(words):
+        for i in range(len(words)):
             if near[i]:
                 pairs.append((offset + i - 1, offset + i))
                 skip.append(False)
-            key = _key(text[a:b])
-            if key is not None:
-                if key in last:
-                    pairs.append((offset + last[key], offset + i))
-                    skip.append(True)
-                last[key] = i
+        known = entities(text, words, own)
+        for j, i in repeats(known):
+            one, other = known[j], known[i]
+            for x in range(max(one.last - one.first, other.last - other.first) + 1):
+                pairs.append((offset + min(one.first + x, one.last), offset + min(other.first + x, other.last)))
+                skip.append(True)
         features.append(found)
         labels.append(_labels(words, own))
         offset += len(words)
@@ -261,23 +371,31 @@ def all_spans(texts: list[str], field: Field) -> tuple[list[list[Span]], list[li
     base, places = [base_spans(t) for t in texts], [candidates(t) for t in texts]
     g = graph(texts, places, base)
     likely = field.marginals(g)
-    best, certain = likely.argmax(1), likely.max(1) >= CERTAIN
     whole, at = [], 0
     for text, words, own in zip(texts, places, base):
         added: list[Span] = []
-        keys = [_key(text[a:b]) for a, b in words]
-        anchors = {(key, g.labels[i]) for i, key in enumerate(keys, at) if g.labels[i]}
-        for i, ((a, b), key) in enumerate(zip(words, keys), at):
-            if g.labels[i] or not best[i] or not certain[i] or key is None or (key, best[i]) not in anchors:
+        known = entities(text, words, own)
+        # A mention counts as repeated if a pattern's span of the kind is among those it is tied to.
+        group = list(range(len(known)))
+        for j, i in repeats(known):
+            group[i] = group[j] if j < i else group[i]
+            if j > i:
+                old = group[i]
+                group = [group[j] if x == old else x for x in group]
+        anchors = {(tied, e.kind) for tied, e in zip(group, known) if e.kind >= 0}
+        for tied, e in zip(group, known):
+            if e.kind >= 0 or g.labels[at + e.first : at + e.last + 1].any():
+                continue
+            total = likely[at + e.first : at + e.last + 1].mean(0)
+            kind = int(total.argmax()) - 1
+            if kind < 0 or total[kind + 1] < CERTAIN or (tied, kind) not in anchors:
                 continue
+            a, b = words[e.first][0], words[e.last][1]
             while a < b and not text[a].isalnum() and text[a] not in "+(":
                 a += 1
             while a < b and not text[b - 1].isalnum():
                 b -= 1
-            kind = int(best[i]) - 1
-            if added and added[-1][1] == kind and not text[added[-1][2] : a].strip(SPACES + ")"):
-                added[-1] = (added[-1][0], kind, b)
-            elif a < b:
+            if a < b:
                 added.append((a, kind, b))
         at += len(words)
         whole.append(sorted(own + added))

@@ -97,6 +97,39 @@ def test_repeated_mentions_are_added_and_plain_numbers_are_not():
     assert pii.redacted(text, pii.written(whole[0])).count("[phone]") >= 2
 
 
+@pytest.mark.parametrize(
+    "kind, first, again",
+    [
+        ("phone", "+1 (212) 555-7713", "212-555-7713"), ("phone", "+1 (212) 555-7713", "212 555 7713"),
+        ("phone", "+1 (212) 555-7713", "(212) 555-7713"), ("phone", "+44 20 7946 0958", "020 7946 0958"),
+        ("card", "4111 1111 1111 1111", "4111.1111.1111.1111"), ("phone", "+1 (212) 555-7713", "1-212-555 7713"),
+        ("email", "jo.do@mail.example.com", "jo.do@mail"),
+    ],
+)
+def test_mentions_of_several_words_and_prefixes(kind, first, again):
+    rows = corpus() + [f"Paid by 5500 0000 0000 {i:04d} then" for i in range(400)]
+    field = pii.fitted(pii.graph(rows, [pii.candidates(t) for t in rows], [pii.base_spans(t) for t in rows]))
+    for text in (f"Use {first} now. " + "word " * 300 + f"Again {again}, version 4.0, page 17 of 1999.", f"First {again}; later {first} twice"):
+        base, whole = pii.all_spans([text], field)
+        added = {(pii.KINDS[k], text[a:b]) for a, k, b in whole[0]} - {(pii.KINDS[k], text[a:b]) for a, k, b in base[0]}
+        assert added == {(kind, again)}, text
+
+
+def test_a_mention_behind_another_number():
+    text = "Call +1 (212) 555-7713. " + "word " * 20 + "rooms 17 212 555 7713 follow"
+    words, spans = pii.candidates(text), pii.base_spans(text)
+    mentions = [text[words[e.first][0] : words[e.last][1]] for e in pii.entities(text, words, spans)]
+    assert mentions[-1] == "212 555 7713"
+
+
+def test_other_numbers_are_no_mentions():
+    rows = corpus()
+    field = pii.fitted(pii.graph(rows, [pii.candidates(t) for t in rows], [pii.base_spans(t) for t in rows]))
+    text = "Call +1 (212) 555-7713. Order 9998887776, 1 212 555 9999, 2001 2002 2003 and 7713"
+    base, whole = pii.all_spans([text], field)
+    assert whole == base
+
+
 def test_frames(spark):
     rows = [(i, t, "x", 1) for i, t in enumerate(corpus())] + [(None, None, "x", 1), (900, "", "x", 1), (900, "", "x", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string, h int")
