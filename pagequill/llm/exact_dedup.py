@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import numbered, row_key, saved
 
 SHORTEST, LONGEST = 256, 2048
 #: A cut is made behind five characters of which the code points are 0, 1, 2, 0, 1 modulo 3;
@@ -102,7 +102,11 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that ``exact_groups`` does not keep; all columns stay."""
-    groups = exact_groups(docs, id_col, text_col)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """``docs`` with one row of each group of ``exact_groups``; all columns stay.
+
+    It is the row that is kept there; of rows that repeat its id and length any one.
+    """
+    rows = numbered(docs)
+    groups = exact_groups(rows.select(row_key(id_col).alias("key"), F.col(text_col).alias("text")), "key", "text")
+    gone = groups.where("not kept").select(F.col("doc_id.row").alias("__gone"))
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from .shared import components, saved
+from .shared import components, numbered, row_key, saved
 
 SHINGLE = 3
 SEED = 42
@@ -151,10 +151,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, that with the smallest id; all columns stay.
+    """``docs`` with one row of each group, that with the smallest id; all columns stay.
 
-    Rows without an id are in no one's way and stay.
+    A null id counts as the last, and of equal ids any one row is taken.
     """
-    groups = simhash_groups(docs, id_col, text_col)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    rows = numbered(docs)
+    groups = simhash_groups(rows.select(row_key(id_col).alias("key"), F.col(text_col).alias("text")), "key", "text")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id.row").alias("__gone"))
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")

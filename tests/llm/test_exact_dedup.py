@@ -58,6 +58,12 @@ def test_drop_copies_keeps_columns(spark):
     assert {r["doc_id"] for r in kept.collect()} - {None} == want
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "b"), (1, "c"), (0, "b"), (None, "b"), (None, "d"), (None, "d"), (7, "e"), (7, "e"), (8, "f  f"), (2, "ff")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in xd.drop_copies(frame(spark, rows)).collect()), key=repr)
+    assert kept == sorted([(0, "b"), (1, "c"), (None, "d"), (7, "e"), (8, "f  f")], key=repr)
+
+
 def test_empty_table_and_no_python(spark):
     groups = xd.exact_groups(frame(spark, []))
     assert groups.count() == 0
