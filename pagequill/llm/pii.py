@@ -429,7 +429,8 @@ def fit(docs: DataFrame, text_col: str = "text") -> Field:
 
     hashed = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     hinted = hashed.where(F.col("text").rlike("[0-9@]"))
-    few = hashed_share(F.col("h"), FIT_WORDS // 10, hinted.count())
+    # The share is one of distinct texts, as copies add nothing to the sample.
+    few = hashed_share(F.col("h"), FIT_WORDS // 10, hinted.select("h").distinct().count())
     # Equal texts have one hash: however many there are, one is taken.
     found = hinted.where(few).groupBy("h").agg(F.min("text").alias("text")).mapInArrow(lines, schema)
     rows = found.orderBy("h").limit(FIT_WORDS // 10).collect()

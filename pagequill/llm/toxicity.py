@@ -228,8 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = texts.where(F.length("text") <= FIT_CHARS)
     # Ids are matched and chosen first, so that no text is shuffled for those not chosen.
     there = known.join(texts.select("doc_id").hint("merge"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
+    # The share is one of the labels whose document is there.
+    present = {r["toxic"]: r["n"] for r in there.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     parts = [
-        there.where((F.col("toxic") == kind) & hashed_share(F.col("h"), most, counts.get(kind, 0))).orderBy("h", "doc_id").limit(most)
+        there.where((F.col("toxic") == kind) & hashed_share(F.col("h"), most, present.get(kind, 0))).orderBy("h", "doc_id").limit(most)
         for kind, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))
     ]
     # At most TOXIC_ROWS + ORDINARY_ROWS ids are broadcast, and as many texts come here.

@@ -141,3 +141,13 @@ def test_frames(spark):
         assert r["base_sha256"] == hashlib.sha256(pii.written(own).encode()).hexdigest()
         assert set(filter(None, pii.written(own).split(","))) <= set(filter(None, r["spans"].split(",")))
     assert pii.personal_data(df.limit(0)).count() == 0
+
+
+def test_sample_of_many_copies(spark, monkeypatch):
+    texts, seen = corpus()[:20], []
+    monkeypatch.setattr(pii, "FIT_WORDS", 200)
+    monkeypatch.setattr(pii, "fitted", lambda g: seen.append(len(g.labels)))
+    df = spark.range(4000).selectExpr("CAST(id % 20 AS int) + 1 AS k").join(
+        spark.createDataFrame(list(enumerate(texts, 1)), "k int, text string"), "k")
+    pii.fit(df)
+    assert seen == [sum(len(pii.candidates(t)) for t in texts)]

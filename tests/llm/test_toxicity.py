@@ -82,3 +82,13 @@ def test_frames(spark):
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["predicted"] == 0}
     assert toxicity.toxicity_scores(docs.limit(0), known.limit(0)).count() == 0
+
+
+def test_labels_that_far_outnumber_the_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 20)
+    monkeypatch.setattr(toxicity, "ORDINARY_ROWS", 20)
+    monkeypatch.setattr(toxicity, "fitted", lambda texts, y, prior: seen.append((int(y.sum()), len(y))))
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    toxicity.fit(docs, spark.range(40_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic"))
+    assert seen == [(20, 40)]
