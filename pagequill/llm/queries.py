@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, pii, pivot_index, sentencepiece, simhash, token_file, toxicity, warc
+from . import (
+    exact_dedup,
+    interval_search,
+    line_dedup,
+    maxscore,
+    mixing,
+    periodic,
+    pii,
+    pivot_index,
+    sentencepiece,
+    simhash,
+    token_file,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +132,69 @@ def op1_mixing(spark, sf):
 @query
 def op6_pii(spark, sf):
     return pii.personal_data(table(spark, sf, "documents"))
+
+
+@query
+def op11_maxscore(spark, sf):
+    return maxscore.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_maxscore"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS bigint) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS integer) AS rank, vec_id, score FROM r WHERE place <= 10
+"""
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    docs = periodic.with_planted_period(table(spark, sf, "documents").select("doc_id", "text"))
+    best = periodic.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic.periodic_runs(docs).select("doc_id", "collapsed", "runs", best.alias("best"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_interval_search(spark, sf):
+    return interval_search.ranked_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op13_interval_search"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+d AS (SELECT doc_id, len(terms) AS n, terms FROM t WHERE len(terms) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS bigint) AS total FROM d),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS bigint) AS w
+  FROM p, s GROUP BY term),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+f AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total)))) AS bigint) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM f WHERE score > 0)
+SELECT item_id, CAST(place AS integer) AS rank, doc_id, score FROM r WHERE place <= 10
+"""

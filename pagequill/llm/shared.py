@@ -33,6 +33,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(df: DataFrame) -> DataFrame:
+    """``df`` as one column ``row``, so that no column of it clashes with those added beside it."""
+    return df.select(F.struct("*").alias("row"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """The columns that ``carried`` packed, and no other."""
+    return df.select("row.*")
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with a number for each row in ``__row``, written so that the numbers stay."""
     return saved(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
