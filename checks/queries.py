@@ -141,7 +141,7 @@ def title_hits(spark: SparkSession, sf: str, index: pq.Index) -> DataFrame:
         "request_id", "k", tx.title_normalise("words").alias("prefix")
     )
     size = parsed.agg(F.max("k").alias("k"), F.max(F.length("prefix")).alias("n")).first()
-    found = pq.title_prefix_search(parsed, index.directory, size["k"], size["n"])
+    found = pq.title_prefix_search(parsed, index.directory, size["k"], size["n"], starts=index.title_starts)
     return parsed.join(found, "prefix").where(F.col("title_rank") <= F.col("k")).select(
         "request_id", "title_rank", "id"
     )
@@ -419,7 +419,7 @@ def title_lookup(spark, sf):
 def fetch_pages(spark, sf):
     index, pages = dump_index(spark, sf)
     found = pq.search_batch(requests(spark, sf), index)
-    return pq.fetch_pages(found, pages.select("id", "title", "sha1", "text"))
+    return pq.fetch_pages(found, pages.select("id", "title", "sha1", "text", "id_bucket"))
 
 
 @query

@@ -11,23 +11,25 @@ from .text import _col
 MOST = (1 << 63) - 1
 
 
-def _trimmed(msg: Column | str) -> Column:
+def trimmed(msg: Column | str) -> Column:
     return F.regexp_replace(_col(msg), r"^\s+|\s+$", "")
 
 
-def request_limit(msg: Column | str) -> Column:
-    """Signed limit: the leading integer of the first token, 0 if there is none.
+def leading_number(msg: Column | str) -> Column:
+    """Digits of the leading integer of a trimmed request, with its sign; "" if there is none."""
+    return F.regexp_extract(_col(msg), r"^([+-]?[0-9]+)", 1)
 
-    A limit beyond 64 bits is as good as the largest one.
-    """
-    digits = F.regexp_extract(_trimmed(msg), r"^([+-]?[0-9]+)", 1)
-    most = F.when(digits.startswith("-"), -MOST).when(digits != "", MOST).otherwise(0)
-    return F.greatest(F.coalesce(digits.try_cast("bigint"), most), F.lit(-MOST))
 
+def limit_of(digits: Column | str) -> Column:
+    """Signed limit, 0 without digits; one beyond 64 bits is as good as the largest one."""
+    c = _col(digits)
+    most = F.when(c.startswith("-"), -MOST).when(c != "", MOST).otherwise(0)
+    return F.greatest(F.coalesce(c.try_cast("bigint"), most), F.lit(-MOST))
 
-def request_words(msg: Column | str) -> Column:
-    """Everything behind the first blank, blanks included."""
-    return F.regexp_extract(_trimmed(msg), r"(?s)^[^ ]* (.*)$", 1)
+
+def words_behind(msg: Column | str) -> Column:
+    """Everything behind the first blank of a trimmed request, blanks included."""
+    return F.regexp_extract(_col(msg), r"(?s)^[^ ]* (.*)$", 1)
 
 
 def split_terms(words: Column | str) -> Column:

@@ -70,7 +70,8 @@ def normalise_letters(c: Column | str) -> Column:
 
 def tokenize(c: Column | str) -> Column:
     """Words of a text in order, as an array."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit("[a-z]+"), F.lit(0))
+    # A list of matches would be made of a copy of the text for each of them; a split is not.
+    return F.filter(F.split(F.lower(_col(c)), "[^a-z]+"), lambda word: word != "")
 
 
 def title_normalise(c: Column | str) -> Column:

@@ -11,43 +11,65 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, markup as mk
 
-_LINES = "array<struct<pos:int,line:string>>"
+#: Turns of a block, see :func:`with_shown_lines`.
+BLOCK = 128
 
 
 def with_shown_lines(pages: DataFrame) -> DataFrame:
     """Adds ``shown``: the page's shown lines as an array of ``(pos, line)``.
 
-    A running count of open ``{{`` blocks hides lines. It changes only at the few lines
-    whose braces do not balance, so the fold walks from one of those to the next and copies
-    the stretch between them whenever the count is zero.
+    A running count of open ``{{`` blocks hides lines. It changes only at the lines
+    whose braces do not balance, the turns. Turns are taken in blocks: one fold gives the count before
+    each block, and a fold inside each block the stretches (start, length) at count zero. Lines are cut out
+    once at the end, so the work grows with the lines and not with the square of the turns.
     """
+    lines = F.col("_lines")
     numbered = F.transform(
         F.split("text", "\n"), lambda line, i: F.struct(i.alias("pos"), line.alias("line"))
     )
     turns = F.filter(
-        F.transform(
-            "_lines", lambda x: F.struct(x["pos"].alias("at"), mk.brace_step(x["line"]).alias("step"))
-        ),
+        F.transform(lines, lambda x: F.struct(x["pos"].alias("at"), mk.brace_step(x["line"]).alias("step"))),
         lambda t: t["step"] != 0,
     )
-    end = F.array(F.struct(F.size("_lines").alias("at"), F.lit(0).alias("step")))
+    end = F.array(F.struct(F.size(lines).alias("at"), F.lit(0).alias("step")))
+    blocks = F.sequence(F.lit(0), F.floor((F.size("_turns") - 1) / BLOCK).cast("int"))
+
+    # A slice would walk over the whole array each time; places are looked up one by one.
+    def of_block(block: Column) -> Column:
+        last = F.least((block + 1) * BLOCK, F.size("_turns")) - 1
+        return F.transform(F.sequence(block * BLOCK, last), lambda i: F.get("_turns", i))
+
+    def steps(block: Column) -> Column:
+        return F.aggregate(of_block(block), F.lit(0), lambda total, t: total + t["step"])
+
+    before = F.aggregate(
+        blocks, F.array(F.lit(0)), lambda known, block: F.array_append(known, F.element_at(known, -1) + steps(block))
+    )
+    empty = F.array().cast("array<struct<start:int,length:int>>")
 
     def advance(state: Column, turn: Column) -> Column:
-        stretch = F.slice(F.col("_lines"), state["start"] + 1, turn["at"] - state["start"])
-        kept = F.when(state["open"] == 0, F.concat(state["kept"], stretch)).otherwise(state["kept"])
+        stretch = F.struct(state["start"].alias("start"), (turn["at"] - state["start"]).alias("length"))
+        some = (state["open"] == 0) & (turn["at"] > state["start"])
+        kept = F.when(some, F.array_append(state["kept"], stretch)).otherwise(state["kept"])
         return F.struct(
             turn["at"].alias("start"), (state["open"] + turn["step"]).alias("open"), kept.alias("kept")
         )
 
-    start = F.struct(
-        F.lit(0).alias("start"), F.lit(0).alias("open"), F.array().cast(_LINES).alias("kept")
-    )
-    outside = F.aggregate("_turns", start, advance, lambda state: state["kept"])
+    def stretches(block: Column) -> Column:
+        begin = F.when(block == 0, 0).otherwise(F.get("_turns", block * BLOCK - 1)["at"])
+        start = F.struct(begin.alias("start"), F.get("_before", block).alias("open"), empty.alias("kept"))
+        return F.aggregate(of_block(block), start, advance, lambda state: state["kept"])
+
+    outside = F.flatten(F.transform(blocks, stretches))
+    places = F.flatten(F.transform("_stretches", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
+    cut = F.transform(places, lambda i: F.get(lines, i))
     return (
         pages.withColumn("_lines", numbered)
         .withColumn("_turns", F.concat(turns, end))
-        .withColumn("shown", F.filter(outside, lambda x: mk.is_shown_line(x["line"])))
-        .drop("_lines", "_turns")
+        .withColumn("_before", before)
+        .withColumn("_stretches", outside)
+        .withColumn("shown", F.filter(cut, lambda x: mk.is_shown_line(x["line"])))
+        .drop("_lines", "_turns", "_before", "_stretches")
     )
 
 

@@ -22,12 +22,6 @@ def field_columns() -> list[Column]:
     ]
 
 
-def directory_columns() -> list[Column]:
-    """Fields that decide on a page's place in the directory; of the text, its first character."""
-    *fields, text = field_columns()
-    return [*fields, F.substring(text, 1, 1).alias("text")]
-
-
 def page_fields(raw_pages: DataFrame) -> DataFrame:
     """Raw records to ``(id, title, redirect_title, sha1, text)``; an offset is kept."""
     kept = [c for c in ("path", "offset") if c in raw_pages.columns]

@@ -23,12 +23,15 @@ def parse_request(requests: DataFrame) -> DataFrame:
 
     The sign of the limit is the strategy: 1 for a negative one (length), else 0 (maximum).
     """
-    limit = rq.request_limit("msg")
-    return requests.select(
+    # Each step is a projection of its own, so that none is computed again by the next.
+    trimmed = requests.select("request_id", rq.trimmed("msg").alias("msg"))
+    cut = trimmed.select("request_id", "msg", rq.leading_number("msg").alias("digits"))
+    limits = cut.select("request_id", "msg", rq.limit_of("digits").alias("limit"))
+    return limits.select(
         "request_id",
-        F.abs(limit).alias("k"),
-        F.when(limit < 0, 1).otherwise(0).alias("strategy"),
-        rq.request_words("msg").alias("words"),
+        F.abs("limit").alias("k"),
+        F.when(F.col("limit") < 0, 1).otherwise(0).alias("strategy"),
+        rq.words_behind("msg").alias("words"),
     )
 
 
@@ -93,31 +96,28 @@ def term_lookup(
     return join_on_key(postings, side.same_size(weighted_terms(side, vocabulary)), "word")
 
 
-def score(matches: DataFrame, denominator: str = "n_words") -> DataFrame:
-    """``(request_id, id, result_id, times, ln_score)`` of every page with a term.
+def ln_score(gain: Column, min_df: Column) -> Column:
+    """Logarithm of a score of ``gain`` picounits, rounded to nine digits; infinite with a word on one page."""
+    nano = F.floor(gain / F.lit(1000.0) + F.lit(0.5))
+    return F.when(min_df == 1, F.lit(float("inf"))).otherwise(nano / F.lit(1e9))
+
+
+def score(matches: DataFrame, denominator: str = "n_words", page: tuple[str, ...] = ()) -> DataFrame:
+    """``(request_id, id, *page, times, ln_score)`` of every page with a term.
 
     ``times`` counts the terms found, repeated ones again. The score is the product of
     ``tf * weight`` over them, divided by the ``denominator`` column; ``ln_score`` is its
-    logarithm, rounded to nine digits.
+    logarithm, rounded to nine digits. ``page`` names further columns that depend on the page.
     """
-    target = [c for c in ("result_id",) if c in matches.columns]
     gain = F.col("repeats") * (log_pico(F.col("tf")) + F.col("ln_weight"))
-    summed = matches.groupBy("request_id", "id").agg(
-        *[F.first(c).alias(c) for c in target],
+    summed = matches.groupBy("request_id", *page, "id").agg(
         F.sum("repeats").alias("times"),
         F.sum(gain).alias("gain"),
         F.min("df").alias("min_df"),
         F.first(denominator).alias("parts"),
     )
-    nano = F.floor((F.col("gain") - log_pico(F.col("parts"))) / F.lit(1000.0) + F.lit(0.5))
-    finite = nano / F.lit(1e9)
-    return summed.select(
-        "request_id",
-        "id",
-        *target,
-        "times",
-        F.when(F.col("min_df") == 1, F.lit(float("inf"))).otherwise(finite).alias("ln_score"),
-    )
+    final = ln_score(F.col("gain") - log_pico(F.col("parts")), F.col("min_df"))
+    return summed.select("request_id", "id", *page, "times", final.alias("ln_score"))
 
 
 def score_by_length(matches: DataFrame, page_stats: DataFrame | None = None) -> DataFrame:
@@ -151,39 +151,23 @@ def redirect_resolve(scored: DataFrame, page_targets: DataFrame) -> DataFrame:
     return scored.join(page_targets, "id")
 
 
-def cut_hits(hits: DataFrame, max_k: int) -> DataFrame:
-    """The hits that can be among the first ``max_k`` results of their request.
-
-    A page that is hit directly is one result, so of those the first ``max_k`` are enough.
-    Hits by redirect are cut per target, as many of them may stand for the same result. Rows
-    are cut before the shuffle, so neither a frequent word nor a popular target gathers all
-    of its hits in one task.
-    """
-    by_redirect = hits.withColumn(
-        "_target", F.when(F.col("result_id") != F.col("id"), F.col("result_id"))
-    )
-    cut = top_per_group(
-        by_redirect, ["request_id", "_target"], rank_order(), F.lit(max_k), max_k, "_rank"
-    )
-    return cut.drop("_target", "_rank")
-
-
 def body_places(hits: DataFrame) -> DataFrame:
     """Hits ``(request_id, result_id, times, ln_score, id)`` as ``(request_id, id, place)``.
 
     ``place`` sorts the results of a request: first by source, then as :func:`rank_order`.
     """
     return hits.select(
-        "request_id", F.col("result_id").alias("id"), _place(0, -F.col("times"), -F.col("ln_score"), F.col("id"))
+        "request_id", F.col("result_id").alias("id"), place(0, -F.col("times"), -F.col("ln_score"), F.col("id"))
     )
 
 
 def title_places(hits: DataFrame) -> DataFrame:
     """Title hits ``(request_id, id, title_rank)`` as ``(request_id, id, place)``."""
-    return hits.select("request_id", "id", _place(1, F.col("title_rank"), F.lit(0.0), F.col("id")))
+    return hits.select("request_id", "id", place(1, F.col("title_rank"), F.lit(0.0), F.col("id")))
 
 
-def _place(source: int, first: Column, second: Column, third: Column) -> Column:
+def place(source: int, first: Column, second: Column, third: Column) -> Column:
+    """Column ``place``, which sorts as its parts do."""
     return F.struct(
         F.lit(source).alias("source"),
         first.cast("bigint").alias("first"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import title_normalise
 from ..sizing import held, is_small, join_on_key, key_side
+from ..sources.tables import BUCKETS, id_bucket
 from .toplist import top_per_group
 
 #: Most prefixes that are written into a scan filter.
@@ -59,24 +60,78 @@ def title_prefix_search(
     max_length: int,
     small: bool | None = None,
     literals: list[str] | None = None,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """``(prefix, id, title_rank)``: the first pages, ids in string order, per title prefix.
 
     ``prefixes(prefix)`` holds normalised prefixes of at most ``max_length`` characters; up
     to ``max_k`` pages are returned for each. ``small`` tells whether the prefixes may be
-    broadcast, by default they are measured; a few known prefixes go into ``literals`` and
-    then into the scan of a directory sorted by title. Titles are compared through an equality on
-    their leading parts, so there is no all-against-all comparison, and each title stays a
-    single row until it matched.
+    broadcast, by default they are measured. A few known prefixes go as ``literals`` into
+    the scan of a directory sorted by title. With ``starts(title_range, start)``, the first titles of the directory's
+    ranges, a prefix is looked up in the ranges that its titles lie in, and each title stays a single row. Of
+    a directory without ranges titles are compared through an equality on their leading parts. There
+    is no all-against-all comparison.
     """
     wanted = prefixes.where(F.col("prefix") != "").select("prefix").distinct()
     if small is None:
         small = is_small(wanted)
-    if small:
-        wanted = F.broadcast(wanted)
     if literals is not None and len(literals) <= SCAN_PREFIXES:
-        starts = [F.col("title_norm").startswith(p) for p in literals if p != ""]
-        directory = directory.where(reduce(or_, starts, F.lit(False)))
+        fits = [F.col("title_norm").startswith(p) for p in literals if p != ""]
+        directory, starts = directory.where(reduce(or_, fits, F.lit(False))), None
+    if starts is not None:
+        hits = _by_range(wanted, directory, starts, small)
+    else:
+        hits = _by_leading_parts(wanted, directory, max_length, small, literals)
+    hits = hits.withColumn("id_text", F.col("id").cast("string"))
+    # An id may be there with several titles: the rank counts ids, not rows.
+    return top_per_group(
+        hits, ["prefix"], [F.col("id_text")], F.lit(max_k), max_k, "title_rank", distinct_order=True
+    ).select("prefix", "id", "title_rank")
+
+
+def _by_range(wanted: DataFrame, directory: DataFrame, starts: DataFrame, small: bool) -> DataFrame:
+    """``(prefix, id)`` of titles that start with a prefix, by the ranges of the directory."""
+    # One row per range, of which there are at most MOST_RANGES.
+    known = sorted((r["start"], r["title_range"]) for r in starts.collect())
+    first, number = F.array(*[F.lit(s) for s, _ in known]), F.array(*[F.lit(n) for _, n in known])
+    halvings = F.sequence(F.lit(1), F.lit(max(1, len(known).bit_length())))
+
+    def ranges_before(key: Column, closed: bool) -> Column:
+        """How many ranges start before the key (or with it), by halving."""
+
+        def halve(state: Column, _: Column) -> Column:
+            middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+            start = F.get("_first", middle)
+            below = (start <= key) if closed else (start < key)
+            go_on = state["low"] < state["high"]
+            return F.struct(
+                F.when(go_on & below, middle + 1).otherwise(state["low"]).alias("low"),
+                F.when(go_on & ~below, middle).otherwise(state["high"]).alias("high"),
+            )
+
+        whole = F.struct(F.lit(0).alias("low"), F.lit(len(known)).alias("high"))
+        return F.aggregate(halvings, whole, halve, lambda state: state["low"])
+
+    # Titles are ASCII once normalised: nothing that starts with the prefix sorts behind it and this character.
+    last = F.concat("prefix", F.lit("\x7f"))
+    keyed = wanted.withColumn("_first", first)
+    spans = keyed.select(
+        "prefix", F.greatest(ranges_before(F.col("prefix"), False) - 1, F.lit(0)).alias("low"), ranges_before(last, True).alias("high")
+    )
+    places = F.sequence(F.col("low"), F.col("high") - 1)
+    placed = spans.where(F.col("low") < F.col("high")).select("prefix", F.explode(places).alias("place"))
+    placed = placed.select("prefix", F.get(number, F.col("place")).alias("title_range"))
+    asked = sorted(r[0] for r in placed.select("title_range").distinct().collect())
+    titles = directory.where(F.col("title_range").isin(asked)).select("title_range", "title_norm", "id")
+    side = F.broadcast(placed) if small else placed
+    fits = F.col("title_norm").startswith(F.col("prefix"))
+    return titles.join(side, "title_range").where(fits).select("prefix", "id")
+
+
+def _by_leading_parts(
+    wanted: DataFrame, directory: DataFrame, max_length: int, small: bool, literals: list[str] | None
+) -> DataFrame:
+    """``(prefix, id)`` of titles that start with a prefix, by an equality on their leading parts."""
     if literals is not None:
         lengths = F.array(*[F.lit(n) for n in sorted({0, *map(len, literals)})])
     else:
@@ -88,11 +143,7 @@ def title_prefix_search(
             F.transform(lengths, lambda n: F.substring("title_norm", F.lit(1), n))
         ).alias("prefix"),
     )
-    hits = parts.join(wanted, "prefix", "left_semi").withColumn("id_text", F.col("id").cast("string"))
-    # An id may be there with several titles: the rank counts ids, not rows.
-    return top_per_group(
-        hits, ["prefix"], [F.col("id_text")], F.lit(max_k), max_k, "title_rank", distinct_order=True
-    ).select("prefix", "id", "title_rank")
+    return parts.join(F.broadcast(wanted) if small else wanted, "prefix", "left_semi")
 
 
 def page_targets(
@@ -121,8 +172,21 @@ def page_targets(
 
 
 def fetch_pages(results: DataFrame, pages: DataFrame) -> DataFrame:
-    """Page records of ``results(request_id, rank, id)``, in the order of the ranks."""
+    """Page records of ``results(request_id, rank, id)``, in the order of the ranks.
+
+    Of a store in buckets by id only the buckets of the results are read, however many ids there are.
+    """
     ranked, _ = held(results.select("request_id", "rank", "id"), "results")
-    return join_on_key(pages, key_side(ranked, "id"), "id").select(
-        "request_id", "rank", "id", *[c for c in pages.columns if c != "id"]
-    ).orderBy("request_id", "rank")
+    columns = [c for c in pages.columns if c not in ("id", "id_bucket")]
+    keys = ["id"]
+    if "id_bucket" in pages.columns:
+        buckets = pages.schema["id_bucket"].metadata[BUCKETS]
+        ranked, keys = ranked.withColumn("id_bucket", id_bucket("id", buckets)), ["id_bucket", "id"]
+        # At most as many numbers as the store has buckets.
+        wanted = sorted(r[0] for r in ranked.select("id_bucket").distinct().collect())
+        pages = pages.where(F.col("id_bucket").isin(wanted))
+    return (
+        join_on_key(pages, key_side(ranked, "id"), "id", on=keys)
+        .select("request_id", "rank", "id", *columns)
+        .orderBy("request_id", "rank")
+    )

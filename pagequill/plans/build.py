@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import indexable_pages
-from ..operators.pages import clean_text, decoded_text, directory_columns, page_fields
+from ..operators.pages import clean_text, decoded_text, field_columns, page_fields
 from ..operators.titles import page_directory
-from ..sources.dump import load_dump, load_dump_offsets
+from ..sizing import stored
+from ..sources.dump import load_dump_offsets
 from ..sources.index_store import Index, write_index
-from ..sources.scratch import scratch_path
-from ..sources.tables import store_sorted
+from ..sources.scratch import scratch_scope
+from ..sources.tables import read_by_id, store_by_id
 
 
 def indexed_pages(raw_pages: DataFrame, blocked: DataFrame | None = None) -> DataFrame:
@@ -21,16 +22,18 @@ def indexed_pages(raw_pages: DataFrame, blocked: DataFrame | None = None) -> Dat
 def index_dump(
     spark: SparkSession, paths: str | list[str], out: str, blocked: DataFrame | None = None
 ) -> Index:
-    """Index a dump below ``out``: the page store, the directory with offsets, all tables."""
-    # Sorting by range looks at its input twice, so texts are cleaned before, once.
-    cleaned = scratch_path(spark, "cleaned-pages")
-    indexed_pages(load_dump(spark, paths), blocked).write.parquet(cleaned)
-    # Sorted by id, so that fetching results reads a few row groups only.
-    pages = store_sorted(spark.read.parquet(cleaned), f"{out}/pages", ["id"], unique=False)
-    placed = load_dump_offsets(spark, paths, columns=directory_columns())
-    return write_index(pages, out, page_directory(indexable_pages(placed, blocked)))
+    """Index a dump below ``out``: the page store, the directory with offsets, all tables.
+
+    The dump is read once: records get their offsets and are cleaned in the same pass.
+    """
+    with scratch_scope(spark):
+        placed = load_dump_offsets(spark, paths, columns=field_columns())
+        # Everything else reads the cleaned pages, so a lost executor does not go back to the dump.
+        cleaned = stored(clean_text(decoded_text(indexable_pages(placed, blocked))), "cleaned-pages")
+        pages = store_by_id(cleaned.drop("path", "offset"), f"{out}/pages")
+        return write_index(pages.drop("id_bucket"), out, page_directory(cleaned))
 
 
 def load_pages(spark: SparkSession, out: str) -> DataFrame:
-    """The page store written by :func:`index_dump`."""
-    return spark.read.parquet(f"{out}/pages")
+    """The page store written by :func:`index_dump`, in buckets by id."""
+    return read_by_id(spark, f"{out}/pages")

@@ -1,104 +1,124 @@
-"""Body hits of searches, without touching every page that has a frequent word.
+"""Body hits of searches, without reading all postings of frequent words.
 
-A page's rank depends on the number of query words on it before anything else. If enough
-results have more of them than the frequent words of the query could give together, a page
-that has only frequent words cannot be a result. So the frequent words are looked up just for
-the pages that have a rarer word of the query, and each request is checked afterwards. Those
-that found too few results are evaluated in full, so every result is exact.
+The index knows for each word and length band how much the word can give to a page of that band. For
+a request this bounds the place of any page of a band: no page has more of its words than the
+band has, nor a higher score than their largest counts and densities allow. The most promising bands are looked
+up first. Their results set a bar, and of the other bands only those are looked up whose bound
+reaches it, so every result is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import ranking as rk
-from ..operators.toplist import top_per_group
-from ..sizing import LOCAL_ROWS, KeySide, held, is_small, join_on_key, key_side
+from ..operators.toplist import CUT_BEFORE_SHUFFLE, top_per_group
+from ..sizing import LOCAL_ROWS, held, is_small
+from ..sources.index_store import NO_RESULT, Index, word_bucket
 
-#: Pages from which on a word is frequent.
-FREQUENT_DF = 5_000_000
+#: Pages with a request's most frequent word in the bands looked up first, as a multiple of its limit.
+FIRST_PAGES = 4
 
 
-def first_places(
-    terms: KeySide, postings: DataFrame, ks: DataFrame, max_k: int, honour_strategy: bool
-) -> DataFrame:
-    """``(request_id, id, place)`` of at least the first ``k`` body hits of each request.
+def band_lookups(terms: DataFrame, bounds: DataFrame, word_buckets: int) -> DataFrame:
+    """Terms with their weights and the bounds of each band, one row per request, word and band."""
+    own = Window.partitionBy("request_id", "word")
+    return (
+        terms.join(bounds, "word")
+        .withColumn("df", F.sum("n").over(own))
+        .withColumn("ln_weight", rk.log_weight("df"))
+        .where(F.col("band") != NO_RESULT)
+        .withColumn("word_bucket", word_bucket("word", word_buckets))
+    )
+
 
-    ``terms`` are weighted terms, ``ks(request_id, k)`` the limits.
+def band_places(lookups: DataFrame, by_length: Column) -> DataFrame:
+    """``(request_id, band, n, best)``: the best place that a page of the band can have.
+
+    Such a page has all of the request's words that the band has. Its score is the product of
+    their counts and weights, one of the counts being divided by the page: so it is bounded by
+    the largest counts, and the largest quotient in place of one of them.
     """
-    # Pages that are never returned have no influence on the others' scores.
-    postings = postings.where(F.col("result_id").isNotNull())
-
-    def places(matches: DataFrame) -> DataFrame:
-        parts = "n_words"
-        if honour_strategy:
-            parts = "parts_of_page"
-            by_length = F.col("strategy") == 1
-            matches = matches.withColumn(
-                parts, F.when(by_length, F.col("n_words")).otherwise(F.col("max_tf"))
-            )
-        hits = rk.cut_hits(rk.score(matches, parts), max_k)
-        return rk.dedup_results(rk.body_places(hits))
-
-    if terms.df.where(F.col("df") >= FREQUENT_DF).isEmpty():
-        return places(join_on_key(postings, terms, "word"))
-
-    marked, _ = held(mark_frequent(terms.df), "marked-terms", LOCAL_ROWS)
-    rare = key_side(marked.where(~F.col("frequent")), "word")
-    frequent = key_side(marked.where(F.col("frequent")), "word")
-    found = join_on_key(postings, rare, "word")
-    pairs = found.select("request_id", "id").distinct()
-    wanted = pairs.join(F.broadcast(frequent.df) if frequent.small else frequent.df, "request_id")
-    frequent_postings = postings
-    if frequent.keys is not None:
-        frequent_postings = postings.where(F.col("word").isin(frequent.keys))
-    deeper = wanted.join(frequent_postings, ["word", "id"])
-    first = top_per_group(
-        places(found.unionByName(deeper)).join(ks, "request_id"),
-        ["request_id"],
-        [F.asc("place")],
-        F.col("k"),
-        max_k,
-        "rank",
+    quotient = F.when(by_length, F.col("by_length")).otherwise(F.col("by_max_tf"))
+    summed = lookups.groupBy("request_id", "band").agg(
+        F.max("n").alias("n"),
+        F.sum("repeats").alias("times"),
+        F.sum(F.col("repeats") * (F.col("ln_tf") + F.col("ln_weight"))).alias("gain"),
+        F.min(quotient - F.col("ln_tf")).alias("less"),
+        F.min("df").alias("min_df"),
     )
-    first, _ = held(first.select("request_id", "id", "place"), "first-places", LOCAL_ROWS)
+    score = rk.ln_score(F.col("gain") + F.col("less"), F.col("min_df"))
+    lowest = F.lit(-(1 << 63)).cast("bigint")
+    return summed.select("request_id", "band", "n", rk.place(0, -F.col("times"), -score, lowest).alias("best"))
 
-    unsure, rows = held(_unsure(first, marked, ks), "unsure-requests", LOCAL_ROWS)
-    if rows == []:
-        return first
-    if rows is not None or is_small(unsure):
-        unsure = F.broadcast(unsure)
-    rest = key_side(terms.df.join(unsure, "request_id", "left_semi"), "word")
-    return first.join(unsure, "request_id", "left_anti").unionByName(
-        places(join_on_key(postings, rest, "word"))
-    )
 
+def scored_places(index: Index, wanted: DataFrame, small: bool, words: list[str] | None, max_k: int, honour_strategy: bool) -> DataFrame:
+    """``(request_id, id, place)`` of the results of each request in the ``wanted`` lookups.
+
+    The postings of a result are in one bucket: they are joined with a side that is broadcast,
+    scored and reduced to one row per result where they are read, and of these ``max_k`` per request and bucket leave. Lists
+    too long to be cut there are ranked by the caller.
+    """
+    postings = index.paged
+    # At most as many numbers as there are buckets and bands.
+    for name in ("word_bucket", "band"):
+        postings = postings.where(F.col(name).isin(sorted(r[0] for r in wanted.select(name).distinct().collect())))
+    if words is not None:
+        postings = postings.where(F.col("word").isin(words))
+    side = wanted.select("request_id", "strategy", "word", "repeats", "df", "ln_weight", "band", "word_bucket")
+    matches = postings.join(F.broadcast(side) if small else side, ["word_bucket", "word", "band"])
+    parts = F.col("n_words")
+    if honour_strategy:
+        parts = F.when(F.col("strategy") == 1, F.col("n_words")).otherwise(F.col("max_tf"))
+    hits = rk.score(matches.withColumn("parts_of_page", parts), "parts_of_page", ("home",))
+    places = rk.dedup_results(rk.body_places(hits.withColumn("result_id", F.col("home"))))
+    if max_k > CUT_BEFORE_SHUFFLE:
+        return places
+    return top_per_group(places, ["request_id"], [F.asc("place")], F.lit(max_k), max_k, "_rank").drop("_rank")
 
-def mark_frequent(terms: DataFrame) -> DataFrame:
-    """Adds ``frequent`` and ``most``, the matches that a request's frequent words can give.
 
-    The rarest word of a request is never frequent.
+def first_places(
+    terms: DataFrame, index: Index, ks: DataFrame, max_k: int, small: bool, words: list[str] | None, honour_strategy: bool
+) -> DataFrame:
+    """``(request_id, id, place)`` of at least the first ``k`` body hits of each request.
+
+    ``terms(request_id, strategy, word, repeats)`` are the words of the requests, ``words`` all of them if
+    they are few, ``ks(request_id, k)`` the limits.
     """
-    request = Window.partitionBy("request_id")
-    place = F.row_number().over(request.orderBy("df", "word"))
-    return terms.withColumn("frequent", (F.col("df") >= FREQUENT_DF) & (place > 1)).withColumn(
-        "most", F.sum(F.when(F.col("frequent"), F.col("repeats")).otherwise(0)).over(request)
-    )
+    bounds = index.bounds if words is None else index.bounds.where(F.col("word").isin(words))
+    lookups = band_lookups(F.broadcast(terms) if small else terms, bounds, index.word_buckets)
+    lookups, rows = held(lookups, "lookups", LOCAL_ROWS)
+    if rows == []:
+        return _nothing(ks)
+    # A word has no more bands than there are lengths.
+    small = rows is not None or is_small(lookups)
+    if words is not None and rows is not None:
+        words = sorted({r["word"] for r in rows})
+
+    def picked(bands: DataFrame) -> DataFrame:
+        return lookups.join(F.broadcast(bands) if small else bands, ["request_id", "band"], "left_semi")
+
+    chances = band_places(lookups, F.col("strategy") == 1 if honour_strategy else F.lit(True)).join(ks, "request_id")
+    before = Window.partitionBy("request_id").orderBy("best", "band").rowsBetween(Window.unboundedPreceding, -1)
+    chances = chances.withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    chances, _ = held(chances.withColumn("first", F.col("seen") / FIRST_PAGES < F.col("k")), "band-places", LOCAL_ROWS)
+
+    found = scored_places(index, picked(chances.where("first")), small, words, max_k, honour_strategy)
+    ranked = top_per_group(found.join(ks, "request_id"), ["request_id"], [F.asc("place")], F.col("k"), max_k, "rank")
+    first, _ = held(ranked.select("request_id", "id", "place", "k", "rank"), "first-places", LOCAL_ROWS)
+
+    bar = first.where(F.col("rank") == F.col("k")).select("request_id", F.col("place").alias("bar"))
+    rest = chances.where(~F.col("first") & (F.col("k") > 0)).join(bar, "request_id", "left")
+    rest = rest.where(F.col("bar").isNull() | (F.col("best") <= F.col("bar"))).select("request_id", "band")
+    rest, rows = held(rest, "other-bands", LOCAL_ROWS)
+    first = first.select("request_id", "id", "place")
+    if rows == []:
+        return first
+    return first.unionByName(scored_places(index, picked(rest), small, words, max_k, honour_strategy))
 
 
-def _unsure(first: DataFrame, marked: DataFrame, ks: DataFrame) -> DataFrame:
-    """``request_id`` of requests that pages with frequent words only might still enter."""
-    most = marked.groupBy("request_id").agg(F.max("most").alias("most")).join(ks, "request_id")
-    sure = (
-        first.join(most, "request_id")
-        .where(-F.col("place.first") > F.col("most"))
-        .groupBy("request_id")
-        .agg(F.count("*").alias("n_sure"))
-    )
-    return (
-        most.where(F.col("most") > 0)
-        .join(sure, "request_id", "left")
-        .where(F.coalesce("n_sure", F.lit(0)) < F.col("k"))
-        .select("request_id")
-    )
+def _nothing(ks: DataFrame) -> DataFrame:
+    none = ks.where(F.lit(False)).select("request_id", F.lit(0).cast("bigint").alias("id"))
+    zero = F.lit(0)
+    return none.withColumn("place", rk.place(0, zero, zero, zero))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import title_normalise
 from ..operators import lines, ranking as rk, titles as tl
-from ..sizing import BROADCAST_ROWS, FILTER_ROWS, LOCAL_ROWS, KeySide, held, is_small
+from ..sizing import BROADCAST_ROWS, FILTER_ROWS, held, is_small
 from ..sources.index_store import Index
 from .prune import first_places
 
@@ -35,10 +35,11 @@ def search_batch(requests: DataFrame, index: Index, honour_strategy: bool = Fals
 
 def search(msg: str, index: Index, honour_strategy: bool = False) -> DataFrame:
     """``(rank, id)`` for one request such as ``"10 some words"``, in order."""
-    spark = index.postings.sparkSession
-    one = spark.range(1).select(F.col("id").alias("request_id"), F.lit(msg).alias("msg"))
+    one = index.paged.sparkSession.sql("SELECT 0L AS request_id, :msg AS msg", args={"msg": msg})
     answers, _, max_k = _answers(_parsed(one, honour_strategy), index, honour_strategy)
-    return answers.select("rank", "id").orderBy("rank").limit(max_k)
+    ranked = answers.select("rank", "id").orderBy("rank")
+    # Spark takes limits of 32 bits; a larger one has no row to leave out that the ranks have not.
+    return ranked.limit(max_k) if max_k < 1 << 31 else ranked
 
 
 def _parsed(requests: DataFrame, honour_strategy: bool) -> DataFrame:
@@ -71,14 +72,12 @@ def _answers(
     def hinted(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    side = KeySide(terms, words if words is not None and len(words) <= FILTER_ROWS else None, small)
-    # The vocabulary has one row per word, so the weighted terms are no more than the terms.
-    weighted, _ = held(rk.weighted_terms(side, index.vocabulary), "terms", LOCAL_ROWS)
+    words = words if words is not None and len(words) <= FILTER_ROWS else None
     ks = hinted(queries.select("request_id", "k"))
-    body = first_places(side.same_size(weighted), index.postings, ks, max_k, honour_strategy)
+    body = first_places(terms, index, ks, max_k, small, words, honour_strategy)
 
     wanted = queries.select("request_id", "k", "prefix")
-    found = tl.title_prefix_search(wanted, index.directory, max_k, max_length, small, prefixes)
+    found = tl.title_prefix_search(wanted, index.directory, max_k, max_length, small, prefixes, index.title_starts)
     titles = hinted(wanted).join(found, "prefix").where(F.col("title_rank") <= F.col("k"))
 
     places = rk.merge_results(body, rk.title_places(titles))
@@ -90,7 +89,8 @@ def result_list(results: DataFrame, pages: DataFrame) -> DataFrame:
 
     ``pages(id, title, text)`` is looked up first; abstracts are made of the pages found.
     """
-    found = tl.fetch_pages(results, pages.select("id", "title", "text"))
+    bucket = [c for c in ("id_bucket",) if c in pages.columns]
+    found = tl.fetch_pages(results, pages.select("id", "title", "text", *bucket))
     paragraphs = lines.with_abstract(found)
     return paragraphs.select("request_id", "rank", "id", "title", "abstract").orderBy(
         "request_id", "rank"

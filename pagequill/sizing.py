@@ -51,16 +51,17 @@ def key_side(df: DataFrame, key: str) -> KeySide:
     return KeySide(df, None, is_small(df))
 
 
-def join_on_key(big: DataFrame, side: KeySide, key: str, how: str = "inner") -> DataFrame:
+def join_on_key(big: DataFrame, side: KeySide, key: str, how: str = "inner", on: list[str] | None = None) -> DataFrame:
     """Join a stored table with a side that is usually a handful of keys.
 
     Few keys become a filter that reaches the Parquet scan of ``big`` and, on a table
     sorted by ``key``, skips its row groups. A small side is broadcast. Beyond both limits
-    the join shuffles and adaptive execution splits hot keys.
+    the join shuffles and adaptive execution splits hot keys. ``on`` names all columns of the
+    join, by default the key.
     """
     if side.keys is not None:
         big = big.where(F.col(key).isin(side.keys))
-    return big.join(F.broadcast(side.df) if side.small else side.df, key, how)
+    return big.join(F.broadcast(side.df) if side.small else side.df, on or key, how)
 
 
 def settle(df: DataFrame, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | None]:
@@ -71,6 +72,13 @@ def settle(df: DataFrame, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | No
     return df.sparkSession.createDataFrame(found, schema=df.schema), found.to_pylist()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held(df: DataFrame, name: str, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | None]:
     """``df`` evaluated once: a local table with its rows if it is short, else a stored table.
 
@@ -78,8 +86,4 @@ def held(df: DataFrame, name: str, rows: int = FILTER_ROWS) -> tuple[DataFrame,
     executor does not either.
     """
     df, found = settle(df, rows)
-    if found is None:
-        path = scratch_path(df.sparkSession, name)
-        df.write.parquet(path)
-        df = df.sparkSession.read.parquet(path)
-    return df, found
+    return (stored(df, name), None) if found is None else (df, found)

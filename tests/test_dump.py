@@ -5,6 +5,7 @@ import os
 import pytest
 
 import pagequill as pq
+from pagequill.sources import dump
 
 from .conftest import rows
 
@@ -86,6 +87,29 @@ def test_compressed_and_plain_dumps_agree(spark, tmp_path, ending, pack, bom):
     assert rows(pq.load_dump_offsets(spark, path), "offset", "raw") == want
 
 
+@pytest.mark.parametrize("name", ["a b.xml.bz2", "u.XML.BZ2", "a b.xml", "x%20y.xml.gz", "é+&.xml.bz2"])
+def test_names_of_files(spark, tmp_path, name):
+    """Blanks, other letters and upper-case endings; the cut-off last record is dropped from each."""
+    pages = [f"<page><id>{i}</id>{'x' * (i % 50)}</page>" for i in range(50)]
+    text = ("\n".join(pages) + "\n<page><id>50</id>").encode()
+    squeeze = {"bz2": bz2.compress, "gz": gzip.compress}.get(name.lower().rsplit(".", 1)[-1], bytes)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / name).write_bytes(squeeze(text))
+    for path in (str(tmp_path / "in"), str(tmp_path / "in" / name)):
+        assert sorted(r["raw"] for r in pq.load_dump(spark, path).collect()) == sorted(pages)
+    assert rows(pq.load_dump_offsets(spark, str(tmp_path / "in")), "offset", "raw") == sorted(scan(text))
+
+
+def test_a_dump_is_read_once(spark, tmp_path, monkeypatch):
+    """Records come from what one pass over the dump has written, whatever is asked of them."""
+    path = write(tmp_path / "d.xml", "<mediawiki>" + "".join(f"<page>{i}</page>\n" for i in range(99)))
+    scans, pieces = [], dump._pieces
+    monkeypatch.setattr(dump, "_pieces", lambda *a: scans.append(a) or pieces(*a))
+    found = pq.load_dump_offsets(spark, path)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and found.count() == 99 and len(scans) == 1
+
+
 def test_export_is_ordered_over_all_files(spark, tmp_path):
     df = spark.createDataFrame([(f"w{i % 50}", i, i * 2) for i in range(500)], "word string, id long, tf long")
     out = str(tmp_path / "tsv")

@@ -1,6 +1,10 @@
+import random
 import re
+import time
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 import pagequill as pq
 
@@ -103,3 +107,37 @@ def test_abstracts(spark):
 def test_clean_text(spark):
     df = spark.createDataFrame([(1, "Title", PAGES[0][1]), (2, "Two", "")], "id long, title string, text string")
     assert rows(pq.clean_text(df), "id", "content") == [(1, "Title Body  text\n* item\n== H =="), (2, "Two ")]
+
+
+def test_many_unbalanced_lines(spark):
+    """Twice the lines are about twice the work, also where every line opens or closes a block."""
+    def page(n):
+        return "\n".join(("{{ a", "}} b", "kept", "}} c", "{{ d", "too")[i % 6] for i in range(n))
+
+    def seconds(n):
+        df = pages(spark, [(0, page(n))] * 4).repartition(4)
+        best = 1e9
+        for _ in range(3):
+            begin = time.perf_counter()
+            shown = pq.visible_lines(df).agg(F.count("*")).first()[0]
+            best = min(best, time.perf_counter() - begin)
+        return best, shown
+
+    (small, few), (large, many) = seconds(8_000), seconds(32_000)
+    assert many == pytest.approx(4 * few, rel=0.01) and many > 0
+    assert large < 6 * small + 0.5
+
+
+def test_stretches_across_blocks(spark):
+    """The count is right behind more turns than a block has."""
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choice(["{{ a", "}} b", "x", "y {{z}}"]) for _ in range(n)) for n in (127, 128, 129, 1000, 3000)]
+    got = rows(pq.visible_lines(lines(spark, *texts)), "id", "pos", "line")
+    want = []
+    for i, text in enumerate(texts):
+        depth = 0
+        for pos, line in enumerate(text.split("\n")):
+            depth += (line.count("{{") > line.count("}}")) - (line.count("{{") < line.count("}}"))
+            if depth == 0 and not line.startswith(("}}", "{")):
+                want.append((i, pos, line))
+    assert got == sorted(want)

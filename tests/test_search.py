@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 import pagequill as pq
 from pagequill import sizing
-from pagequill.operators import ranking as rk, toplist
-from pagequill.plans import prune, search as search_plan
+from pagequill.operators import ranking as rk, titles as tl, toplist
+from pagequill.plans import prune
+from pagequill.sources.tables import store_by_id, store_by_title
 
 from .conftest import rows
 
@@ -131,7 +132,7 @@ def test_large_batches_take_the_other_joins(spark, corpora, monkeypatch):
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 2)
     monkeypatch.setattr(sizing.settle, "__defaults__", (2,))
     monkeypatch.setattr(sizing.is_small, "__defaults__", (2, 10))
-    monkeypatch.setattr(search_plan, "LOCAL_ROWS", 2)
+    monkeypatch.setattr(prune, "LOCAL_ROWS", 2)
     monkeypatch.setattr(sizing.held, "__defaults__", (2,))
     monkeypatch.setattr(toplist, "CUT_BEFORE_SHUFFLE", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
@@ -143,48 +144,94 @@ def test_large_batches_take_the_other_joins(spark, corpora, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("frequent_df, honour", [(2, False), (20, True), (45, False)])
-def test_frequent_words_are_looked_up_later(spark, corpora, monkeypatch, frequent_df, honour):
-    """Requests that find enough pages by their rarer words, and requests that do not."""
-    monkeypatch.setattr(prune, "FREQUENT_DF", frequent_df)
+def long_and_short(seed, n=400):
+    """Pages of 100 to 4,000 words in which frequent words are spread unevenly."""
+    rng = random.Random(seed)
+    pages = []
+    for page in range(n):
+        words = rng.choices(["the", "of", "sun", "heat"], weights=[rng.randrange(1, 9) for _ in range(4)], k=int(100 * 40 ** rng.random()))
+        words += rng.choices(["rare", "dim", "zeta"], k=1) if rng.random() < 0.05 else []
+        pages.append((page, f"Page {page}", "", " ".join(words), " ".join(words)))
+    return pages
+
+
+def lookups_read(monkeypatch):
+    """Postings that the lookups of later searches read, one number per round."""
+    read = []
+    places = prune.scored_places
+
+    def counting(index, wanted, *rest):
+        read.append(wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        return places(index, wanted, *rest)
+
+    monkeypatch.setattr(prune, "scored_places", counting)
+    return read
+
+
+@pytest.mark.parametrize("honour", [False, True])
+def test_bounds_leave_bands_of_frequent_words_out(spark, tmp_path, monkeypatch, honour):
+    """Exact at default settings, although most postings of the words are not read."""
+    pages = long_and_short(9)
+    plain, index = Plain(pages), pq.write_index(spark.createDataFrame(pages, PAGE_SCHEMA), str(tmp_path / "index"))
+    assert index.bounds.select("band").distinct().count() >= 5
+    read = lookups_read(monkeypatch)
+    for msg in ("5 the", "-5 the of", "3 the of sun heat", "5 rare the", "-4 the the heat", "300 sun", "2 zeta dim"):
+        read.clear()
+        words = set(msg.split()[1:])
+        total = sum(len(plain.tf[w]) for w in words)
+        assert [r["id"] for r in pq.search(msg, index, honour).collect()] == plain.search(msg, honour), msg
+        if not honour and msg in ("-5 the of", "3 the of sun heat"):
+            assert sum(read) < total / 2, (msg, read, total)
+
+
+def test_a_second_round_reads_what_the_bar_leaves_open(spark, corpora, monkeypatch):
+    """With a first round of one band, the others are needed wherever they could still have results."""
+    monkeypatch.setattr(prune, "FIRST_PAGES", 0.01)
     messages = MESSAGES + ["1 the heat", "2 of page sun the", "3 wa wb wc the the", "2 x the", "1 zeta the"]
     requests = spark.createDataFrame(list(enumerate(messages)), REQUEST_SCHEMA)
     for plain, index, _ in corpora:
-        expected = [plain.search(m, honour) for m in messages]
-        assert answers(pq.search_batch(requests, index, honour), messages) == expected
-
-
-def test_only_pages_with_a_rarer_word_are_looked_up(spark, monkeypatch):
-    """Two pages have both words: those that have only the frequent one are never scored."""
-    monkeypatch.setattr(prune, "FREQUENT_DF", 5)
-    scored = []
-    score = rk.score
-    monkeypatch.setattr(rk, "score", lambda m, p: scored.append(m) or score(m, p))
-    postings = spark.createDataFrame(
-        [("the", i, 1, 100, 1, i) for i in range(50)] + [("sun", i, 1, 100, 1, i) for i in (7, 9)],
-        "word string, id long, tf long, n_words long, max_tf long, result_id long",
-    )
-    terms = spark.createDataFrame(
-        [(r, "the", 1, 50) for r in (0, 1)] + [(r, "sun", 1, 2) for r in (0, 1)],
-        "request_id long, word string, repeats long, df long",
-    ).withColumn("ln_weight", rk.log_weight("df"))
-    for ks, rounds in (([(0, 2), (1, 1)], 1), ([(0, 2), (1, 4)], 2)):
-        scored.clear()
-        side = sizing.KeySide(terms, ["sun", "the"], True)
-        first = prune.first_places(side, postings, spark.createDataFrame(ks, "request_id long, k int"), 4, False)
-        got = rows(first.select("request_id", "place", "id"))
-        assert [(r, i) for r, _, i in got if r == 0] == [(0, 7), (0, 9)]
-        assert [i for r, _, i in got if r == 1][: ks[1][1]] == [7, 9, 0, 1][: ks[1][1]]
-        assert len(scored) == rounds
-        assert rows(scored[0].select("id").distinct()) == [(7,), (9,)]
-    assert rows(scored[1].select("request_id").distinct()) == [(1,)]
-
-
-def test_few_words_reach_the_scan(corpora):
+        read = lookups_read(monkeypatch)
+        assert answers(pq.search_batch(requests, index), messages) == [plain.search(m) for m in messages]
+        assert len(read) == 2 and min(read) > 0
+
+
+def test_no_match_is_shuffled(spark, corpora):
+    """Between the postings and the cut to k per request and bucket there is no exchange."""
     _, index, _ = corpora[0]
-    plan = pq.search("5 the heat", index)._jdf.queryExecution().toString()
-    assert re.search(r"PushedFilters: \[[^]]*In\(word, \[heat,the\]\)", plan)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    terms = spark.createDataFrame([(r, 1, w, 1) for r in (0, 1) for w in ("the", "heat")], "request_id long, strategy int, word string, repeats long")
+    wanted, _ = sizing.held(prune.band_lookups(terms, index.bounds, index.word_buckets), "lookups")
+    plan = prune.scored_places(index, wanted, True, ["heat", "the"], 10, False)._jdf.queryExecution().executedPlan().toString()
+    nodes = [re.sub(r"^[ :+*()\d-]*", "", line) for line in plan.split("\n")]
+    scan = next(i for i, n in enumerate(nodes) if n.startswith("FileScan parquet"))
+    exchanges = [i for i, n in enumerate(nodes) if n.startswith("Exchange")]
+    cut = next(i for i, n in enumerate(nodes) if n.startswith("WindowGroupLimit") and "Partial" in n)
+    assert exchanges and all(i < cut < scan for i in exchanges), plan
+    assert re.search(r"PartitionFilters: \[[^]]*word_bucket", plan) and "SelectedBucketsCount" in plan
+
+
+def test_many_words_read_their_buckets_only(spark, tmp_path):
+    pages = [(i, "", "", "", " ".join(f"w{chr(97 + j // 26)}{chr(97 + j % 26)}{chr(97 + i % 26)}" for j in range(120))) for i in range(60)]
+    index = pq.write_index(spark.createDataFrame(pages, PAGE_SCHEMA), str(tmp_path / "index"), page_buckets=3, word_buckets=16)
+    words = [r["word"] for r in index.vocabulary.where(F.pmod(F.xxhash64("word"), F.lit(16)).isin(2, 5)).collect()]
+    assert len(words) > 200
+    terms = spark.createDataFrame([(0, 1, w, 1) for w in words], "request_id long, strategy int, word string, repeats long")
+    wanted, _ = sizing.held(prune.band_lookups(terms, index.bounds, index.word_buckets), "lookups", 10)
+    found = prune.scored_places(index, wanted, True, None, 10, False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*word_bucket#\d+ IN \(2,5\)", plan), plan
+    assert found.count() == 10
+
+
+def test_few_words_reach_the_scan(spark, corpora, monkeypatch):
+    _, index, _ = corpora[0]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plans, places = [], prune.scored_places
+    monkeypatch.setattr(prune, "scored_places", lambda *a: plans.append(places(*a)) or plans[-1])
+    last = pq.search("5 the heat", index)
+    for df in (*plans, last):
+        plan = df._jdf.queryExecution().toString()
+        assert df is last or re.search(r"PushedFilters: \[[^]]*In\(word, \[heat,the\]\)", plan)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_no_cross_join_in_batches(spark, corpora):
@@ -222,6 +269,64 @@ def test_fetch_and_result_list_keep_the_order(spark, corpora):
     assert [(r["id"], r["title"], r["abstract"]) for r in listed] == [(i, *texts[i]) for i in expected]
 
 
+def test_pages_are_fetched_from_their_buckets(spark, tmp_path):
+    """Five thousand ids: beyond a scan filter, so the folders tell what is read."""
+    pages = spark.range(20_000).select("id", F.format_string("Page %d", "id").alias("title"), F.lit("x").alias("text"))
+    store = store_by_id(pages, str(tmp_path / "pages"), 64)
+    wanted = [i for i, b in store.select("id", "id_bucket").collect() if b < 17][:5000]
+    results = spark.createDataFrame([(0, n + 1, i) for n, i in enumerate(wanted)], "request_id long, rank int, id long")
+    found = pq.fetch_pages(results, store)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    buckets = re.search(r"PartitionFilters: \[[^]]*id_bucket#\d+ (?:IN|INSET) [^]]*", plan).group()
+    assert len(re.findall(r"\b\d+\b(?!L?#)", buckets.split("IN")[-1])) <= 17
+    assert [tuple(r) for r in found.collect()] == [(0, n + 1, i, f"Page {i}", "x") for n, i in enumerate(wanted)]
+
+
+def test_long_lists_are_ranked_over_many_tasks(spark, monkeypatch):
+    """One request with all rows: its ranks come from several partitions."""
+    placed, stored = [], toplist.stored
+    monkeypatch.setattr(toplist, "stored", lambda *a: placed.append(stored(*a)) or placed[-1])
+    df = spark.range(30_000).select(F.lit(7).alias("request_id"), ((F.col("id") * 7919) % 30_011).alias("place"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = toplist.top_per_group(df, ["request_id"], [F.desc("place")], F.lit(20_000), 1_000_000, "rank")
+        got = sorted((r["rank"], r["place"]) for r in ranked.collect())
+        assert "Window [row_number" not in ranked._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    places = sorted(((i * 7919) % 30_011 for i in range(30_000)), reverse=True)
+    assert got == [(n + 1, p) for n, p in enumerate(places[:20_000])]
+    assert placed[0].groupBy("_part").count().where("count < 20000").count() > 1
+    few = spark.createDataFrame([("a", 3, 1), ("a", 3, 2), ("a", 1, 3), (None, 2, 4)], "g string, o int, id int")
+    once = toplist.top_per_group(few, ["g"], [F.col("o")], F.lit(5), 5_000, "rank", distinct_order=True)
+    assert sorted(((r["g"] or "", r["o"], r["rank"]) for r in once.collect())) == [("", 2, 1), ("a", 1, 1), ("a", 3, 2)]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_many_prefixes_are_looked_up_by_range(spark, tmp_path, ranges):
+    rng = random.Random(ranges)
+    titles = ["".join(rng.choices("ab c", k=rng.randrange(0, 7))) for _ in range(500)] + ["a"] * 40
+    directory = spark.createDataFrame([(i, t, t) for i, t in enumerate(titles)], "id long, title string, title_norm string")
+    store = store_by_title(directory, str(tmp_path / "directory"), ranges)
+    starts = spark.read.parquet(str(tmp_path / "directory_ranges"))
+    prefixes = sorted({t[:n] for t in titles[:300] for n in (1, 2, 3, 5)} | {"zz", "", "~"})
+    wanted = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
+    found = tl.title_prefix_search(wanted, store, 5, 7, starts=starts)
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    expected = []
+    for p in prefixes:
+        hits = sorted({str(i) for i, t in enumerate(titles) if p and t.startswith(p)})
+        expected += [(p, int(i), n + 1) for n, i in enumerate(hits[:5])]
+    assert rows(found, "prefix", "id", "title_rank") == sorted(expected)
+
+
+def test_limits_beyond_32_bits(spark, corpora):
+    plain, index, _ = corpora[0]
+    for msg in ("3000000000 the cat", "-99999999999999999999 the"):
+        assert [r["id"] for r in pq.search(msg, index).collect()] == plain.search(msg)
+
+
 def test_weights(spark):
     df = spark.createDataFrame([(1,), (2,), (10,)], "df long")
     got = [r[0] for r in df.select(pq.term_weight("df")).collect()]
