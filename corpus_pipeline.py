@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequill.llm import exact_dedup, mixing, near_copies, sentencepiece, toxicity
+from pagequill.llm import exact_dedup, mixing, sentencepiece, simhash, toxicity
 from pagequill.llm.shared import saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,8 +29,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles have a similarity of 0.8 or more."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group linked by fingerprints of 3-word shingles that differ in 3 bits or fewer.
+
+    That is the one with the smallest id, a null id counting as the last. Null and empty texts are one group.
+    """
+    return simhash.drop_near_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
