@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import numbered, row_key, saved
+from .shared import field, numbered, row_key, saved, without
 
 SHORTEST, LONGEST = 256, 2048
 #: A cut is made behind five characters of which the code points are 0, 1, 2, 0, 1 modulo 3;
@@ -104,9 +104,9 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of ``exact_groups``; all columns stay.
 
-    It is the row that is kept there; of rows that repeat its id and length any one.
+    It is the row that is kept there; of rows that repeat its id and length any one. Null and empty texts are
+    copies of each other. An empty table gives an empty table.
     """
     rows = numbered(docs)
-    groups = exact_groups(rows.select(row_key(id_col).alias("key"), F.col(text_col).alias("text")), "key", "text")
-    gone = groups.where("not kept").select(F.col("doc_id.row").alias("__gone"))
-    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+    groups = exact_groups(rows.select(row_key(id_col).alias("key"), field(text_col).alias("text")), "key", "text")
+    return without(rows, groups.where("not kept").select(F.col("doc_id.row").alias("number")))

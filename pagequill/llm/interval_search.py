@@ -1,6 +1,7 @@
 """Ranked lexical search by range maxima over posting lists.
 
-The documents of a shard are numbered in the order of their ids. Every posting list has a
+The documents of a shard are numbered in the order of their lengths, so that the documents of an interval are
+alike in what a term can give to them, and copies stand together. Every posting list has a
 sparse table of range maxima over the impacts of its documents, so the largest impact of a term in
 any interval of documents, and where it stands, is known at once. For an item the sum of these
 maxima bounds the score of every document in the interval. Intervals are taken best first: the one of
@@ -10,6 +11,10 @@ is dropped; when none is left the results are exact.
 
 Intervals are taken from the front of the queue in small lots, and a lot is bounded, split and
 scored by one array expression over its intervals and the item's terms.
+
+Each item first looks at the documents of largest impact in every shard, by a few splits. The k-th
+best of these is a score that the results reach, and the search of each shard starts with it: intervals
+bounded below it are never opened.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHARD = 16_384
 #: Intervals that are split at once.
 LOT = 128
+#: Splits of an item in each shard by which the score to beat is found.
+FIRST_SPLITS = 64
 HITS = "item_row long, item_id long, doc_id long, row long, score long"
 
 
@@ -53,8 +60,9 @@ def weight(n_docs: Column, df: Column) -> Column:
 class Shard:
     """Postings by term, then document, and range maxima over all of them.
 
-    ``best[level][i]`` is where the largest impact of the ``2**level`` postings from ``i`` on is, the first
-    of equal ones; a list's ranges never reach into the next list.
+    ``best[level, i]`` is where the largest impact of the ``2**level`` postings from ``i`` on is, the first
+    of equal ones; a list's ranges never reach into the next list. ``places`` has the place of each document in the
+    order of the ids, and ``earliest`` its range minima.
     """
 
     rows: np.ndarray
@@ -64,26 +72,45 @@ class Shard:
     starts: np.ndarray
     keys: np.ndarray
     impact: np.ndarray
-    best: list[np.ndarray]
-
-    def largest(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Place of the largest impact of each range; ``begin`` for an empty one."""
-        level = np.frexp(np.maximum(end - begin, 1))[1] - 1
-        out = begin.copy()
+    best: np.ndarray
+    level: np.ndarray
+    places: np.ndarray
+    earliest: list[np.ndarray]
+
+    def earliest_place(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """First place, in the order of the ids, among the documents of each interval."""
+        out = np.full(len(low), len(self.rows))
+        level = np.frexp(np.maximum(high - low, 1))[1] - 1
         for own in np.unique(level):
-            at = np.nonzero((level == own) & (end > begin))
-            one = self.best[own][begin[at]]
-            other = self.best[own][end[at] - (1 << int(own))]
-            out[at] = np.where(self.impact[other] > self.impact[one], other, one)
+            at = np.flatnonzero((level == own) & (high > low))
+            table = self.earliest[own]
+            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << int(own))])
         return out
 
+    def largest(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Place of the largest impact of each range; any place for an empty one."""
+        level = self.level[end - begin]
+        one, other = self.best[level, begin], self.best[level, np.maximum(end - (1 << level), begin)]
+        return np.where(self.impact[other] > self.impact[one], other, one)
+
+
+def _maxima(impact: np.ndarray, longest: int) -> np.ndarray:
+    """The last place of ``impact`` is behind all lists; levels go as far as the longest list."""
+    tables = np.empty((max(1, longest).bit_length(), len(impact)), np.int32)
+    tables[0] = np.arange(len(impact))
+    for level in range(1, len(tables)):
+        half = 1 << (level - 1)
+        tables[level] = tables[level - 1]
+        a, b = tables[level - 1][:-half], tables[level - 1][half:]
+        tables[level][:-half] = np.where(impact[b] > impact[a], b, a)
+    return tables
+
 
-def _maxima(impact: np.ndarray, longest: int) -> list[np.ndarray]:
-    tables = [np.arange(len(impact), dtype=np.int32)]
-    while 2 << (len(tables) - 1) <= longest:
+def _minima(values: np.ndarray) -> list[np.ndarray]:
+    tables = [values]
+    while 2 << (len(tables) - 1) <= len(values):
         half = 1 << (len(tables) - 1)
-        a, b = tables[-1][: len(impact) - 2 * half + 1], tables[-1][half : len(impact) - half + 1]
-        tables.append(np.where(impact[b] > impact[a], b, a))
+        tables.append(np.minimum(tables[-1][: len(values) - 2 * half + 1], tables[-1][half : len(values) - half + 1]))
     return tables
 
 
@@ -98,10 +125,13 @@ def indexed(n_docs: int, n_terms: int):
         row, tf, n, term = (_column(table, c) for c in ("row", "tf", "n", "term"))
         rows, first, doc = np.unique(row, return_index=True, return_inverse=True)
         ids, no_id = _column(table, "doc_id")[first], table["doc_id"].is_null().to_numpy()[first]
-        order = np.lexsort((rows, ids, no_id))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        doc = place[doc]
+        by_id = np.lexsort((rows, ids, no_id))
+        place = np.empty(len(rows), np.int64)
+        place[by_id] = np.arange(len(rows))
+        order = np.lexsort((place, n[first]))
+        number = np.empty(len(rows), np.int64)
+        number[order] = np.arange(len(rows))
+        doc = number[doc]
         by_list = np.lexsort((doc, term))
         doc, tf, n, term = doc[by_list], tf[by_list], n[by_list], term[by_list]
         length = 100 - 90 + (90 * n * n_docs) // n_terms
@@ -109,68 +139,83 @@ def indexed(n_docs: int, n_terms: int):
         terms, starts = np.unique(term, return_index=True)
         starts = np.r_[starts, len(term)]
         keys = np.repeat(np.arange(len(terms)), np.diff(starts)) * len(rows) + doc
-        return Shard(rows[order], ids[order], no_id[order], terms, starts, keys, impact, _maxima(impact, int(np.diff(starts).max())))
+        # One more place, behind all lists, for ranges and searches that end there.
+        keys, impact = np.r_[keys, len(terms) * len(rows)], np.r_[impact, 0]
+        longest = int(np.diff(starts).max())
+        level = np.maximum(np.frexp(np.arange(longest + 1))[1] - 1, 0)
+        places = place[order]
+        best = _maxima(impact, longest)
+        return Shard(rows[order], ids[order], no_id[order], terms, starts, keys, impact, best, level, places, _minima(places))
 
     return build
 
 
-def best_documents(shard: Shard, terms: np.ndarray, weights: np.ndarray, k: int, lot: int = LOT) -> list[tuple[int, int]]:
-    """(document, score) of the ``k`` best with a score above 0, the first of equal ones first."""
+def best_documents(
+    shard: Shard, terms: np.ndarray, weights: np.ndarray, k: int, beat: int = 1, lot: int = LOT, splits: int | None = None
+) -> list[tuple[int, int]]:
+    """(document, score) of the ``k`` best that score ``beat`` or more, the first of equal ones first.
+
+    With a number of ``splits`` these are the best found by then.
+    """
     at = np.searchsorted(shard.terms, terms)
     there = (weights > 0) & (at < len(shard.terms))
     there[there] = shard.terms[at[there]] == terms[there]
     at, weights, n = at[there], weights[there], len(shard.rows)
     if not len(at):
         return []
-    results: list[tuple[int, int]] = []  # (-score, document), best first
+    results: list[tuple[int, int, int]] = []  # (-score, place, document), best first
     base = at * n
 
     def bounded(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bound of each interval, and the document at which to split it."""
         where = shard.largest(begin, end)
-        gain = np.where(end > begin, shard.impact[np.minimum(where, len(shard.impact) - 1)] * weights, 0)
+        gain = shard.impact[where] * weights * (end > begin)
         most = gain.argmax(1)
-        line = np.arange(len(begin))
-        return gain.sum(1), shard.keys[np.minimum(where[line, most], len(shard.keys) - 1)] - base[most]
+        return gain.sum(1), shard.keys[where[np.arange(len(begin)), most]] - base[most]
 
-    def open_(bound: np.ndarray, low: np.ndarray) -> np.ndarray:
+    def open_(bound: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Intervals that may still hold a result."""
         if len(results) < k:
-            return bound > 0
-        least, doc = results[-1]
-        return (bound > -least) | ((bound == -least) & (low < doc))
+            return bound >= beat
+        least, place, _ = results[-1]
+        same = np.flatnonzero(bound == -least)
+        better = bound > -least
+        better[same] = shard.earliest_place(low[same], high[same]) < place
+        return better & (bound >= beat)
 
     begin, end = shard.starts[at][None, :], shard.starts[at + 1][None, :]
     bound, split = bounded(begin, end)
-    low = np.zeros(1, np.int64)
-    while len(bound):
+    low, high, done = np.zeros(1, np.int64), np.full(1, n), 0
+    while len(bound) and (splits is None or done < splits):
         front = np.lexsort((low, -bound))[:lot] if len(bound) > lot else np.arange(len(bound))
         rest = np.ones(len(bound), bool)
         rest[front] = False
-        b, e, d, first = begin[front], end[front], split[front], low[front]
+        done += len(front)
+        b, e, d, first, last = begin[front], end[front], split[front], low[front], high[front]
         key = base[None, :] + d[:, None]
         cut = np.clip(np.searchsorted(shard.keys, key), b, e)
-        hit = (cut < e) & (shard.keys[np.minimum(cut, len(shard.keys) - 1)] == key)
-        score = np.where(hit, shard.impact[np.minimum(cut, len(shard.impact) - 1)] * weights, 0).sum(1)
-        results = sorted([*results, *zip((-score).tolist(), d.tolist())])[:k]
+        hit = (cut < e) & (shard.keys[cut] == key)
+        score = (shard.impact[cut] * weights * hit).sum(1)
+        good = score >= beat
+        results = sorted([*results, *zip((-score[good]).tolist(), shard.places[d[good]].tolist(), d[good].tolist())])[:k]
         parts = np.concatenate([b, cut + hit]), np.concatenate([cut, e])
         part_bound, part_split = bounded(*parts)
-        part_low = np.concatenate([first, d + 1])
-        new, old = open_(part_bound, part_low), rest & open_(bound, low)
+        part_low, part_high = np.concatenate([first, d + 1]), np.concatenate([d, last])
+        new, old = open_(part_bound, part_low, part_high), rest & open_(bound, low, high)
         begin, end = np.concatenate([begin[old], parts[0][new]]), np.concatenate([end[old], parts[1][new]])
         bound, split = np.concatenate([bound[old], part_bound[new]]), np.concatenate([split[old], part_split[new]])
-        low = np.concatenate([low[old], part_low[new]])
-    return [(d, -s) for s, d in results if s < 0]
+        low, high = np.concatenate([low[old], part_low[new]]), np.concatenate([high[old], part_high[new]])
+    return [(d, -s) for s, _, d in results]
 
 
-def _hits(k: int):
+def _hits(k: int, splits: int | None = None):
     def answer(shard: Shard, table: pa.Table) -> pa.Table:
         found = []
-        lists = table["terms"].to_pylist()
-        for row, item, own in zip(table["item_row"].to_pylist(), table["item_id"].to_pylist(), lists):
+        items = zip(*(table[c].to_pylist() for c in ("item_row", "item_id", "terms", "beat")))
+        for row, item, own, beat in items:
             terms = np.array([t["term"] for t in own], np.int64)
             weights = np.array([t["w"] for t in own], np.int64)
-            for d, score in best_documents(shard, terms, weights, k):
+            for d, score in best_documents(shard, terms, weights, k, beat, splits=splits):
                 doc_id = None if shard.no_id[d] else int(shard.ids[d])
                 found.append((row, item, doc_id, int(shard.rows[d]), score))
         names = [c.split()[0] for c in HITS.split(", ")]
@@ -224,8 +269,14 @@ def ranked_documents(
     asked = wanted.select("item_row", "item_id", F.explode("words").alias("word")).join(words, "word").join(weights, "term")
     entry = F.struct("term", "w")
     asked = asked.groupBy("item_row").agg(F.max("item_id").alias("item_id"), F.collect_list(entry).alias("terms"))
-    asked = saved(asked, "weighted-items")
-    hits = searched(postings, everywhere(asked, shards), shards, indexed(n_docs, n_terms), _hits(k), HITS)
+    asked = saved(asked.withColumn("beat", F.lit(1).cast("long")), "weighted-items")
     order = [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row")]
-    ranked = top_per_group(hits, ["item_row"], order, F.lit(k), k, "rank")
+
+    def first(items: DataFrame, splits: int | None) -> DataFrame:
+        found = searched(postings, everywhere(items, shards), shards, indexed(n_docs, n_terms), _hits(k, splits), HITS)
+        return top_per_group(found, ["item_row"], order, F.lit(k), k, "rank")
+
+    beat = first(asked, FIRST_SPLITS).where(F.col("rank") == k).select("item_row", F.col("score").alias("least"))
+    asked = asked.join(beat, "item_row", "left").withColumn("beat", F.coalesce("least", "beat")).drop("least")
+    ranked = first(saved(asked, "items-with-beat"), None)
     return ranked.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

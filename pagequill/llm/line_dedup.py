@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import carried, field, saved
 
 LINES = 3
 _KEY = ("doc_id", "version")
@@ -50,8 +50,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat an id and text are one document. All columns stay; (n_lines, n_removed) count the
     lines of the text and those removed, and replace columns of these names.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), _lines(text).alias("lines"))
+    rows = carried(docs)
+    text = F.coalesce(field(text_col), F.lit(""))
+    keyed = rows.select(field(id_col).alias("doc_id"), F.xxhash64(text).alias("version"), _lines(text).alias("lines"))
     packed, window = _windows(F.col("lines"))
     places = F.sequence(F.lit(0), F.size("packed") - LINES)
     found = (
@@ -71,9 +72,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ends = F.filter("s", lambda x, i: (i == F.size("s") - 1) | (F.get(F.col("s"), i + 1) > x + LINES))
     cuts = saved(starts.select(*[F.col(k).alias(f"_{k}") for k in _KEY], begins.alias("begins"), ends.alias("ends")), "cuts")
     # The cuts grow with the corpus: they are never broadcast. Lines are split behind the join.
-    own = docs.withColumn("_hash", F.xxhash64(text))
-    same = own[id_col].eqNullSafe(cuts["_doc_id"]) & (own["_hash"] == cuts["_version"])
-    joined = own.join(cuts.hint("merge"), same, "left").withColumn("_lines", _lines(F.col(text_col)))
+    own = rows.select("row", field(id_col).alias("id"), F.xxhash64(text).alias("hash"))
+    same = own["id"].eqNullSafe(cuts["_doc_id"]) & (own["hash"] == cuts["_version"])
+    joined = own.join(cuts.hint("merge"), same, "left").withColumn("_lines", _lines(field(text_col)))
     n_lines = F.size("_lines")
 
     def between(i: Column) -> Column:
@@ -84,7 +85,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("begins")), between))
     changed = F.col("begins").isNotNull()
     result = joined.withColumn("_kept", F.when(changed, kept).otherwise(F.col("_lines")))
-    columns = [F.when(changed, F.array_join("_kept", "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
+    columns = [F.when(changed, F.array_join("_kept", "\n")).otherwise(field(c)).alias(c) if c == text_col else field(c).alias(c)
                for c in docs.columns if c not in ("n_lines", "n_removed")]
     return result.select(
         *columns, n_lines.alias("n_lines"), (n_lines - F.size("_kept")).alias("n_removed")

@@ -30,6 +30,7 @@ from .shared import saved
 SCALE = 1024
 #: Vectors of a shard, on average.
 SHARD = 8_192
+LOWEST = -(1 << 63)
 HITS = "query_row long, query_id long, vec_id long, row long, score long"
 
 
@@ -89,6 +90,11 @@ def competitive(shard: Shard, query: np.ndarray, beat: int | None) -> tuple[np.n
     # Sums beyond 64 bits are made of Python integers.
     kind = np.int64 if reach * max(1, len(terms)) < 1 << 62 else object
     weight, most, least = (x[terms].astype(kind) for x in (query, shard.most, shard.least))
+
+    def listed(term: int) -> tuple[np.ndarray, np.ndarray]:
+        docs, values = shard.postings(term)
+        return docs, values.astype(kind, copy=False)
+
     bound = np.maximum(np.maximum(weight * most, weight * least), 0)
     order = np.argsort(bound, kind="stable")
     sums = np.cumsum(bound[order])
@@ -96,7 +102,7 @@ def competitive(shard: Shard, query: np.ndarray, beat: int | None) -> tuple[np.n
     left = sums[n_rest - 1] if n_rest else 0
     score = np.zeros(n, kind)
     for i in order[n_rest:]:
-        docs, values = shard.postings(terms[i])
+        docs, values = listed(terms[i])
         if len(docs) == n:
             score += weight[i] * values
         else:
@@ -105,7 +111,7 @@ def competitive(shard: Shard, query: np.ndarray, beat: int | None) -> tuple[np.n
     for i in order[:n_rest][::-1]:
         if not len(alive):
             break
-        docs, values = shard.postings(terms[i])
+        docs, values = listed(terms[i])
         if len(docs) == n:
             score[alive] += weight[i] * values[alive]
         elif len(docs):
@@ -137,7 +143,7 @@ def _queries(table: pa.Table):
 
 
 def _long(scores) -> list[int]:
-    return [max(min(int(s), (1 << 63) - 1), -(1 << 63)) for s in scores]
+    return [max(min(int(s), -LOWEST - 1), LOWEST) for s in scores]
 
 
 def _home(k: int):
@@ -146,7 +152,8 @@ def _home(k: int):
         beat = []
         for own, query, _ in _queries(table):
             scores = _long(best(shard, query, own, None, k)[1])
-            beat.append(scores[-1] if len(scores) == k else None)
+            # The lowest number stands for any score below it, too: it bounds nothing.
+            beat.append(scores[-1] if len(scores) == k and scores[-1] > LOWEST else None)
         own = table.select(["query_row", "query_id", "e"])
         return own.append_column("beat", pa.array(beat, pa.int64()))
 

@@ -6,16 +6,18 @@ labelled documents it was not fitted on. Every document then gets a nonnegative
 expected in each domain, rate times tokens times posterior summed over all documents, match the
 targets. The rates solve a least-squares problem:
 
-    minimise  1/2 (t(r) - T)' G^-1 (t(r) - T) + RIDGE/2 sum_d w_d (r_d - 1)^2,   r_d >= floor
+    minimise  1/2 (t(r) - T)' G^-1 (t(r) - T),   r_d >= floor
 
 where ``w_d`` is the document's share of all tokens, ``t(r) = sum_d w_d r_d p_d`` the domain
-shares, ``T`` the target shares and ``G = sum_d w_d p_d p_d'``. Its dual has one variable per
-domain, and the rates follow from them row by row: ``r_d = max(floor, 1 + y'p_d)``. Semismooth
-Newton steps with a line search solve it until the gradient is gone. Shares that the second term
-still keeps off targets within reach are brought there by solving again with the term centred
-where the last solution was, until they are met or come no nearer. One aggregate per step returns
-value, gradient and curvature, a few numbers, for several lengths of the step; only those and
-the bounded word table reach the driver.
+shares, ``T`` the target shares and ``G = sum_d w_d p_d p_d'``. It is solved by projected gradient
+steps from rates of one: the gradient of a document, for its share of the tokens, is ``p_d'G^-1 (t(r) - T)``, and a
+step is a row-by-row projection onto the rates allowed. Rates at their least that the gradient would lower further stay
+there; for the others the gradient is scaled by the curvature that they have together, damped by some amounts at once.
+One aggregate per step returns the curvature, another where each of the damped steps would lead, a few numbers; the
+driver takes the one that comes nearest. Steps end when the targets are met, when the projected gradient is gone, or
+when they come no nearer; there is no other bound on their number.
+As rates start at one and only move by the posteriors of their own document, the list of steps gives
+the rate of any document from its posteriors.
 """
 
 from __future__ import annotations
@@ -29,19 +31,22 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, remove, saved
+from .shared import SPACE, carried, field, remove, saved, unpacked
 
 #: Hashed words of the classifier.
 BUCKETS = 4096
 SMOOTHING = 1.0
 TEMPERATURES = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0)
-RIDGE = 1e-4
-#: Lengths of a step that are tried at once.
-LENGTHS = (1.0, 0.3)
 #: Largest difference from a target share that counts as met.
 TOLERANCE = 5e-4
-#: Targets are out of reach once another solution leaves more than this of the difference.
-NO_NEARER = 0.9
+#: The projected gradient is gone when its norm is below this part of the tolerance.
+GONE = 0.1
+#: Amounts of damping; the largest makes a step a plain one of the gradient, or shorter.
+DAMPING = (1e-9, 1e-4, 1e-2, 0.1, 1.0)
+#: Steps come no nearer when so many of them one after the other lower the distance by less than this part of it.
+NO_NEARER, IN_A_ROW = 1e-4, 3
+#: Steps after which the rates are written, so that expressions do not grow.
+WRITE_EVERY = 8
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
@@ -138,9 +143,20 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col:
     return own
 
 
+def _product(pull: np.ndarray, away: np.ndarray) -> Column:
+    """Product of a row's posteriors, less ``away``, with ``pull``."""
+    terms = [F.get("_p", F.lit(i)) * float(y) for i, y in enumerate(pull)]
+    return sum(terms, F.lit(-float(away @ pull)))
+
+
+def _stepped(rate: Column, gradient: Column, move: Column, floor: Column) -> Column:
+    """The rate behind a step: ``move`` lower, unless it is at the floor and the gradient points below it."""
+    return F.when((rate > floor) | (gradient < 0), F.greatest(floor, rate - move)).otherwise(rate)
+
+
 @dataclass
 class Mix:
-    """A classifier and the dual variables; rates of any document follow from these.
+    """A classifier and the steps; rates of any document follow from these.
 
     ``reached`` has the domain shares at the rates, ``met`` whether they are those of the target.
     """
@@ -148,92 +164,85 @@ class Mix:
     classifier: Classifier
     floor: float
     target: np.ndarray
-    pull: np.ndarray | None = None
-    base: float = 1.0
+    #: (gradient, move) of each step, as constant and factors of the posteriors.
+    steps: list[tuple[np.ndarray, np.ndarray]]
     reached: np.ndarray | None = None
     met: bool = False
-    steps: int = 0
 
     def rate(self) -> Column:
-        """Rate of a row from its posteriors ``_p``."""
-        if self.pull is None:
-            return F.lit(max(1.0, self.floor))
-        free = sum((F.get("_p", F.lit(i)) * float(y) for i, y in enumerate(self.pull)), F.lit(float(self.base)))
-        return F.greatest(F.lit(float(self.floor)), free)
+        """Rate of a row from its posteriors ``_p``: all steps one after the other."""
+        start = F.lit(max(1.0, float(self.floor)))
+        if not self.steps:
+            return start
+        floor, size = F.lit(float(self.floor)), len(self.target)
+        listed = F.array(*[_literal([*gradient, *move]) for gradient, move in self.steps])
+
+        def product(step: Column, at: int) -> Column:
+            pulls = [F.get("_p", F.lit(i)) * F.get(step, F.lit(at + 1 + i)) for i in range(size)]
+            return sum(pulls, F.get(step, F.lit(at)))
+
+        return F.aggregate(listed, start, lambda rate, step: _stepped(rate, product(step, 0), product(step, size + 1), floor))
 
     def rates(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """``docs`` with ``_n``, ``_p`` and ``_rate``, row by row without a join."""
         return self.classifier.posteriors(docs, text_col).withColumn("_rate", self.rate())
 
 
-@dataclass
-class _Solution:
-    pull: np.ndarray
-    off: np.ndarray
-    steps: int
-
-
-def _solved(state: DataFrame, total: float, away: np.ndarray, target: np.ndarray, floor: float, near: float) -> _Solution:
-    """Dual variables for features ``_p - away``, of which the weighted sum is to be ``target``,
-    and what it is off at the solution."""
-    k = len(target)
-    cells = [(i, j) for i in range(k) for j in range(i, k)]
+def _descended(
+    state: DataFrame, total: float, away: np.ndarray, target: np.ndarray, floor: float, near: float
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Steps for features ``_p - away``, of which the weighted sum is to be ``target``, and what it is off behind them."""
+    k, low = len(target), F.lit(float(floor))
     f = [F.get("_p", F.lit(i)) - F.lit(float(away[i])) for i in range(k)]
+    cells = [(i, j) for i in range(k) for j in range(i, k)]
 
-    def matrix(row, name: str) -> np.ndarray:
-        return np.array([[row[f"{name}g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
+    def square(row) -> np.ndarray:
+        return np.array([[row[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)]) / total
 
-    row = state.agg(*[F.sum(F.col("_n") * f[i] * f[j]).alias(f"g{i}_{j}") for i, j in cells]).first()
-    values, vectors = np.linalg.eigh(matrix(row, ""))
-    some = values > 1e-9 * max(values.max(), 1e-30)
+    def vector(row, name: str) -> np.ndarray:
+        return np.array([row[f"{name}{i}"] for i in range(k)]) / total
+
+    sums = [F.sum(F.col("_n") * c).alias(f"s{i}") for i, c in enumerate(f)]
+    row = state.agg(*sums, *[F.sum(F.col("_n") * f[i] * f[j]).alias(f"g{i}_{j}") for i, j in cells]).first()
+    values, vectors = np.linalg.eigh(square(row))
     # In these coordinates G is one; directions in which no document differs are left out.
+    some = values > 1e-9 * max(values.max(), 1e-30)
     white = vectors[:, some] / np.sqrt(values[some])
-    size = white.shape[1]
-
-    def at(points: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        """Value, sums and curvature at each point, the second term left out."""
-        frame, wanted = state, []
-        for x, z in enumerate(points):
-            free = sum((c * float(y) for c, y in zip(f, white @ z)), F.lit(1.0))
-            frame = frame.withColumn(f"_z{x}", free)
-            free, rate = F.col(f"_z{x}"), F.greatest(F.col(f"_z{x}"), F.lit(float(floor)))
-            value = rate * rate / 2 + floor * F.least(F.lit(0.0), free - floor)
-            wanted.append(F.sum(F.col("_n") * value).alias(f"v{x}"))
-            wanted += [F.sum(F.col("_n") * rate * c).alias(f"s{x}_{i}") for i, c in enumerate(f)]
-            bent = F.when(free > floor, F.col("_n")).otherwise(0)
-            wanted += [F.sum(bent * f[i] * f[j]).alias(f"{x}_g{i}_{j}") for i, j in cells]
-        row = frame.agg(*wanted).first()
-        out = []
-        for x, z in enumerate(points):
-            sums = np.array([row[f"s{x}_{i}"] for i in range(k)]) / total
-            out.append((row[f"v{x}"] / total - target @ (white @ z), sums, matrix(row, f"{x}_")))
-        return out
-
-    z = np.zeros(size)
-    centre, missed, steps = z, np.inf, 1
-    value, sums, curve = at([z])[0]
-    while True:
-        full = value + RIDGE / 2 * ((z - centre) ** 2).sum()
-        slope = white.T @ (sums - target) + RIDGE * (z - centre)
-        way, scale, settled = None, 1.0, not size or np.linalg.norm(slope) <= near / 10
-        while not settled:
-            if way is None:
-                way = np.linalg.solve(white.T @ curve @ white + RIDGE * np.eye(size), slope)
-            tried = [z - scale * x * way for x in LENGTHS]
-            results = at(tried)
-            steps += 1
-            fulls = [r[0] + RIDGE / 2 * ((t - centre) ** 2).sum() for r, t in zip(results, tried)]
-            best = int(np.argmin(fulls))
-            if fulls[best] < full:
-                z, (value, sums, curve) = tried[best], results[best]
-                break
-            scale *= LENGTHS[-1]
-            settled = scale < 1e-8  # no lower value in double precision
-        if settled:
-            off = np.abs(sums - target).max()
-            if off <= near or off > NO_NEARER * missed:
-                return _Solution(white @ z, sums - target, steps)
-            missed, centre = off, z
+    start = max(1.0, float(floor))
+    miss = start * vector(row, "s") - target
+    written, live, steps, slow = None, state.withColumn("_r", F.lit(start)), [], 0
+    while np.abs(miss).max() > near and slow < IN_A_ROW:
+        pull = white @ (white.T @ miss)
+        live = live.withColumn("_g", _product(pull, away))
+        free = (F.col("_r") > low) | (F.col("_g") < 0)
+        gone = F.greatest(low, F.col("_r") - F.col("_g")) - F.col("_r")
+        curve = [F.sum(F.when(free, F.col("_n") * f[i] * f[j])).alias(f"g{i}_{j}") for i, j in cells]
+        row = live.agg(F.sum(F.col("_n") * gone * gone).alias("gone"), *curve).first()
+        if math.sqrt(row["gone"] / total) <= GONE * near:
+            break
+        bent = white.T @ square(row) @ white
+        moves = [white @ np.linalg.solve(bent + d * np.eye(len(bent)), white.T @ miss) for d in DAMPING]
+        tried = live.select("_n", "_p", *[
+            _stepped(F.col("_r"), F.col("_g"), _product(m, away), low).alias(f"_r{x}") for x, m in enumerate(moves)
+        ])
+        row = tried.agg(*[F.sum(F.col("_n") * F.col(f"_r{x}") * c).alias(f"t{x}_{i}") for x in range(len(moves)) for i, c in enumerate(f)]).first()
+        reached = [vector(row, f"t{x}_") - target for x in range(len(moves))]
+        far = [float(np.linalg.norm(white.T @ m)) for m in reached]
+        best, before = int(np.argmin(far)), float(np.linalg.norm(white.T @ miss))
+        if far[best] >= before:
+            break  # no lower value in double precision
+        slow = slow + 1 if far[best] > (1 - NO_NEARER) * before else 0
+        miss = reached[best]
+        steps.append(tuple(np.r_[-float(away @ y), y] for y in (pull, moves[best])))
+        live = live.withColumn("_r", _stepped(F.col("_r"), F.col("_g"), _product(moves[best], away), low)).drop("_g")
+        if len(steps) % WRITE_EVERY == 0:
+            behind, written = written, saved(live, "rates-so-far")
+            live = written
+            if behind is not None:
+                remove(behind)
+    if written is not None:
+        remove(written)
+    return steps, miss
 
 
 def fitted_mix(
@@ -262,24 +271,22 @@ def fitted_mix(
     state = saved(start.drop("_text"), "rates")
     shares = [F.sum(F.col("_n") * F.get("_p", F.lit(i))).alias(f"t{i}") for i in range(len(domains))]
     first = state.agg(F.sum("_n").alias("n"), *shares).first()
-    mix, total = Mix(own, floor, weights / weights.sum()), first["n"]
+    mix, total = Mix(own, floor, weights / weights.sum(), []), first["n"]
     if not total:
         return mix, state.withColumn("_rate", mix.rate())
     share, nothing, now = mix.target, np.zeros(len(domains)), np.array([first[f"t{i}"] for i in range(len(domains))]) / total
     if budget is None and floor >= 1:
         # Rates times (posteriors - target shares) add to nothing at any budget that meets them.
-        found = _solved(state, total, share, nothing, floor, TOLERANCE * floor)
-        mix.pull, mix.base, mix.steps = found.pull, 1.0 - float(share @ found.pull), found.steps
+        mix.steps, off = _descended(state, total, share, nothing, floor, TOLERANCE * floor)
         tokens = state.agg(F.sum(F.col("_n") * mix.rate())).first()[0] / total
-        mix.target, mix.reached = share * tokens, share * tokens + found.off
-        mix.met = bool(np.abs(found.off).max() <= TOLERANCE * tokens)
+        mix.target, mix.reached = share * tokens, share * tokens + off
+        mix.met = bool(np.abs(off).max() <= TOLERANCE * tokens)
     if not mix.met:
         if budget is None:
             budget = float((now[share > 0] / share[share > 0]).max()) * max(1.0, floor)
-        found = _solved(state, total, nothing, share * budget, floor, TOLERANCE * budget)
-        mix.pull, mix.base, mix.steps = found.pull, 1.0, mix.steps + found.steps
-        mix.target, mix.reached = share * budget, share * budget + found.off
-        mix.met = bool(np.abs(found.off).max() <= TOLERANCE * budget)
+        mix.steps, off = _descended(state, total, nothing, share * budget, floor, TOLERANCE * budget)
+        mix.target, mix.reached = share * budget, share * budget + off
+        mix.met = bool(np.abs(off).max() <= TOLERANCE * budget)
     if not mix.met:
         off = np.abs(mix.reached - mix.target).max() / mix.target.sum()
         warnings.warn(f"target shares are out of reach: the rates come within {off:.4f}", stacklevel=2)
@@ -303,10 +310,11 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_co
     """``docs`` with each row as often as its rate says; the columns stay.
 
     The whole part of a rate is a number of copies; a hash of id and text decides with the
-    probability of the rest on one more, so a rerun gives the same rows.
+    probability of the rest on one more, so a rerun gives the same rows. Null and empty texts have the rate of
+    the prior posteriors; rows that repeat id and text are copied alike. An empty table gives an empty table.
     """
     mix, _ = fitted_mix(docs, labelled, targets, id_col=id_col, text_col=text_col, **options)
-    own = mix.rates(docs, text_col)
-    share = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
+    own = mix.rates(carried(docs).withColumn("text", field(text_col)))
+    share = F.pmod(F.xxhash64(field(id_col), F.col("text"), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
     copies = (F.floor("_rate") + (share < F.col("_rate") - F.floor("_rate")).cast("int")).cast("int")
-    return own.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return unpacked(own.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import carried, unpacked
+from .shared import carried, field, unpacked
 
 #: Fewest words and periods of a run.
 WORDS, PERIODS = 6, 4
@@ -198,8 +198,8 @@ def with_planted_period(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     and rows without an id stay as they are.
     """
     rows = carried(docs)
-    h = F.crc32(rows[f"row.`{id_col}`"].cast("string").cast("binary"))
-    text = F.col(f"row.`{text_col}`")
+    h = F.crc32(field(id_col).cast("string").cast("binary"))
+    text = field(text_col)
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     n = F.size("own.w").cast("long")
     begin = F.pmod(F.col("own.g"), n)

@@ -13,6 +13,8 @@ returns a row per vector (number of links, smallest vector of its connected part
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -148,7 +150,7 @@ def _compare(least_shared: int, key: tuple[pa.Scalar, ...], group: pa.Table) ->
 
 
 def _valid(vectors: DataFrame, column: str) -> DataFrame:
-    """Rows whose vector can have links, all of the most common length among them."""
+    """Rows whose vector can have links."""
     value = F.col(column)
     fine = (
         value.isNotNull()
@@ -156,9 +158,28 @@ def _valid(vectors: DataFrame, column: str) -> DataFrame:
         & F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(value, lambda x: x != 0)
     )
-    good = vectors.where(F.coalesce(fine, F.lit(False)))
-    common = good.groupBy(F.size(column).alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.where(F.size(column) == (common["n"] if common else 0))
+    return vectors.where(F.coalesce(fine, F.lit(False)))
+
+
+def links_of_all_lengths(distinct: DataFrame) -> DataFrame:
+    """``vector_links`` among the vectors of each length; vectors of different lengths have no angle.
+
+    A length that fills more than a block is indexed on its own. All others, however many there are, are groups of one
+    block at most, in which every pair is compared.
+    """
+    sized = distinct.withColumn("size", F.size("embedding"))
+    sizes = saved(sized.groupBy("size").agg(F.count("*").alias("n")), "lengths")
+    # As many rows as there are lengths with more vectors than a block.
+    large = sorted(r["size"] for r in sizes.where(F.col("n") > BLOCK).collect())
+    parts = [vector_links(distinct.where(F.size("embedding") == n)) for n in large]
+
+    def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        return _compare(1, tuple(pa.scalar(0) for _ in range(3)), group)
+
+    few = sized.where(~F.col("size").isin(large)) if large else sized
+    few = few.withColumn("bits", F.array(F.lit(1).cast("long"))).withColumn("block", F.lit(0))
+    parts.append(few.groupBy("size").applyInArrow(compare, "node long, links long, root long"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def vector_links(distinct: DataFrame) -> DataFrame:
@@ -200,8 +221,8 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     """Near-duplicate links and group of every vector.
 
     Returns one row per input row: (vec_id, n_links, component_id, kept). Vectors that are null,
-    empty, zero, or hold a null or non-finite component link with nothing, and neither do those
-    whose length is not the most common one. ``component_id`` is the smallest id
+    empty, zero, or hold a null or non-finite component link with nothing, and vectors of different lengths not with each
+    other. ``component_id`` is the smallest id
     reachable, null where there is none; rows that repeat an id are vectors like any other. An
     empty table gives an empty table; columns besides the two named are not read.
     """
@@ -209,7 +230,7 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     good = _valid(named, "embedding")
     distinct = good.groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     distinct = saved(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    links = saved(vector_links(distinct), "vector-links")
+    links = saved(links_of_all_lengths(distinct), "vector-links")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     joined = distinct.join(counts, "node", "left").join(roots, "node", "left").select(

@@ -199,37 +199,37 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 def encoded(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the ids of its texts in ``out``, which replaces a column of that name.
 
-    Null and empty texts have no ids. All other columns stay.
+    Null and empty texts have no ids. All other columns stay. Rows that repeat a text have the same ids; an empty
+    table gives an empty table.
     """
 
     def run(batches):
         own = model(path)
         for batch in _batches(batches):
-            ids = _lists([own.encode(t) for t in batch.column("_text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], out])
+            ids = _lists([own.encode(t) for t in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", out])
 
-    kept = docs.drop(out).columns
-    schema = T.StructType([*docs.select(kept).schema, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return docs.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.drop(out).columns]).alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([kept.schema["row"], T.StructField(out, T.ArrayType(T.IntegerType()))])
+    return kept.mapInArrow(run, schema).select("row.*", out)
 
 
 def decoded(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``tokens`` with the texts of its ids in ``out``, which replaces a column of that name.
 
-    Null ids give a null text. All other columns stay.
+    Null ids give a null text, an empty list an empty one. All other columns stay. Rows that repeat their ids have the
+    same text; an empty table gives an empty table.
     """
 
     def run(batches):
         own = model(path)
         for batch in _batches(batches):
-            texts = [None if i is None else own.decode(i) for i in batch.column("_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], out]
-            )
+            texts = [None if i is None else own.decode(i) for i in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", out])
 
-    kept = tokens.drop(out).columns
-    schema = T.StructType([*tokens.select(kept).schema, T.StructField(out, T.StringType())])
-    return tokens.select(*kept, F.col(ids_col).alias("_ids")).mapInArrow(run, schema)
+    kept = tokens.select(F.struct(*[F.col(f"`{c}`") for c in tokens.drop(out).columns]).alias("row"), F.col(ids_col).alias("ids"))
+    schema = T.StructType([kept.schema["row"], T.StructField(out, T.StringType())])
+    return kept.mapInArrow(run, schema).select("row.*", out)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,17 +24,13 @@ def everywhere(queries: DataFrame, shards: int) -> DataFrame:
     return queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
-    """Runs of rows of one shard and side."""
-    keys = list(zip(batch.column("shard").to_pylist(), batch.column("side").to_pylist()))
-    at = 0
-    while at < len(keys):
-        low, high = at, len(keys)  # rows are sorted: the end of a run is found by halving
-        while high - low > 1:
-            mid = (low + high) // 2
-            low, high = (mid, high) if keys[mid] == keys[at] else (low, mid)
-        yield keys[at], batch.slice(at, low + 1 - at)
-        at = low + 1
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of rows of one place."""
+    places = batch.column("place").to_numpy()
+    ends = [*(np.flatnonzero(np.diff(places)) + 1).tolist(), len(places)]
+    for a, b in zip([0, *ends], ends):
+        if b > a:
+            yield int(places[a]), batch.slice(a, b - a)
 
 
 def searched(rows: DataFrame, queries: DataFrame, shards: int, build: Build, answer: Answer, schema: str) -> DataFrame:
@@ -48,16 +45,20 @@ def searched(rows: DataFrame, queries: DataFrame, shards: int, build: Build, ans
         held: list[pa.RecordBatch] = []
         current, index = None, None
         for batch in batches:
-            for (shard, side), part in _runs(batch):
-                if shard != current:
-                    current, index, held = shard, None, []
-                if side == 0:
+            for place, part in _runs(batch):
+                if place // 2 != current:
+                    current, index, held = place // 2, None, []
+                if place % 2 == 0:
                     held.append(part)
                 elif index is not None or held:
                     if index is None:
                         index, held = build(pa.Table.from_batches(held)), []
-                    yield from answer(index, pa.Table.from_batches([part])).to_batches()
+                    asked = pa.Table.from_struct_array(part.column("query"))
+                    yield from answer(index, asked).to_batches()
 
-    sides = [df.withColumn("side", F.lit(i)) for i, df in enumerate((rows, queries))]
-    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    return both.repartitionById(shards, "shard").sortWithinPartitions("shard", "side").mapInArrow(work, schema)
+    # One number to sort by: shards in order, rows before queries.
+    place = F.col("shard").cast("long") * 2
+    asked = queries.select("shard", (place + 1).alias("place"), F.struct(*[c for c in queries.columns if c != "shard"]).alias("query"))
+    both = rows.withColumn("place", place).unionByName(asked, allowMissingColumns=True)
+    dealt = both.repartitionById(shards, "shard").drop("shard")
+    return dealt.sortWithinPartitions("place").mapInArrow(work, schema)

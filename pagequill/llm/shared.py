@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
+
 #: What counts as white space in texts, as a class for Java and DuckDB patterns.
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``.
-
-    Where that is unset and Spark runs on this machine only, a new folder here is set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there."""
-    path = shared_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,15 +28,25 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
+def field(name: str) -> Column:
+    """A column of a table that ``carried`` packed."""
+    return F.col(f"row.`{name}`")
+
+
 def numbered(df: DataFrame) -> DataFrame:
-    """``df`` with a number for each row in ``__row``, written so that the numbers stay."""
-    return saved(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    """``df`` as ``carried`` packs it, with a ``number`` for each row, written so that the numbers stay."""
+    return saved(carried(df).withColumn("number", F.monotonically_increasing_id()), "rows")
 
 
 def row_key(id_col: str) -> Column:
     """Key of a numbered row that no other has; sorts by id, null ids last."""
-    own = F.col(id_col)
-    return F.struct(own.isNull().alias("none"), own.alias("id"), F.col("__row").alias("row"))
+    own = field(id_col)
+    return F.struct(own.isNull().alias("none"), own.alias("id"), F.col("number").alias("row"))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``numbered`` that are not in ``gone(number)``, unpacked."""
+    return unpacked(rows.join(gone, "number", "left_anti"))
 
 
 def remove(df: DataFrame) -> None:

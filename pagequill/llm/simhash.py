@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from .shared import components, numbered, row_key, saved
+from .shared import components, field, numbered, row_key, saved, without
 
 SHINGLE = 3
 SEED = 42
@@ -153,9 +153,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group, that with the smallest id; all columns stay.
 
-    A null id counts as the last, and of equal ids any one row is taken.
+    A null id counts as the last, and of equal ids any one row is taken. Null and empty texts are
+    one group. An empty table gives an empty table.
     """
     rows = numbered(docs)
-    groups = simhash_groups(rows.select(row_key(id_col).alias("key"), F.col(text_col).alias("text")), "key", "text")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id.row").alias("__gone"))
-    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+    groups = simhash_groups(rows.select(row_key(id_col).alias("key"), field(text_col).alias("text")), "key", "text")
+    return without(rows, groups.where("doc_id <> component_id").select(F.col("doc_id.row").alias("number")))

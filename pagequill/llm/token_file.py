@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import shared_path
+from ..sources.scratch import scratch_path
 
 END_ID = 0
-#: Distinct pieces whose ids one worker keeps.
-CACHE = 600_000
+#: Bytes of the pieces and ids that one worker keeps, with what Python needs for each entry.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
+#: Bytes of text that are encoded at once, at least one document.
+TEXT_BYTES = 1 << 20
 #: Longest piece that is kept.
 CACHED_CHARS = 64
 ROW_GROUP, PAGE_BYTES, PAGE_ROWS = 32 << 20, 1 << 20, 2000
@@ -52,6 +55,15 @@ class Encoder:
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)])
         self.pieces = re.compile(r"\s*[^\W_]++(?=[\s!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+\Z")
         self.known: dict[str, bytes] = {}
+        self.kept = 0
+
+    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(pieces, ids))
+        self.kept += sum(map(len, ids)) + sum(map(len, pieces)) + ENTRY_BYTES * len(pieces)
+
+    def _forget(self, pieces: list[str]) -> None:
+        for piece in pieces:
+            self.kept -= len(self.known.pop(piece)) + len(piece) + ENTRY_BYTES
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -62,15 +74,14 @@ class Encoder:
         ids = np.frombuffer(self._plain(["".join(joined)])[0], "<u4")
         ends = np.cumsum([len(p.encode()) for p in joined])
         at = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-        for piece, a, b in zip(joined, [0, *at[:-1]], at):
-            self.known[piece] = ids[a:b].tobytes()
+        self._keep(joined, [ids[a:b].tobytes() for a, b in zip([0, *at[:-1]], at)])
         rest = [p for p in pieces if not (p[0].isspace() and not p[-1].isspace())]
-        self.known.update(zip(rest, self._plain(rest)))
+        self._keep(rest, self._plain(rest))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if self.kept > CACHE_BYTES:  # the older half goes; what is frequent comes back at once
+            self._forget(list(islice(self.known, (len(self.known) + 1) // 2)))
         # Python counts \x1c to \x1f as white space, the tokenizer does not.
         odd = [bool(re.search("[\x1c-\x1f]", t)) for t in texts]
         cut = [[t] if o else self.pieces.findall(t) for t, o in zip(texts, odd)]
@@ -80,9 +91,7 @@ class Encoder:
         brief = {t: self._plain([t])[0] for t, o in zip(texts, odd) if o}
         known = {**self.known, **brief} if brief else self.known
         out = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        for piece in new:
-            if len(piece) > CACHED_CHARS:
-                del self.known[piece]
+        self._forget([piece for piece in new if len(piece) > CACHED_CHARS])
         return out
 
 
@@ -111,7 +120,7 @@ def _encode(path: str):
     return encode
 
 
-def _small(batch: pa.RecordBatch, n_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _small(batch: pa.RecordBatch, n_bytes: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``n_bytes`` of text."""
     if not batch.num_rows:
         return
@@ -127,7 +136,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     follow each other in the order of their texts. ``part`` numbers the files in that order.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The begin of the text tells rows of one id apart, so that they need not be in one task.
+    ordered = texts.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     schema = "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>"
     writer = ordered.mapInArrow(_encode(tokenizer), schema).write
     options = {
@@ -173,7 +183,7 @@ def token_table(docs: DataFrame, tokenizer: str, path: str | None = None) -> Dat
     Returns (doc_id, start, n_tokens, ids_crc32). An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    path = path or shared_path(spark, "tokens")
+    path = path or scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     return read_tokens(spark, path).mapInArrow(_checksums, schema)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from .shared import hashed_share
+from .shared import carried, field, hashed_share, unpacked
 
 WORDS, STEP = 6, 4
 GRAM, SLOTS = 5, 1 << 20
@@ -278,7 +278,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that score 0.3 or more; the columns stay."""
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without those that score ``threshold`` or more; the columns stay.
+
+    A null text scores as an empty one, rows that repeat a text alike. Without labels of both kinds the score is
+    the share of toxic labels. An empty table gives an empty table.
+    """
     model = fit(docs.where(~held_out(id_col)), labels.where(~held_out()).select("doc_id", "toxic"), id_col, text_col)
-    return scored(docs, model, text_col, "__toxicity").where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    rows = scored(carried(docs).withColumn("text", field(text_col)), model)
+    return unpacked(rows.where(F.col("toxicity") < threshold))

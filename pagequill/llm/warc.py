@@ -36,7 +36,7 @@ from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .shared import shared_path
+from ..sources.scratch import scratch_path
 
 SCHEMA = (
     "page_id bigint, url string, record_type string, refers_to bigint,"
@@ -359,12 +359,21 @@ def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 def write_archive(rows: DataFrame, path: str, split_bytes: int = SPLIT_BYTES, compression: str = "gzip") -> None:
+    """Write ``rows`` of :func:`records_of` as archives, in files of about ``split_bytes``.
+
+    A null payload is written without content, a null id as a record without one. Repeated rows are as many records,
+    an empty table writes an archive without records; columns besides those of the schema are not written.
+    """
     register(rows.sparkSession)
     options = {"splitBytes": split_bytes, "compression": compression}
     rows.write.format("warc").options(**options).mode("append").save(path)
 
 
 def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """The records of an archive; without ``payload`` none is decoded, and the column is null.
+
+    An archive without records gives an empty table.
+    """
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
@@ -377,7 +386,7 @@ def archived_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     no payload is decoded. An empty table gives an empty table.
     """
     spark = pages.sparkSession
-    path = path or shared_path(spark, "warc")
+    path = path or scratch_path(spark, "warc")
     write_archive(records_of(pages), path)
     stored = read_archive(spark, path).where("record_type = 'response'").select(
         "page_id",

@@ -12,12 +12,9 @@ NAN, INF = float("nan"), float("inf")
 def all_pairs(ids, vectors):
     """(vec_id, n_links, component_id, kept) by brute force; pairs within 1e-12 of the bound are not tested."""
     good = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for v in vectors]
-    sizes = [len(v) for v, g in zip(vectors, good) if g]
-    most = max(sorted(set(sizes)), key=sizes.count) if sizes else 0
-    good = [g and len(v) == most for v, g in zip(vectors, good)]
-    at = [i for i, g in enumerate(good) if g]
     linked = np.eye(len(ids), dtype=bool)
-    if at:
+    for size in {len(v) for v, g in zip(vectors, good) if g}:
+        at = [i for i, g in enumerate(good) if g and len(vectors[i]) == size]
         unit = np.array([vectors[i] for i in at], np.float64)
         unit /= np.abs(unit).max(1, keepdims=True)
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
@@ -51,6 +48,24 @@ def test_odd_vectors(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(all_pairs(ids, vectors), key=repr)
 
 
+@pytest.mark.parametrize("block", [2048, 60])
+def test_mixed_lengths(spark, monkeypatch, block):
+    """Lengths of some hundred vectors and lengths of a few, beside each other."""
+    monkeypatch.setattr(pivot_index, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    vectors = []
+    for size, n in ((16, 200), (24, 150), (5, 12), (6, 3), (7, 1)):
+        own = rng.normal(size=(n, size))
+        vectors += [*own.tolist(), *(own[: n // 2] + rng.normal(size=(n // 2, size)) * 0.02).tolist(), *own[:2].tolist()]
+    ids = rng.permutation(len(vectors)).tolist()
+    got = sorted(map(tuple, pivot_index.vector_groups(frame(spark, ids, vectors, "double")).collect()))
+    want = sorted(all_pairs(ids, vectors))
+    found, there = sum(r[1] for r in got), sum(r[1] for r in want)
+    assert 0.99 * there <= found <= there
+    small = {i for i, v in zip(ids, vectors) if len(v) < 10}
+    assert [r for r in got if r[0] in small] == [r for r in want if r[0] in small]
+
+
 def test_only_invalid_or_no_vectors(spark):
     df = frame(spark, [2, 1], [None, [0.0]])
     assert sorted(map(tuple, pivot_index.vector_groups(df).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]

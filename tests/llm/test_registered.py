@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_one_query_per_operator():
     names = set(registered.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert set(ORACLE) <= set(registered.oracle_sql())
 
@@ -20,7 +20,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = registered.queries()[name](spark, SF)
     want = duck.execute(ORACLE[name]).fetchall()

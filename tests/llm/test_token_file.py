@@ -29,7 +29,7 @@ def expected(rows):
 
 def test_encoder_equals_the_library_on_hard_texts(monkeypatch):
     encoder, tokenizer = token_file.Encoder(PATH), Tokenizer.from_file(PATH)
-    monkeypatch.setattr(token_file, "CACHE", 5)
+    monkeypatch.setattr(token_file, "CACHE_BYTES", 1500)
     for texts in (HARD, HARD[::-1], ["".join(HARD)]):
         want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
         assert [np.frombuffer(b, "<u4").tolist() for b in encoder(texts)] == want
