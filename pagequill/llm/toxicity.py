@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on passages typical of toxic documents and one on
-ordinary text. A text is cut in overlapping windows of six words; each window is compressed
+ordinary text. A text is cut in overlapping windows of twelve words; each window is compressed
 with both, and the bytes that the toxic dictionary saves say how close the window is to toxic
 text. How often a document's windows save so many bytes or more makes up its features, and a
 logistic curve fitted on labelled documents, which no dictionary saw, turns them into a score.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F, types as T
 
 from .shared import carried, field, hashed_share, unpacked
 
-WORDS, STEP = 6, 4
+WORDS, STEP = 12, 8
 GRAM, SLOTS = 5, 1 << 20
 TOXIC_BYTES = 4096
 #: Bytes of the background, and standard errors by which a gram must be more frequent in toxic
@@ -36,6 +36,8 @@ DICTIONARY_SHARE = 0.6
 #: Savings in bytes whose rates among the windows are features.
 STEPS = tuple(range(1, 11))
 THRESHOLD = 0.3
+#: Shares of the toxic rows that a filter is to catch, and of the ordinary ones that it leaves in any case.
+CAUGHT, SPARED = 0.95, 0.93
 #: Windows compressed at once.
 BLOCK = 100_000
 
@@ -104,6 +106,17 @@ class Model:
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+    #: Scores of the toxic and of the ordinary rows by which the curve was fitted.
+    known: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
+
+    def threshold(self, caught: float = CAUGHT, spared: float = SPARED) -> float:
+        """Score from which a filter rejects: it catches the share ``caught`` of the toxic rows, unless that
+        takes more than the rest of ``spared`` of the ordinary ones. ``THRESHOLD`` for a model without rows.
+        """
+        toxic, ordinary = self.known
+        if not len(toxic) or not len(ordinary):
+            return THRESHOLD
+        return float(max(np.quantile(toxic, 1 - caught), np.quantile(ordinary, spared)))
 
     def _compressors(self) -> list[zstandard.ZstdCompressor]:
         options = zstandard.ZstdCompressionParameters.from_level(
@@ -207,25 +220,27 @@ def fitted(texts: list[str], labels: np.ndarray, prior: float) -> Model:
         x = model.features(rest)
         model.centre, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
         model.weights = _curve((x - model.centre) / model.scale, y, weight)
-        p = np.clip(model._curved(x), 1e-9, 1 - 1e-9)
+        p = model._curved(x)
+        model.known = (p[y == 1], p[y == 0])
+        p = np.clip(p, 1e-9, 1 - 1e-9)
         loss = -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean()
         if loss < least:
             best, least = model, loss
     return best
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_chars: int = FIT_CHARS) -> Model:
     """Model from a bounded sample of the labelled rows, chosen by a hash of their ids.
 
     ``labels`` has (doc_id, toxic); rows with another label than 0 or 1 are not used, and of an
     id labelled more than once the largest label counts. At most ``TOXIC_ROWS`` and
-    ``ORDINARY_ROWS`` rows, of texts up to ``FIT_CHARS`` characters, come to the driver; of an id
+    ``ORDINARY_ROWS`` rows, of texts up to ``fit_chars`` characters, come to the driver; of an id
     with several texts one is taken. The share of toxic rows is counted over all labelled rows.
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.where(F.length("text") <= FIT_CHARS)
+    texts = texts.where(F.length("text") <= fit_chars)
     # Ids are matched and chosen first, so that no text is shuffled for those not chosen.
     there = known.join(texts.select("doc_id").hint("merge"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     # The share is one of the labels whose document is there.
@@ -278,12 +293,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those that score ``threshold`` or more; the columns stay.
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None) -> DataFrame:
+    """``docs`` without those that score ``threshold`` or more, by default that of the model; the columns stay.
 
     A null text scores as an empty one, rows that repeat a text alike. Without labels of both kinds the score is
     the share of toxic labels. An empty table gives an empty table.
     """
     model = fit(docs.where(~held_out(id_col)), labels.where(~held_out()).select("doc_id", "toxic"), id_col, text_col)
     rows = scored(carried(docs).withColumn("text", field(text_col)), model)
-    return unpacked(rows.where(F.col("toxicity") < threshold))
+    return unpacked(rows.where(F.col("toxicity") < (model.threshold() if threshold is None else threshold)))
