@@ -19,7 +19,10 @@ TARGETS = {"good": 0.85, "poor": 0.15}
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.3 for toxicity; a document without text is kept."""
+    """Documents that score below the model's threshold for toxicity, which its labelled rows set.
+
+    A document without text scores as an empty one. Rows that repeat a text stay or go together.
+    """
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
