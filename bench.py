@@ -11,6 +11,7 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -48,9 +49,18 @@ def main() -> None:
     path = scratch_path(spark, "bench-index")
     dump = q.written_dump(q.dump_rows(spark, sf), "bench-dump")
 
+    pages_path = scratch_path(spark, "bench-dump-index")
+    texts = docs.where("content IS NOT NULL").limit(1000)
+    words = F.concat_ws(" ", F.lit("10"), F.slice(F.split("content", " "), 5, 4))
+    requests = texts.select(F.col("id").alias("request_id"), words.alias("msg"))
+
     def indexed() -> pq.Index:
         return pq.load_index(spark, path)
 
+    def dump_results() -> DataFrame:
+        found = pq.search_batch(q.requests(spark, sf), pq.load_index(spark, pages_path))
+        return pq.result_list(found, pq.load_pages(spark, pages_path))
+
     steps = {
         "warm_up": lambda: run(pq.word_count(docs)),
         "word_count": lambda: run(pq.word_count(docs)),
@@ -66,6 +76,9 @@ def main() -> None:
         "search": lambda: pq.search("10 the heat tion", indexed()).collect(),
         "search_again": lambda: pq.search("-10 of and the ing", indexed()).collect(),
         "search_batch": lambda: run(pq.search_batch(q.text_requests(spark, sf), indexed())),
+        "search_batch_1000": lambda: run(pq.search_batch(requests, indexed())),
+        "index_dump": lambda: pq.index_dump(spark, dump, pages_path),
+        "result_list": lambda: run(dump_results()),
     }
     seconds = {}
     for name, step in steps.items():

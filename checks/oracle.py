@@ -1,28 +1,29 @@
-"""DuckDB SQL for the registered queries, put together from named subqueries."""
+"""DuckDB SQL for the registered queries, put together from named subqueries.
+
+Patterns are written out here, so that the SQL does not follow the library where that is wrong.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pagequill.functions import fixed
-
 from . import corpora
 
 _PLAIN = "line"
 for _pattern, _to in (
-    (fixed.COMMENT, ""),
+    (r"<!--\s*[^-]*-->", ""),
     (r"<ref[^>]*\/>", ""),
-    (fixed.NAMED_REF, ""),
-    (fixed.ANY_REF, ""),
+    (r'<ref\s*name="([^"]*)"\s*\/?>[^<]*(<\/ref>)?', ""),
+    (r"<ref[^\/]*\/>|<ref[^>]*>[^<]*<\/ref>", ""),
     (r"\[\[Category:([^\]]*)\]\]", r"\1"),
     (r"\[\[[^\]|]*\|([^\]|]*)[^\]]*\]\]", r"\1"),
-    (fixed.LINK, r"\1"),
+    (r"\[\[([^\]]*)\]\]", r"\1"),
     (r"\[http://[^\] ]* ([^\]]*)\]", r"\1"),
-    (fixed.BRACKET, r"\1"),
-    (fixed.STRONG_EM, r"\1"),
-    (fixed.STRONG, r"\1"),
-    (fixed.EM, r"\1"),
-    (fixed.TEMPLATE, ""),
+    (r"\[([^\]]*)\]", r"\1"),
+    (r"[']{5}\s*([^']+'[^']+|[^']*)\s*[']{5}", r"\1"),
+    (r"[']{3}\s*([^']+'[^']+|[^']*)\s*[']{3}", r"\1"),
+    (r"[']{2}\s*([^']+'[^']+|[^']*)\s*[']{2}", r"\1"),
+    (r"\{\{([^\}]*)\}\}", ""),
 ):
     _PLAIN = "regexp_replace({}, '{}', '{}', 'g')".format(_PLAIN, _pattern.replace("'", "''"), _to)
 
@@ -284,16 +285,16 @@ _FINAL = {
         SELECT id, pos, level, substring(line, level + 1, greatest(length(line) - 2 * level, 0)) AS heading
         FROM (SELECT *, length(regexp_extract(line, '^(=+)[^=]', 1)) AS level FROM m_shown) WHERE level > 0""",
     "page_links": _found(
-        fixed.LINK,
+        r"\[\[([^\]]*)\]\]",
         r"""regexp_replace(string_split(body, '|')[1], '\s', '_', 'g') AS target,
         coalesce(string_split(body, '|')[2], body) AS label""",
         "NOT starts_with(body, 'Category:')",
     ),
     "page_categories": _found(
-        fixed.LINK, "substr(body, 10) AS category", "starts_with(body, 'Category:')"
+        r"\[\[([^\]]*)\]\]", "substr(body, 10) AS category", "starts_with(body, 'Category:')"
     ),
     "external_links": _found(
-        fixed.BRACKET,
+        r"\[([^\]]*)\]",
         "substr(body, 1, greatest(strpos(body, ' ') - 1, 0)) AS url, substr(body, strpos(body, ' ') + 1) AS title",
         "starts_with(body, 'http://')",
     ),
