@@ -29,8 +29,8 @@ from .shared import hashed_share
 
 KINDS = ("email", "ip", "card", "phone")
 SPACES = " \t\n\x0b\x0c\r"
-#: Words that the field is fitted on at most.
-FIT_WORDS = 20_000
+#: Words that the field is fitted on at most, and the longest text that it is fitted on, always as a whole.
+FIT_WORDS, FIT_CHARS = 20_000, 20_000
 #: Likelihood from which a mention is a span, if it repeats a pattern's span of that kind.
 CERTAIN = 0.5
 ROUNDS, DAMPING = 20, 0.5
@@ -414,21 +414,20 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, [t or "" for t in part.column("text").to_pylist()]
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Field:
+def fit(docs: DataFrame, text_col: str = "text", fit_chars: int = FIT_CHARS) -> Field:
     """Field from a bounded sample: the documents with such words, in the order of a hash of the
-    text, as many as hold ``FIT_WORDS`` of them. Only words, their places and labels, cut down
-    to the lines that hold one, come to the driver."""
+    text, as many as hold ``FIT_WORDS`` of them. Texts of up to ``fit_chars`` characters take part, as a whole; at most
+    a tenth as many as ``FIT_WORDS`` come to the driver."""
     schema = "h long, words int, text string"
 
     def lines(batches):
         for part, texts in _texts(batches):
-            cut = ["\n".join(x[:2000] for x in t.split("\n") if _HINT.search(x))[:20_000] for t in texts]
-            count = [min(len(candidates(t)), FIT_WORDS) for t in cut]
-            rows = pa.RecordBatch.from_arrays([part.column("h"), pa.array(count, pa.int32()), pa.array(cut, pa.string())], ["h", "words", "text"])
+            count = [min(len(candidates(t)), FIT_WORDS) for t in texts]
+            rows = pa.RecordBatch.from_arrays([part.column("h"), pa.array(count, pa.int32()), pa.array(texts, pa.string())], ["h", "words", "text"])
             yield rows.filter(pa.array([c > 0 for c in count], pa.bool_()))
 
     hashed = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    hinted = hashed.where(F.col("text").rlike("[0-9@]"))
+    hinted = hashed.where((F.length("text") <= fit_chars) & F.col("text").rlike("[0-9@]"))
     # The share is one of distinct texts, as copies add nothing to the sample.
     few = hashed_share(F.col("h"), FIT_WORDS // 10, hinted.select("h").distinct().count())
     # Equal texts have one hash: however many there are, one is taken.
