@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Makes a shard's index of its rows; answers some queries from it.
 Build = Callable[[pa.Table], object]
@@ -53,12 +55,15 @@ def searched(rows: DataFrame, queries: DataFrame, shards: int, build: Build, ans
                 elif index is not None or held:
                     if index is None:
                         index, held = build(pa.Table.from_batches(held)), []
-                    asked = pa.Table.from_struct_array(part.column("query"))
-                    yield from answer(index, asked).to_batches()
+                    asked = [json.loads(q) for q in part.column("query").to_pylist()]
+                    yield from answer(index, pa.Table.from_pylist(asked, schema=kind)).to_batches()
 
     # One number to sort by: shards in order, rows before queries.
     place = F.col("shard").cast("long") * 2
-    asked = queries.select("shard", (place + 1).alias("place"), F.struct(*[c for c in queries.columns if c != "shard"]).alias("query"))
+    # A query travels as text: an empty list beside each of the rows would cost more than the row.
+    own = F.struct(*[c for c in queries.columns if c != "shard"])
+    kind = to_arrow_schema(queries.drop("shard").schema)
+    asked = queries.select("shard", (place + 1).alias("place"), F.to_json(own, {"ignoreNullFields": "false"}).alias("query"))
     both = rows.withColumn("place", place).unionByName(asked, allowMissingColumns=True)
     dealt = both.repartitionById(shards, "shard").drop("shard")
     return dealt.sortWithinPartitions("place").mapInArrow(work, schema)
