@@ -26,9 +26,9 @@ from ..sources.scratch import scratch_path
 
 END_ID = 0
 #: Bytes of the pieces and ids that one worker keeps, with what Python needs for each entry.
-CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
+CACHE_BYTES, ENTRY_BYTES = 160 << 20, 200
 #: Bytes of text that are encoded at once, at least one document.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 2 << 20
 #: Longest piece that is kept.
 CACHED_CHARS = 64
 ROW_GROUP, PAGE_BYTES, PAGE_ROWS = 32 << 20, 1 << 20, 2000
