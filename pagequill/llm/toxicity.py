@@ -295,8 +295,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None) -> DataFrame:
-    """``docs`` without those that score ``threshold`` or more, by default that of the model; the columns stay.
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = THRESHOLD) -> DataFrame:
+    """``docs`` without those that score ``threshold`` or more; None takes that of the model. The columns stay.
 
     A null text scores as an empty one, rows that repeat a text alike. Without labels of both kinds the score is
     the share of toxic labels. An empty table gives an empty table.
