@@ -230,7 +230,7 @@ def test_few_words_reach_the_scan(spark, corpora, monkeypatch):
     last = pq.search("5 the heat", index)
     for df in (*plans, last):
         plan = df._jdf.queryExecution().toString()
-        assert df is last or re.search(r"PushedFilters: \[[^]]*In\(word, \[heat,the\]\)", plan)
+        assert df is last or re.search(r"PushedFilters: \[.*In\(word, \[heat,the\]\)", plan)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
