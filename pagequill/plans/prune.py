@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking as rk
 from ..operators.toplist import CUT_BEFORE_SHUFFLE, top_per_group
-from ..sizing import LOCAL_ROWS, held, is_small
+from ..sizing import LOCAL_ROWS, held, is_small, local
 from ..sources.index_store import NO_RESULT, Index, word_bucket
 
 #: Pages with a request's most frequent word in the bands looked up first, as a multiple of its limit.
@@ -53,17 +53,26 @@ def band_places(lookups: DataFrame, by_length: Column) -> DataFrame:
     return summed.select("request_id", "band", "n", rk.place(0, -F.col("times"), -score, lowest).alias("best"))
 
 
-def scored_places(index: Index, wanted: DataFrame, small: bool, words: list[str] | None, max_k: int, honour_strategy: bool) -> DataFrame:
+def _numbers(wanted: DataFrame, rows: list | None, name: str) -> list[int]:
+    """Distinct numbers in a column; at most as many as there are buckets or bands."""
+    if rows is not None:
+        return sorted({r[name] for r in rows})
+    return sorted(r[0] for r in wanted.select(name).distinct().collect())
+
+
+def scored_places(
+    index: Index, wanted: DataFrame, small: bool, words: list[str] | None, max_k: int, honour_strategy: bool, rows: list | None = None
+) -> DataFrame:
     """``(request_id, id, place)`` of the results of each request in the ``wanted`` lookups.
 
     The postings of a result are in one bucket: they are joined with a side that is broadcast,
+    ``rows`` are those of ``wanted`` if they are few. Matches are
     scored and reduced to one row per result where they are read, and of these ``max_k`` per request and bucket leave. Lists
     too long to be cut there are ranked by the caller.
     """
     postings = index.paged
-    # At most as many numbers as there are buckets and bands.
     for name in ("word_bucket", "band"):
-        postings = postings.where(F.col(name).isin(sorted(r[0] for r in wanted.select(name).distinct().collect())))
+        postings = postings.where(F.col(name).isin(_numbers(wanted, rows, name)))
     if words is not None:
         postings = postings.where(F.col("word").isin(words))
     side = wanted.select("request_id", "strategy", "word", "repeats", "df", "ln_weight", "band", "word_bucket")
@@ -96,26 +105,40 @@ def first_places(
     if words is not None and rows is not None:
         words = sorted({r["word"] for r in rows})
 
-    def picked(bands: DataFrame) -> DataFrame:
-        return lookups.join(F.broadcast(bands) if small else bands, ["request_id", "band"], "left_semi")
+    def found_in(bands: DataFrame, band_rows: list | None) -> DataFrame:
+        """Places in the given bands of each request."""
+        if rows is not None and band_rows is not None:
+            keys = {(b["request_id"], b["band"]) for b in band_rows}
+            own = [r for r in rows if (r["request_id"], r["band"]) in keys]
+            return scored_places(index, local(lookups, own), small, words, max_k, honour_strategy, own)
+        wanted = lookups.join(F.broadcast(bands) if small else bands, ["request_id", "band"], "left_semi")
+        return scored_places(index, wanted, small, words, max_k, honour_strategy)
 
     chances = band_places(lookups, F.col("strategy") == 1 if honour_strategy else F.lit(True)).join(ks, "request_id")
     before = Window.partitionBy("request_id").orderBy("best", "band").rowsBetween(Window.unboundedPreceding, -1)
     chances = chances.withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    chances, _ = held(chances.withColumn("first", F.col("seen") / FIRST_PAGES < F.col("k")), "band-places", LOCAL_ROWS)
-
-    found = scored_places(index, picked(chances.where("first")), small, words, max_k, honour_strategy)
-    ranked = top_per_group(found.join(ks, "request_id"), ["request_id"], [F.asc("place")], F.col("k"), max_k, "rank")
-    first, _ = held(ranked.select("request_id", "id", "place", "k", "rank"), "first-places", LOCAL_ROWS)
-
-    bar = first.where(F.col("rank") == F.col("k")).select("request_id", F.col("place").alias("bar"))
-    rest = chances.where(~F.col("first") & (F.col("k") > 0)).join(bar, "request_id", "left")
-    rest = rest.where(F.col("bar").isNull() | (F.col("best") <= F.col("bar"))).select("request_id", "band")
-    rest, rows = held(rest, "other-bands", LOCAL_ROWS)
+    chances = chances.withColumn("first", F.col("seen") / FIRST_PAGES < F.col("k"))
+    chances, chance_rows = held(chances, "band-places", LOCAL_ROWS)
+    first_rows = None if chance_rows is None else [c for c in chance_rows if c["first"]]
+
+    found = found_in(chances.where("first"), first_rows).join(ks, "request_id")
+    ranked = top_per_group(found, ["request_id"], [F.asc("place")], F.col("k"), max_k, "rank")
+    first, place_rows = held(ranked.select("request_id", "id", "place", "k", "rank"), "first-places", LOCAL_ROWS)
+
+    if chance_rows is not None and place_rows is not None:
+        bars = {r["request_id"]: tuple(r["place"].values()) for r in place_rows if r["rank"] == r["k"]}
+        rest_rows = [
+            c for c in chance_rows
+            if not c["first"] and c["k"] > 0 and (c["request_id"] not in bars or tuple(c["best"].values()) <= bars[c["request_id"]])
+        ]
+        rest = local(chances, rest_rows).select("request_id", "band")
+    else:
+        bar = first.where(F.col("rank") == F.col("k")).select("request_id", F.col("place").alias("bar"))
+        rest = chances.where(~F.col("first") & (F.col("k") > 0)).join(bar, "request_id", "left")
+        rest = rest.where(F.col("bar").isNull() | (F.col("best") <= F.col("bar"))).select("request_id", "band")
+        rest, rest_rows = held(rest, "other-bands", LOCAL_ROWS)
     first = first.select("request_id", "id", "place")
-    if rows == []:
-        return first
-    return first.unionByName(scored_places(index, picked(rest), small, words, max_k, honour_strategy))
+    return first if rest_rows == [] else first.unionByName(found_in(rest, rest_rows))
 
 
 def _nothing(ks: DataFrame) -> DataFrame:

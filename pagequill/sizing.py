@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .sources.scratch import scratch_path
 
@@ -72,6 +74,12 @@ def settle(df: DataFrame, rows: int = FILTER_ROWS) -> tuple[DataFrame, list | No
     return df.sparkSession.createDataFrame(found, schema=df.schema), found.to_pylist()
 
 
+def local(like: DataFrame, rows: list[dict]) -> DataFrame:
+    """A local table of ``rows`` with the columns of ``like``."""
+    found = pa.Table.from_pylist(rows, schema=to_arrow_schema(like.schema))
+    return like.sparkSession.createDataFrame(found, schema=like.schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the scratch folder and read back."""
     path = scratch_path(df.sparkSession, name)
