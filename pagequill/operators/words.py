@@ -55,6 +55,24 @@ def page_terms(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def packed_terms(page_terms: DataFrame) -> DataFrame:
+    """``page_terms`` with ``words`` and ``counts``, one string and one array, in place of the terms.
+
+    They take half as many bytes in a shuffle. Rows without terms drop out.
+    """
+    some = page_terms.where(F.size("terms") > 0)
+    words = F.array_join(F.transform("terms", lambda t: t["word"]), " ")
+    counts = F.transform("terms", lambda t: t["tf"])
+    return some.withColumn("words", words).withColumn("counts", counts).drop("terms")
+
+
+def unpacked_terms(packed: DataFrame, keep: list[str]) -> DataFrame:
+    """``(*keep, word, tf)``, one row per word of :func:`packed_terms`."""
+    pairs = F.arrays_zip(F.split("words", " ").alias("word"), F.col("counts").alias("tf"))
+    # The outer form keeps the optimizer from copying the split into a pre-filter.
+    return packed.select(*keep, F.inline_outer(pairs).alias("word", "tf"))
+
+
 def exploded_terms(page_terms: DataFrame) -> DataFrame:
     """``(id, word, tf)``, one row per word of a page record."""
     # The outer form keeps the optimizer from copying the word count into a pre-filter.

@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.filters import indexable_pages
 from ..operators.pages import clean_text, decoded_text, field_columns, page_fields
 from ..operators.titles import page_directory
-from ..sizing import stored
 from ..sources.dump import load_dump_offsets
 from ..sources.index_store import Index, write_index
 from ..sources.scratch import scratch_scope
-from ..sources.tables import read_by_id, store_by_id
+from ..sources.tables import read_by_id, spread, store_by_id
 
 
 def indexed_pages(raw_pages: DataFrame, blocked: DataFrame | None = None) -> DataFrame:
@@ -27,13 +26,14 @@ def index_dump(
     The dump is read once: records get their offsets and are cleaned in the same pass.
     """
     with scratch_scope(spark):
-        placed = load_dump_offsets(spark, paths, columns=field_columns())
-        # Everything else reads the cleaned pages, so a lost executor does not go back to the dump.
-        cleaned = stored(clean_text(decoded_text(indexable_pages(placed, blocked))), "cleaned-pages")
-        pages = store_by_id(cleaned.drop("path", "offset"), f"{out}/pages")
-        return write_index(pages.drop("id_bucket"), out, page_directory(cleaned))
+        # The records are read back from files, so a lost executor does not go back to the dump.
+        placed = indexable_pages(load_dump_offsets(spark, paths, columns=field_columns()), blocked)
+        pages = store_by_id(decoded_text(placed).drop("path", "offset"), f"{out}/pages")
+        # Clean text is made where words are counted: it is neither shuffled nor stored beside the text.
+        return write_index(clean_text(spread(pages)), out, page_directory(placed))
 
 
 def load_pages(spark: SparkSession, out: str) -> DataFrame:
-    """The page store written by :func:`index_dump`, in buckets by id."""
-    return read_by_id(spark, f"{out}/pages")
+    """The page store written by :func:`index_dump`, in buckets by id; ``content`` is made when it is asked for."""
+    pages = clean_text(read_by_id(spark, f"{out}/pages"))
+    return pages.select(*(c for c in pages.columns if c != "id_bucket"), "id_bucket")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .sources.scratch import scratch_path
+from .sources.tables import CODEC
 
 #: Largest table, in rows and in bytes of its strings, that is broadcast.
 BROADCAST_ROWS = 500_000
@@ -83,7 +84,7 @@ def local(like: DataFrame, rows: list[dict]) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the scratch folder and read back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,13 +15,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..operators import titles as tl, words as wd
 from ..operators.ranking import log_pico
+from ..sizing import is_small
 from .scratch import remove_folder
-from .tables import store_by_title, store_sorted
+from .tables import CODEC, store_by_title, store_sorted
 
-#: Pages of a bucket, on average, where there are that many; fewer keep all cores busy.
-BUCKET_PAGES, LEAST_BUCKET_PAGES = 1 << 17, 1000
+#: Most pages and postings of a bucket, on average: a task sorts the postings of a bucket, and a search keeps a row
+#: for each request and page of it. Small corpora have smaller buckets that keep all cores busy.
+BUCKET_PAGES, BUCKET_POSTINGS, LEAST_BUCKET_PAGES = 1 << 13, 1 << 21, 1000
 #: Postings of a file, on average.
 FILE_POSTINGS = 1 << 20
 #: Folders by hash of the word.
@@ -64,26 +67,40 @@ def band(n_words: Column, result_id: Column) -> Column:
     return F.when(result_id.isNull(), NO_RESULT).otherwise(length).cast("int")
 
 
-def postings_by_page(terms: DataFrame, facts: DataFrame, page_buckets: int, word_buckets: int) -> DataFrame:
+def postings_by_page(
+    terms: DataFrame, facts: DataFrame, page_buckets: int, word_buckets: int
+) -> tuple[DataFrame, DataFrame]:
     """Postings of ``page_terms`` in ``page_buckets`` partitions by ``home``, each with all of its pages.
 
-    Facts join the page rows, and these are dealt out with their words still inside; what is
-    exploded and summed up for pages that share an id stays where it is.
+    Page rows are dealt out with their words still inside and exploded where they are. Most pages stand for themselves
+    and have one record, which says all about them: those, the first table, need no join and no sum. The second
+    table has the others, which get their facts, are dealt out by their home and summed up.
     """
-    dealt = (
-        terms.select("id", "terms")
-        .join(facts, "id")
-        .withColumn("home", F.coalesce("result_id", "id"))
-        .withColumn("band", band(F.col("n_words"), F.col("result_id")))
-        .repartition(page_buckets, "home")
-    )
+    own = F.when(F.col("n_words") >= fixed.MIN_WORDS, F.col("id"))
+    others = facts.where((F.col("records") > 1) | ~F.col("result_id").eqNullSafe(own)).drop("records")
+    small = is_small(others)
+
+    def hinted(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    packed = wd.packed_terms(terms)
+    alone = packed.join(hinted(others.select("id")), "id", "left_anti").where(F.col("id").isNotNull())
+    alone = alone.repartition(page_buckets, "id").withColumn("result_id", own).withColumn("home", F.col("id"))
+    moved = packed.drop("n_words", "max_tf").join(hinted(others), "id")
+    moved = moved.withColumn("home", F.coalesce("result_id", "id")).repartition(page_buckets, "home")
     page = ["home", "id", "band", "n_words", "max_tf", "result_id"]
-    each = dealt.select(*page, F.inline_outer("terms")).where(F.col("word").isNotNull())
-    summed = each.groupBy(*page, "word").agg(F.sum("tf").alias("tf"))
-    return summed.select(
-        "word", "band", "id", "tf", "n_words", "max_tf", "result_id", "home",
-        word_bucket("word", word_buckets).alias("word_bucket"),
-    )
+
+    def postings(dealt: DataFrame) -> DataFrame:
+        banded = dealt.withColumn("band", band(F.col("n_words"), F.col("result_id")))
+        return wd.unpacked_terms(banded.select(*page, "words", "counts"), page)
+
+    def placed(each: DataFrame) -> DataFrame:
+        return each.select(
+            "word", "band", "id", "tf", "n_words", "max_tf", "result_id", "home",
+            word_bucket("word", word_buckets).alias("word_bucket"),
+        )
+
+    return placed(postings(alone)), placed(postings(moved).groupBy(*page, "word").agg(F.sum("tf").alias("tf")))
 
 
 def word_bounds(postings: DataFrame) -> DataFrame:
@@ -104,7 +121,7 @@ def word_bounds(postings: DataFrame) -> DataFrame:
 def bucket_counts(spark: SparkSession, n_pages: int, n_postings: int) -> tuple[int, int]:
     """Numbers of page buckets and of word buckets for a corpus of that size."""
     wanted = min(spark.sparkContext.defaultParallelism, -(-n_pages // LEAST_BUCKET_PAGES))
-    pages = max(1, wanted, -(-n_pages // BUCKET_PAGES))
+    pages = max(1, wanted, -(-n_pages // BUCKET_PAGES), -(-n_postings // BUCKET_POSTINGS))
     files = n_postings // (pages * FILE_POSTINGS)
     return pages, min(MOST_WORD_BUCKETS, max(FEWEST_WORD_BUCKETS, 1 << files.bit_length()))
 
@@ -145,14 +162,16 @@ def write_index(
     spark = pages.sparkSession
 
     wd.page_terms(pages, ("title", "redirect_title")).write.mode("overwrite").parquet(
-        f"{path}/page_terms"
+        f"{path}/page_terms", compression=CODEC
     )
     terms = spark.read.parquet(f"{path}/page_terms")
     directory = tl.page_directory(terms) if directory is None else directory
     directory = store_by_title(directory, f"{path}/directory")
 
     page_stats = wd.page_stats(terms)
-    facts = page_stats.join(tl.page_targets(terms, page_stats, directory), "id", "left")
+    records = terms.groupBy("id").agg(F.count("*").alias("records"))
+    targets = tl.page_targets(terms, page_stats, directory)
+    facts = page_stats.join(records, "id").join(targets, "id", "left")
     facts.write.mode("overwrite").parquet(f"{path}/page_facts")
     facts = spark.read.parquet(f"{path}/page_facts")
 
@@ -163,8 +182,9 @@ def write_index(
     spark.createDataFrame(layout).write.mode("overwrite").json(f"{path}/layout")
     remove_folder(spark, f"{path}/postings")
     name = f"pagequill_{uuid.uuid4().hex}"
-    writer = postings_by_page(terms, facts, page_buckets, word_buckets).write.partitionBy("word_bucket")
-    writer.bucketBy(page_buckets, "home").sortBy("word", "band", "id").option("path", f"{path}/postings").saveAsTable(name)
+    for part in postings_by_page(terms, facts, page_buckets, word_buckets):
+        writer = part.write.mode("append").option("compression", CODEC).partitionBy("word_bucket").bucketBy(page_buckets, "home")
+        writer.sortBy("word", "band", "id").option("path", f"{path}/postings").saveAsTable(name)
 
     postings = _table(spark, f"{path}/postings", page_buckets)
     bounds = store_sorted(word_bounds(postings), f"{path}/bounds", ["word", "band"])

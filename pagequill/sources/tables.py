@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 BUCKET_ROWS, MOST_BUCKETS = 1 << 14, 1 << 16
 #: Rows of a range of titles, on average, and the most ranges of a directory.
 RANGE_ROWS, MOST_RANGES = 1 << 14, 1 << 12
+#: Compression of large tables.
+CODEC = "zstd"
 #: Metadata of the column ``id_bucket`` of a page store.
 BUCKETS = "buckets"
 
@@ -49,7 +51,8 @@ def store_by_id(pages: DataFrame, path: str, buckets: int | None = None) -> Data
     if buckets is None:
         buckets = min(MOST_BUCKETS, max(1, -(-pages.count() // BUCKET_ROWS)))
     placed = pages.withColumn("id_bucket", id_bucket("id", buckets)).hint("rebalance", F.col("id_bucket"))
-    placed.sortWithinPartitions("id_bucket", "id").write.mode("overwrite").partitionBy("id_bucket").parquet(path)
+    ordered = placed.sortWithinPartitions("id_bucket", "id")
+    ordered.write.mode("overwrite").partitionBy("id_bucket").parquet(path, compression=CODEC)
     counts = pages.sparkSession.createDataFrame([(buckets,)], f"{BUCKETS} INT")
     counts.write.mode("overwrite").json(f"{path}_layout")
     return read_by_id(pages.sparkSession, path)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 import pagequill as pq
 from pagequill import sizing
-from pagequill.operators import ranking as rk, titles as tl, toplist
+from pagequill.operators import ranking as rk, titles as tl, toplist, words as wd
 from pagequill.plans import prune
+from pagequill.sources import index_store
 from pagequill.sources.tables import store_by_id, store_by_title
 
 from .conftest import rows
@@ -371,3 +372,44 @@ def test_nothing_to_search(spark, corpora):
     assert pq.search_batch(none, index).collect() == []
     for msg in ("5 nosuchword", "5", "0 the", "-3 12 ..."):
         assert pq.search(msg, index).collect() == []
+
+
+def test_buckets_are_bounded(spark):
+    """A task sorts a bucket, so there are as many as the corpus takes."""
+    for pages, postings in ((3_000_000, 900_000_000), (30_000, 900_000_000)):
+        buckets, _ = index_store.bucket_counts(spark, pages, postings)
+        assert pages / buckets <= 10_000 and postings / buckets <= 3_000_000
+    assert index_store.bucket_counts(spark, 500, 5_000)[0] == 1
+
+
+def test_plain_pages_are_shuffled_once(spark, corpora):
+    """Pages that stand for themselves are dealt out without a join of page rows or a sum."""
+    _, index, df = corpora[0]
+    terms = wd.page_terms(df, ("title", "redirect_title"))
+    targets = index.page_targets
+    records = terms.groupBy("id").agg(F.count("*").alias("records"))
+    facts = index.page_stats.join(records, "id").join(targets, "id", "left")
+    plain, others = index_store.postings_by_page(terms, facts, 3, 4)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "SortMergeJoin" not in plan
+    assert "HashAggregate(keys=[home" not in plan
+    columns = ["word", "id", "tf", "n_words", "max_tf", "result_id"]
+    assert rows(plain.unionByName(others).select(*columns).na.fill(-1)) == rows(index.postings.select(*columns).na.fill(-1))
+    assert others.count() > 0
+
+
+def test_repeated_and_redirected_records_in_the_index(spark, tmp_path):
+    """Records that share an id, a page that redirects to itself, and one without an id."""
+    words = " ".join(["the heat"] * 60)
+    pages = [
+        (1, "Page a", "", "", words), (2, "Page b", "", "", "the sun"), (2, "Page b", "", "", words),
+        (3, "Page c", "Page C", "", "the moon"), (4, "Page d", "Page a", "", "the star"), (5, "Page e", "", "", ""),
+        (None, "Page f", "", "", "the none"),
+    ]
+    index = pq.write_index(spark.createDataFrame(pages, PAGE_SCHEMA), str(tmp_path / "index"))
+    found = rows(index.postings.select("word", "id", "tf", "n_words", "max_tf", F.coalesce("result_id", F.lit(-1))))
+    assert found == sorted([
+        ("the", 1, 60, 120, 60, 1), ("heat", 1, 60, 120, 60, 1),
+        ("the", 2, 61, 122, 61, 2), ("heat", 2, 60, 122, 61, 2), ("sun", 2, 1, 122, 61, 2),
+        ("the", 3, 1, 2, 1, 3), ("moon", 3, 1, 2, 1, 3), ("the", 4, 1, 2, 1, 1), ("star", 4, 1, 2, 1, 1),
+    ])
