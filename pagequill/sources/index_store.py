@@ -24,7 +24,7 @@ from .tables import CODEC, store_by_title, store_sorted
 
 #: Most pages and postings of a bucket, on average: a task sorts the postings of a bucket, and a search keeps a row
 #: for each request and page of it. Small corpora have smaller buckets that keep all cores busy.
-BUCKET_PAGES, BUCKET_POSTINGS, LEAST_BUCKET_PAGES = 1 << 13, 1 << 21, 1000
+BUCKET_PAGES, BUCKET_POSTINGS, LEAST_BUCKET_PAGES = 1 << 12, 1 << 20, 1000
 #: Postings of a file, on average.
 FILE_POSTINGS = 1 << 20
 #: Folders by hash of the word.
@@ -92,7 +92,8 @@ def postings_by_page(
 
     def postings(dealt: DataFrame) -> DataFrame:
         banded = dealt.withColumn("band", band(F.col("n_words"), F.col("result_id")))
-        return wd.unpacked_terms(banded.select(*page, "words", "counts"), page)
+        each = wd.unpacked_terms(banded).select(*page, F.inline_outer("terms"))
+        return each.where(F.col("word").isNotNull())
 
     def placed(each: DataFrame) -> DataFrame:
         return each.select(
