@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import pagequill as pq
 from pagequill.functions import fixed, text as tx
 from pagequill.operators import ranking as rk, words as wd
+from pagequill.sizing import stored
 from pagequill.sources.scratch import scratch_path
 from pagequill.sources.tables import spread
 
@@ -93,7 +94,8 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Matches of the text requests in the documents, and the page statistics."""
-    terms = wd.page_terms(documents(spark, sf))
+    # Words are counted once; pages lie by id in partitions of a bounded size, and their matches stay there.
+    terms = wd.dealt_terms(stored(wd.page_terms(documents(spark, sf)), "page-terms"))
     postings = wd.postings_of(terms)
     wanted = rk.distinct_terms(pq.parse_request(text_requests(spark, sf)))
     return pq.term_lookup(wanted, postings, pq.document_frequency(postings)), wd.page_stats(terms)
@@ -132,7 +134,9 @@ def dump_hits(spark: SparkSession, sf: str) -> tuple[DataFrame, pq.Index]:
     """Scored pages of all requests over the dump."""
     index, _ = dump_index(spark, sf)
     terms = rk.distinct_terms(pq.parse_request(requests(spark, sf)))
-    matches = pq.term_lookup(terms, index.postings.drop("result_id"), index.vocabulary)
+    # By bucket of their home, pages are scored and resolved where their postings lie.
+    postings = index.paged.select("word", "id", "tf", "n_words", "max_tf", "home")
+    matches = pq.term_lookup(terms, postings, index.vocabulary)
     return pq.score_by_length(matches), index
 
 

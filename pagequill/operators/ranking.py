@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import requests as rq
 from ..functions.text import _col
-from ..sizing import KeySide, join_on_key, key_side
+from ..sizing import KeySide, is_small, join_on_key, key_side
 from .toplist import top_per_group
 from .words import with_counts
 
@@ -121,17 +121,22 @@ def score(matches: DataFrame, denominator: str = "n_words", page: tuple[str, ...
 
 
 def score_by_length(matches: DataFrame, page_stats: DataFrame | None = None) -> DataFrame:
-    """Scores divided by the page's number of words."""
-    return score(_with_stats(matches, page_stats), "n_words")
+    """Scores divided by the page's number of words. A column ``home`` is kept, see :func:`redirect_resolve`."""
+    return score(_with_stats(matches, page_stats), "n_words", _home(matches))
 
 
 def score_by_max_tf(matches: DataFrame, page_stats: DataFrame | None = None) -> DataFrame:
-    """Scores divided by the count of the page's most frequent word."""
-    return score(_with_stats(matches, page_stats), "max_tf")
+    """Scores divided by the count of the page's most frequent word. A column ``home`` is kept."""
+    return score(_with_stats(matches, page_stats), "max_tf", _home(matches))
+
+
+def _home(df: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in ("home",) if c in df.columns)
 
 
 def _with_stats(matches: DataFrame, page_stats: DataFrame | None) -> DataFrame:
-    return matches if page_stats is None else matches.join(page_stats, "id")
+    # One row per page is looked up in each partition; matches that lie by id are not moved, and none are sorted.
+    return matches if page_stats is None else matches.join(page_stats.hint("shuffle_hash"), "id")
 
 
 def rank_order() -> list[Column]:
@@ -147,8 +152,17 @@ def rank_pages(scored: DataFrame, k: int) -> DataFrame:
 
 
 def redirect_resolve(scored: DataFrame, page_targets: DataFrame) -> DataFrame:
-    """Adds the ``result_id`` that stands for each page; pages without one drop out."""
-    return scored.join(page_targets, "id")
+    """Adds the ``result_id`` that stands for each page; pages without one drop out.
+
+    ``home``, the result's id where a page has one, is dropped again: scores that lie by it are resolved
+    and reduced to their results without a shuffle of them.
+    """
+    if "home" not in scored.columns:
+        return scored.join(page_targets, "id")
+    targets = page_targets.withColumn("home", F.col("result_id"))
+    targets = targets.hint("broadcast" if is_small(targets) else "shuffle_hash")
+    kept = [c for c in scored.columns if c not in ("id", "home")]
+    return scored.join(targets, ["home", "id"]).select("id", *kept, F.col("home").alias("result_id"))
 
 
 def body_places(hits: DataFrame) -> DataFrame:

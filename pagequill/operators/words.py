@@ -12,6 +12,8 @@ from ..functions.text import tokenize
 
 #: Page ids that one part of a posting list spans.
 PART_IDS = 10_000
+#: Most pages and terms of a partition of dealt pages, on average.
+PART_PAGES, PART_TERMS = 1 << 12, 1 << 20
 
 
 def with_counts(df: DataFrame, words: Column, name: str) -> DataFrame:
@@ -58,19 +60,29 @@ def page_terms(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def packed_terms(page_terms: DataFrame) -> DataFrame:
     """``page_terms`` with ``words`` and ``counts``, one string and one array, in place of the terms.
 
-    They take half as many bytes in a shuffle. Rows without terms drop out.
+    They take half as many bytes in a shuffle.
     """
-    some = page_terms.where(F.size("terms") > 0)
     words = F.array_join(F.transform("terms", lambda t: t["word"]), " ")
     counts = F.transform("terms", lambda t: t["tf"])
-    return some.withColumn("words", words).withColumn("counts", counts).drop("terms")
+    return page_terms.withColumn("words", words).withColumn("counts", counts).drop("terms")
 
 
-def unpacked_terms(packed: DataFrame, keep: list[str]) -> DataFrame:
-    """``(*keep, word, tf)``, one row per word of :func:`packed_terms`."""
-    pairs = F.arrays_zip(F.split("words", " ").alias("word"), F.col("counts").alias("tf"))
-    # The outer form keeps the optimizer from copying the split into a pre-filter.
-    return packed.select(*keep, F.inline_outer(pairs).alias("word", "tf"))
+def unpacked_terms(packed: DataFrame) -> DataFrame:
+    """:func:`packed_terms` with their ``terms`` again."""
+    words = F.filter(F.split("words", " "), lambda word: word != "")
+    pairs = F.transform(F.arrays_zip(words.alias("word"), "counts"), lambda p: F.struct(p["word"].alias("word"), p["counts"].alias("tf")))
+    return packed.withColumn("terms", pairs).drop("words", "counts")
+
+
+def dealt_terms(page_terms: DataFrame) -> DataFrame:
+    """A stored ``page_terms`` in partitions by id, as many as keep each to a bounded number of pages and words.
+
+    What is made of it by id, such as postings, statistics and scores, stays where it is.
+    """
+    size = page_terms.agg(F.count("*").alias("pages"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
+    cores = page_terms.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, -(-size["pages"] // PART_PAGES), -(-size["terms"] // PART_TERMS))
+    return unpacked_terms(packed_terms(page_terms).repartition(parts, "id"))
 
 
 def exploded_terms(page_terms: DataFrame) -> DataFrame:

@@ -413,3 +413,33 @@ def test_repeated_and_redirected_records_in_the_index(spark, tmp_path):
         ("the", 2, 61, 122, 61, 2), ("heat", 2, 60, 122, 61, 2), ("sun", 2, 1, 122, 61, 2),
         ("the", 3, 1, 2, 1, 3), ("moon", 3, 1, 2, 1, 3), ("the", 4, 1, 2, 1, 1), ("star", 4, 1, 2, 1, 1),
     ])
+
+
+def test_scores_that_lie_by_home_are_resolved_there(spark, corpora):
+    """Results are the same with and without ``home``, and it leaves the result's columns alone."""
+    _, index, _ = corpora[0]
+    requests = spark.createDataFrame([(1, "10 the heat"), (2, "5 of the sun")], REQUEST_SCHEMA)
+    terms = rk.distinct_terms(pq.parse_request(requests))
+
+    def resolved(*columns):
+        postings = index.paged.select("word", "id", "tf", "n_words", "max_tf", *columns)
+        return pq.redirect_resolve(pq.score_by_length(pq.term_lookup(terms, postings, index.vocabulary)), index.page_targets)
+
+    assert resolved("home").columns == resolved().columns
+    assert rows(resolved("home")) == rows(resolved()) != []
+    assert rows(pq.dedup_results(rk.body_places(resolved("home"))).select("request_id", "id", "place.*")) == rows(
+        pq.dedup_results(rk.body_places(resolved())).select("request_id", "id", "place.*")
+    )
+
+
+def test_matches_that_lie_by_id_are_not_shuffled(spark):
+    """Scores of dealt pages: nothing but page rows, page statistics and few terms goes through an exchange."""
+    pages = spark.createDataFrame([(i, "the heat of " + "x" * (i % 5 + 1)) for i in range(50)], "id long, content string")
+    terms = wd.dealt_terms(sizing.stored(wd.page_terms(pages), "page-terms"))
+    requests = spark.createDataFrame([(i, f"3 the heat {'x' * (i % 5 + 1)}") for i in range(5)], REQUEST_SCHEMA)
+    postings = wd.postings_of(terms)
+    wanted = rk.distinct_terms(pq.parse_request(requests))
+    scored = pq.score_by_length(pq.term_lookup(wanted, postings, pq.document_frequency(postings)), wd.page_stats(terms))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(request_id" not in plan and "ShuffledHashJoin" in plan
+    assert scored.count() == 250
