@@ -91,6 +91,14 @@ def exploded_terms(page_terms: DataFrame) -> DataFrame:
     return page_terms.select("id", F.inline_outer("terms")).where(F.col("word").isNotNull())
 
 
+def _occurrences(pages: DataFrame) -> DataFrame:
+    """The columns of ``pages`` and ``word`` in place of ``content``, one row per word."""
+    parts = F.split(F.lower("content"), "[^a-z]+")
+    each = pages.select(*(c for c in pages.columns if c != "content"), F.explode_outer(parts).alias("word"))
+    # As in tokenize; a null content has no row here.
+    return each.where(F.col("word") != "")
+
+
 def word_count(pages: DataFrame) -> DataFrame:
     """``(word, n)``: words that occur more than once in the corpus."""
     return (
@@ -127,7 +135,8 @@ def postings_of(page_terms: DataFrame) -> DataFrame:
 
 def inverted_index(pages: DataFrame) -> DataFrame:
     """``(word, id, tf)``."""
-    return postings_of(page_terms(pages))
+    # Words are summed up by id anyway, before and after the shuffle: sorting them in their rows first saves nothing.
+    return _occurrences(pages.select("id", "content")).groupBy("word", "id").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -137,7 +146,8 @@ def document_frequency(postings: DataFrame) -> DataFrame:
 
 def sorted_index(postings: DataFrame) -> DataFrame:
     """Postings ordered by word, then by the id as a string."""
-    return postings.orderBy("word", F.col("id").cast("string"))
+    # A column of its own, or every comparison makes both texts again.
+    return postings.withColumn("_text", F.col("id").cast("string")).orderBy("word", "_text").drop("_text")
 
 
 def posting_lists(postings: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
@@ -147,11 +157,15 @@ def posting_lists(postings: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
     pages of several such ranges is in as many rows, and no row holds more than ``part_ids``
     entries however frequent the word is.
     """
-    entry = F.struct(F.col("id").cast("string").alias("s"), "id", "tf")
+
+    def keyed(e: Column) -> Column:
+        return F.struct(e["id"].cast("string").alias("s"), e["id"].alias("id"), e["tf"].alias("tf"))
+
     return (
         postings.withColumn("part", F.floor(F.col("id") / part_ids).cast("bigint"))
         .groupBy("word", "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        .agg(F.collect_list(F.struct("id", "tf")).alias("found"))
+        .withColumn("entries", F.sort_array(F.transform("found", keyed)))
         .select(
             "word",
             "part",

@@ -76,3 +76,29 @@ def test_posting_lists_have_one_rule_beyond_any_size(spark):
 def test_sorted_index_orders_ids_as_strings(spark):
     df = spark.createDataFrame([("b", 2, 1), ("a", 9, 1), ("a", 10, 1)], "word string, id long, tf long")
     assert [tuple(r) for r in pq.sorted_index(df).collect()] == [("a", 10, 1), ("a", 9, 1), ("b", 2, 1)]
+
+
+def test_postings_without_sorting_words_in_their_rows(spark):
+    """The inverted index needs no sorted words, the sorted one no cast in its comparisons."""
+    df = pages(spark, CORPUS + [(None, "a b"), (None, "a"), (6, "")])
+    found = pq.inverted_index(df)
+    assert "sort_array" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, wd.postings_of(wd.page_terms(df)).collect()))
+    ordered = pq.sorted_index(found)
+    sort = next(x for x in ordered._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Sort [" in x)
+    assert "cast(" not in sort
+    ids = [r["id"] for r in pq.sorted_index(spark.createDataFrame([("a", i, 1) for i in (2, 10, 9, 100)], "word string, id long, tf long")).collect()]
+    assert ids == [10, 100, 2, 9]
+
+
+def test_dealt_terms(spark, monkeypatch):
+    """Dealt pages keep their rows, in partitions of a bounded size that what is made by id does not shuffle again."""
+    monkeypatch.setattr(wd, "PART_PAGES", 2)
+    df = pages(spark, [(i, "a b a" if i % 3 else "") for i in range(40)] + [(None, "c"), (7, "b")])
+    terms = wd.page_terms(df)
+    dealt = wd.dealt_terms(terms)
+    assert dealt.rdd.getNumPartitions() == 21
+    key = lambda found: sorted(map(str, found.select(*terms.columns).collect()))
+    assert key(dealt) == key(terms)
+    plan = wd.postings_of(dealt)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
