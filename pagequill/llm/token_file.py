@@ -14,7 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -83,14 +83,17 @@ class Encoder:
         if self.kept > CACHE_BYTES:  # the older half goes; what is frequent comes back at once
             self._forget(list(islice(self.known, (len(self.known) + 1) // 2)))
         # Python counts \x1c to \x1f as white space, the tokenizer does not.
-        odd = [bool(re.search("[\x1c-\x1f]", t)) for t in texts]
+        odd = ["\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t for t in texts]
         cut = [[t] if o else self.pieces.findall(t) for t, o in zip(texts, odd)]
-        new = set().union(*(ps for ps, o in zip(cut, odd) if not o)) - self.known.keys()
+        new: set[str] = set()
+        for pieces, o in zip(cut, odd):
+            if not o:
+                new.update(filterfalse(self.known.__contains__, pieces))
         if new:
             self._learn(list(new))
         brief = {t: self._plain([t])[0] for t, o in zip(texts, odd) if o}
         known = {**self.known, **brief} if brief else self.known
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
         self._forget([piece for piece in new if len(piece) > CACHED_CHARS])
         return out
 
