@@ -69,8 +69,8 @@ def packed_terms(page_terms: DataFrame) -> DataFrame:
 
 def unpacked_terms(packed: DataFrame) -> DataFrame:
     """:func:`packed_terms` with their ``terms`` again."""
-    words = F.filter(F.split("words", " "), lambda word: word != "")
-    pairs = F.transform(F.arrays_zip(words.alias("word"), "counts"), lambda p: F.struct(p["word"].alias("word"), p["counts"].alias("tf")))
+    words = F.when(F.col("words") == "", F.array().cast("array<string>")).otherwise(F.split("words", " "))
+    pairs = F.arrays_zip(words.alias("word"), F.col("counts").alias("tf"))
     return packed.withColumn("terms", pairs).drop("words", "counts")
 
 
