@@ -14,7 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,11 @@ from ..sources.scratch import scratch_path
 
 END_ID = 0
 #: Bytes of the pieces and ids that one worker keeps, with what Python needs for each entry.
-CACHE_BYTES, ENTRY_BYTES = 160 << 20, 200
-#: Bytes of text that are encoded at once, at least one document.
-TEXT_BYTES = 2 << 20
-#: Longest piece that is kept.
-CACHED_CHARS = 64
+CACHE_BYTES, ENTRY_BYTES = 128 << 20, 160
+#: Bytes of text that are looked up at once, at least one document, and of new pieces that are encoded at once.
+TEXT_BYTES, NEW_BYTES = 4 << 20, 1 << 18
+#: Longest piece that is kept, in bytes.
+CACHED_BYTES = 64
 ROW_GROUP, PAGE_BYTES, PAGE_ROWS = 32 << 20, 1 << 20, 2000
 OUT = pa.schema(
     [("part", pa.int32()), ("doc_id", pa.int64()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()),
@@ -38,12 +38,47 @@ OUT = pa.schema(
 )
 
 
+def _bits(ascii_space: int, alnum: int, punctuation: int, high: int) -> np.ndarray:
+    """A number for every byte: white space, letters and digits, other signs, bytes from 0x80."""
+    kind = np.zeros(256, np.uint8)
+    kind[0x21:0x7F], kind[0x80:] = punctuation, high
+    kind[[c for c in range(128) if chr(c).isalnum()]] = alnum
+    kind[[0x20, *range(0x09, 0x0E)]] = ascii_space
+    return kind
+
+
+#: A text may be cut between two bytes if the first has a bit in AFTER that the second has in BEFORE.
+AFTER, BEFORE = _bits(0, 3, 1, 1), _bits(1, 0, 2, 0)
+#: Last bytes, and those before the last, of the white space beyond ASCII.
+WIDE_LAST, WIDE_MIDDLE = np.zeros(256, bool), np.zeros(256, bool)
+WIDE_LAST[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+WIDE_MIDDLE[[0xC2, 0x9A, 0x80, 0x81]] = True
+
+
+def _after_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space beyond ASCII may stand before each place; true for a few other signs."""
+    return WIDE_LAST[data[at - 1]] & WIDE_MIDDLE[data[at - 2]]
+
+
+def _pieces(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 on and the bytes of a column of texts or pieces, without nulls."""
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return places - places[0], whole[places[0] : places[-1]]
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, with repeated pieces encoded once.
 
-    The tokenizer of ``byte_bpe_50k.json`` never joins what stands before white space with the
-    white space, so a text is the sequence of its pieces ``\\s*\\S+`` and their ids follow each
-    other. New pieces are encoded together and their ids told apart by the bytes they stand for.
+    The tokenizer of ``byte_bpe_50k.json`` never joins a sign with white space behind it, nor an
+    ASCII letter or digit with another ASCII sign behind it. Texts are cut there, but for white
+    space beyond ASCII and inside added tokens, and the ids of the pieces follow each other. New
+    pieces are encoded together and their ids told apart by the bytes they stand for.
     """
 
     def __init__(self, path: str):
@@ -53,46 +88,106 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)])
-        self.pieces = re.compile(r"\s*[^\W_]++(?=[\s!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+\Z")
-        self.known: dict[str, bytes] = {}
-        self.kept = 0
-
-    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
-        self.known.update(zip(pieces, ids))
-        self.kept += sum(map(len, ids)) + sum(map(len, pieces)) + ENTRY_BYTES * len(pieces)
-
-    def _forget(self, pieces: list[str]) -> None:
-        for piece in pieces:
-            self.kept -= len(self.known.pop(piece)) + len(piece) + ENTRY_BYTES
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(re.escape(t.encode()) for t in added) or rb"(?!)")
+        # The pieces' numbers; their ids stand one after the other, `ends` tells where those of each piece end.
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+        self.used, self.turn = np.zeros(0, np.int32), 0
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, pieces: list[str]) -> None:
-        joined = [p for p in pieces if p[0].isspace() and not p[-1].isspace()]
-        ids = np.frombuffer(self._plain(["".join(joined)])[0], "<u4")
-        ends = np.cumsum([len(p.encode()) for p in joined])
-        at = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-        self._keep(joined, [ids[a:b].tobytes() for a, b in zip([0, *at[:-1]], at)])
-        rest = [p for p in pieces if not (p[0].isspace() and not p[-1].isspace())]
-        self._keep(rest, self._plain(rest))
+        return [np.array(e.ids, np.int32) for e in found]
+
+    def _cut(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Where pieces begin, and the end of the last; texts begin with a new piece."""
+        mark = np.zeros(len(data) + 1, bool)
+        np.not_equal(AFTER[data[:-1]] & BEFORE[data[1:]], 0, out=mark[1:-1])
+        high = np.flatnonzero(mark[1:-1] & (data[:-1] >= 0x80)) + 1
+        mark[high[_after_wide_space(data, high)]] = False
+        for token in self.added.finditer(data):
+            mark[token.start() + 1 : token.end()] = False
+        mark[offsets] = True
+        return np.flatnonzero(mark)
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all new pieces one after the other, and their number for each piece."""
+        offsets, data = _bytes_of(new)
+        first, last = data[offsets[:-1]], data[offsets[1:] - 1]
+        # These may stand one after the other as in a text.
+        apart = (BEFORE[first] & 1 > 0) & (AFTER[last] & 1 > 0)
+        high = np.flatnonzero(apart & (last >= 0x80))
+        apart[high] = ~_after_wide_space(data, offsets[1:][high])
+        counts, ids = np.zeros(len(new), np.int64), []
+        order = np.concatenate([np.flatnonzero(apart), np.flatnonzero(~apart)])
+        together, alone = new.filter(pa.array(apart)), new.filter(pa.array(~apart))
+        for part in _small(together, NEW_BYTES):
+            ends, joined = _bytes_of(part)
+            found = self._plain([joined.tobytes().decode()])[0]
+            at = np.searchsorted(np.cumsum(self.n_bytes[found]), ends[1:]) + 1
+            ids.append((found, np.diff(at, prepend=0)))
+        for part in _small(alone, NEW_BYTES):
+            found = self._plain([p.decode() for p in part.to_pylist()])
+            ids.append((np.concatenate(found), np.array([len(f) for f in found])))
+        counts[order] = np.concatenate([n for _, n in ids])
+        # Back in the order of the pieces.
+        flat = np.concatenate([f for f, _ in ids])
+        begin = np.zeros(len(new), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        return flat[_places(begin, counts)], counts
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and their number for each text."""
+        offsets, data = _bytes_of(texts)
+        cut, n, self.turn = self._cut(offsets, data), len(self.known), self.turn + 1
+        coded = _pieces(cut, data).dictionary_encode()
+        pieces = coded.dictionary
+        keys = pieces.to_numpy(zero_copy_only=False)  # far faster than to_pylist()
+        number = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(pieces))
+        self.used[number[number >= 0]] = self.turn
+        ids, ends = self.ids, self.ends
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            sizes = np.diff(_bytes_of(pieces)[0])[new]
+            kept = sizes <= CACHED_BYTES
+            new, n_kept = new[np.argsort(~kept, kind="stable")], int(kept.sum())
+            found, counts = self._learn(pieces.take(pa.array(new)))
+            number[new] = n + np.arange(len(new))
+            ids, ends = np.concatenate([ids, found]), np.concatenate([ends, len(ids) + np.cumsum(counts)])
+            # Long pieces stand last and are not kept.
+            self.known.update(zip(keys[new[:n_kept]], range(n, n + n_kept)))
+            self.ids, self.ends = ids[: len(ids) - counts[n_kept:].sum()], ends[: n + n_kept]
+            self.used = np.concatenate([self.used, np.full(n_kept, self.turn, np.int32)])
+            self.size += int(sizes[kept].sum())
+        number = number[coded.indices.to_numpy()]
+        counts = np.diff(ends, prepend=0)[number]
+        flat = ids[_places(ends[number] - counts, counts)]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        if self.size + self.ids.nbytes + ENTRY_BYTES * len(self.known) > CACHE_BYTES:
+            self._forget()
+        return flat, np.diff(before[np.searchsorted(cut, offsets)])
+
+    def _forget(self) -> None:
+        """Drop the half of the pieces that were not seen for longest."""
+        stay = np.sort(np.argsort(-self.used, kind="stable")[: len(self.used) // 2])
+        counts = np.diff(self.ends, prepend=0)
+        self.ids = self.ids[_places((self.ends - counts)[stay], counts[stay])]
+        self.ends, self.used = np.cumsum(counts[stay]), self.used[stay]
+        pieces = list(self.known)
+        self.known.clear()
+        self.known.update((pieces[i], n) for n, i in enumerate(stay.tolist()))
+        self.size = sum(map(len, self.known))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if self.kept > CACHE_BYTES:  # the older half goes; what is frequent comes back at once
-            self._forget(list(islice(self.known, (len(self.known) + 1) // 2)))
-        # Python counts \x1c to \x1f as white space, the tokenizer does not.
-        odd = [bool(re.search("[\x1c-\x1f]", t)) for t in texts]
-        cut = [[t] if o else self.pieces.findall(t) for t, o in zip(texts, odd)]
-        new = set().union(*(ps for ps, o in zip(cut, odd) if not o)) - self.known.keys()
-        if new:
-            self._learn(list(new))
-        brief = {t: self._plain([t])[0] for t, o in zip(texts, odd) if o}
-        known = {**self.known, **brief} if brief else self.known
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        self._forget([piece for piece in new if len(piece) > CACHED_CHARS])
-        return out
+        ids, counts = self.encode(pa.array(texts, pa.string()))
+        return [part.astype("<u4").tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+
+
+def _places(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``begin`` and the numbers after it, ``counts`` of them, for one entry after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @cache
@@ -103,16 +198,14 @@ def _encoder(path: str) -> Encoder:
 def _encode(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], "<u4").tobytes()
         for whole in batches:
-            for batch in _small(whole):
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                ids = [b + end for b in encoder(texts)]
-                counts = np.array([len(b) // 4 for b in ids], np.int64)
+            for batch in _small(whole, TEXT_BYTES):
+                ids, counts = encoder.encode(batch.column("text").cast(pa.string()).fill_null(""))
+                flat = np.insert(ids, np.cumsum(counts), END_ID)
+                counts = counts + 1
                 offsets = np.concatenate([[0], np.cumsum(counts)])
-                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat)
-                columns = [pa.array(np.full(len(ids), part, np.int32)), batch.column("doc_id"),
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+                columns = [pa.array(np.full(len(counts), part, np.int32)), batch.column("doc_id"),
                            pa.array(at + offsets[:-1]), pa.array(counts), lists]
                 at += int(offsets[-1])
                 yield pa.RecordBatch.from_arrays(columns, schema=OUT)
@@ -120,13 +213,13 @@ def _encode(path: str):
     return encode
 
 
-def _small(batch: pa.RecordBatch, n_bytes: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``n_bytes`` of text."""
-    if not batch.num_rows:
+def _small(rows, n_bytes: int):
+    """Runs of rows of a batch or an array with about ``n_bytes``."""
+    if not len(rows):
         return
-    rows = max(1, int(batch.num_rows * n_bytes / max(batch.nbytes, 1)))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+    step = max(1, int(len(rows) * n_bytes / max(rows.nbytes, 1)))
+    for at in range(0, len(rows), step):
+        yield rows.slice(at, step)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:

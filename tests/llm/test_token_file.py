@@ -76,3 +76,62 @@ def test_layout_and_selective_reads(spark, tmp_path):
 def test_empty_text_has_only_the_end(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [tuple(r) for r in token_file.token_table(df, PATH).collect()] == expected([(1, text)])
+
+
+class Counted(dict):
+    """A dict that counts how often it is asked."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_a_repeated_piece_is_looked_up_once_for_all_texts():
+    encoder, texts = token_file.Encoder(PATH), ["a cat, a dog and a cat-like dog, it's so."] * 500
+    encoder.known = Counted(encoder.known)
+    want = Tokenizer.from_file(PATH).encode(texts[0], add_special_tokens=False).ids
+    for _ in range(2):
+        assert {tuple(np.frombuffer(b, "<u4")) for b in encoder(texts)} == {tuple(want)}
+    assert encoder.known.asked < 100
+
+
+def test_pieces_in_use_outlast_those_seen_once(monkeypatch):
+    encoder = token_file.Encoder(PATH)
+    encoder([" often"])
+    monkeypatch.setattr(token_file, "CACHE_BYTES", 40_000)
+    asked, plain = [], encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda texts: asked.extend(texts) or plain(texts))
+    for i in range(100):
+        encoder([" often" + "".join(f" w{i}x{j}" for j in range(20))])
+    assert len(encoder.known) < 1000
+    assert not any("often" in text for text in asked)
+
+
+def test_encoder_equals_the_library_on_random_signs(monkeypatch):
+    monkeypatch.setattr(token_file, "CACHE_BYTES", 60_000)
+    monkeypatch.setattr(token_file, "NEW_BYTES", 300)
+    white = [chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x202F, 0x205F, 0x3000)]
+    signs = ["'s", "'ll", "'", "<|endoftext|>", "<|", "endoftext", *"éàïßΩ×日語…’”٣½𝒳ab1,.-_()", "the", "\0", "\x7f", "́", "\U0001f600"]
+    random, encoder, tokenizer = np.random.default_rng(3), token_file.Encoder(PATH), Tokenizer.from_file(PATH)
+    for _ in range(60):
+        texts = ["".join(random.choice([*white, *[" "] * 20, *signs, *signs], n)) for n in random.integers(0, 40, 50)]
+        texts.append("".join(texts))
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder(texts)] == want
+
+
+def test_other_string_types_and_nulls_among_texts(spark):
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        rows = [(1, "a b"), (2, None), (3, ""), (4, "c　  d")]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = token_file.token_table(df, PATH).orderBy("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+    assert [tuple(r) for r in got] == expected(rows)
