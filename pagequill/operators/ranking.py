@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import requests as rq
 from ..functions.text import _col
 from ..sizing import KeySide, is_small, join_on_key, key_side
+from ..sources.tables import BUCKETS
 from .toplist import top_per_group
 from .words import with_counts
 
@@ -155,14 +156,39 @@ def redirect_resolve(scored: DataFrame, page_targets: DataFrame) -> DataFrame:
     """Adds the ``result_id`` that stands for each page; pages without one drop out.
 
     ``home``, the result's id where a page has one, is dropped again: scores that lie by it are resolved
-    and reduced to their results without a shuffle of them.
+    and reduced to their results without a shuffle of them. ``page_targets`` has one row per page.
     """
     if "home" not in scored.columns:
         return scored.join(page_targets, "id")
-    targets = page_targets.withColumn("home", F.col("result_id"))
-    targets = targets.hint("broadcast" if is_small(targets) else "shuffle_hash")
     kept = [c for c in scored.columns if c not in ("id", "home")]
-    return scored.join(targets, ["home", "id"]).select("id", *kept, F.col("home").alias("result_id"))
+    targets = page_targets.withColumn("home", F.col("result_id"))
+    buckets = scored.schema["home"].metadata.get(BUCKETS)
+    small = is_small(targets)
+    if small or buckets is None:
+        resolved = scored.join(targets.hint("broadcast" if small else "shuffle_hash"), ["home", "id"])
+    else:
+        # A join by home and id would deal out all scores again; one by home alone leaves them in their buckets.
+        resolved = scored.join(answered_pages(targets, buckets).hint("shuffle_hash"), "home")
+        own = F.col("id") == F.col("home")
+        resolved = resolved.where(F.when(own, F.col("_own")).otherwise(in_sorted("_others", "id")))
+    return resolved.select("id", *kept, F.col("home").alias("result_id"))
+
+
+def answered_pages(targets: DataFrame, buckets: int) -> DataFrame:
+    """``(home, _own, _others)``: whether a result stands for itself, and the sorted ids of the other pages it stands for."""
+    own = F.col("id") == F.col("home")
+    return targets.repartition(buckets, "home").groupBy("home").agg(
+        F.coalesce(F.max(own), F.lit(False)).alias("_own"),
+        F.sort_array(F.collect_list(F.when(~own, F.col("id")))).alias("_others"),
+    )
+
+
+def in_sorted(values: Column | str, value: Column | str) -> Column:
+    """Whether the sorted array ``values`` has the ``value``, by halving."""
+    c, v = _col(values), _col(value)
+    steps = F.filter(F.array(*[F.lit(1 << b) for b in range(30, -1, -1)]), lambda s: s <= F.size(c))
+    not_above = F.aggregate(steps, F.lit(0), lambda n, s: n + F.when(F.get(c, n + s - 1) <= v, s).otherwise(0))
+    return F.coalesce(F.get(c, not_above - 1) == v, F.lit(False))
 
 
 def body_places(hits: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..sizing import stored
+from ..sizing import held, is_small, stored
 
 #: Endings, in lower case, of the files that the text source decompresses.
 PACKED = (".bz2", ".gz", ".deflate", ".lz4", ".snappy", ".zst")
@@ -128,10 +128,12 @@ def _records(
     names = [c for c in cut.columns if c not in place]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
     pieces = stored(cut.mapInArrow(_with_place, f"{schema}, at long"), "pieces")
-    # One row per split; adaptive execution broadcasts them if they are few.
+    # One row per split. The join must know that they are few before it starts, or it shuffles the records.
+    splits, few = held(_splits(spark, pieces, start, end), "splits")
+    small = few is not None or is_small(splits)
     return (
         pieces.where("starts")
-        .join(_splits(spark, pieces, start, end), ["path", "split"])
+        .join(F.broadcast(splits) if small else splits, ["path", "split"])
         .where(~F.col("at").eqNullSafe(F.col("open_at")))
         .select("path", (F.col("split_at") + F.col("at") + F.col("before_tag")).alias("offset"), *names)
     )

@@ -20,7 +20,7 @@ from ..operators import titles as tl, words as wd
 from ..operators.ranking import log_pico
 from ..sizing import is_small
 from .scratch import remove_folder
-from .tables import CODEC, store_by_title, store_sorted
+from .tables import BUCKETS, CODEC, store_by_title, store_sorted
 
 #: Most pages and postings of a bucket, on average: a task sorts the postings of a bucket, and a search keeps a row
 #: for each request and page of it. Small corpora have smaller buckets that keep all cores busy.
@@ -128,7 +128,10 @@ def bucket_counts(spark: SparkSession, n_pages: int, n_postings: int) -> tuple[i
 
 
 def _table(spark: SparkSession, path: str, page_buckets: int) -> DataFrame:
-    """The bucketed postings below ``path`` as a table of this session's catalog."""
+    """The bucketed postings below ``path`` as a table of this session's catalog.
+
+    The column ``home`` knows how many buckets there are.
+    """
     name = f"pagequill_{uuid.uuid4().hex}"
     key = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(key)
@@ -139,7 +142,7 @@ def _table(spark: SparkSession, path: str, page_buckets: int) -> DataFrame:
             f"CREATE TABLE {name} ({_POSTING}, word_bucket INT) USING parquet PARTITIONED BY (word_bucket) "
             f"CLUSTERED BY (home) SORTED BY (word, band, id) INTO {page_buckets} BUCKETS LOCATION '{path}'"
         )
-        return spark.table(name)
+        return spark.table(name).withMetadata("home", {BUCKETS: page_buckets})
     finally:
         spark.conf.set(key, before)
 

@@ -11,7 +11,7 @@ BUCKET_ROWS, MOST_BUCKETS = 1 << 14, 1 << 16
 RANGE_ROWS, MOST_RANGES = 1 << 14, 1 << 12
 #: Compression of large tables.
 CODEC = "zstd"
-#: Metadata of the column ``id_bucket`` of a page store.
+#: Metadata of the column ``id_bucket`` of a page store, and of ``home`` of an index.
 BUCKETS = "buckets"
 
 

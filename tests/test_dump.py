@@ -110,6 +110,15 @@ def test_a_dump_is_read_once(spark, tmp_path, monkeypatch):
     assert "FileScan text" not in plan and found.count() == 99 and len(scans) == 1
 
 
+def test_records_are_not_shuffled(spark, tmp_path):
+    """Places of splits go to the records, not the records to them."""
+    paths = [write(tmp_path / f"{i}.xml", "<page>é</page> <page>b</page>") for i in range(3)]
+    loaded = pq.load_dump_offsets(spark, paths)
+    assert rows(loaded, "offset", "raw") == [(0, "<page>é</page>")] * 3 + [(16, "<page>b</page>")] * 3
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_export_is_ordered_over_all_files(spark, tmp_path):
     df = spark.createDataFrame([(f"w{i % 50}", i, i * 2) for i in range(500)], "word string, id long, tf long")
     out = str(tmp_path / "tsv")

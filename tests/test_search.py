@@ -432,6 +432,42 @@ def test_scores_that_lie_by_home_are_resolved_there(spark, corpora):
     )
 
 
+def test_many_targets_do_not_move_the_scores(spark, tmp_path, monkeypatch):
+    """Beyond the limit of a broadcast, scores of an index stay in their buckets until they are results."""
+    words = " ".join(["the heat"] * 60)
+    pages = [(i, f"Page {i}", "", "", words + " sun" * i) for i in range(40)]
+    # Many redirects to one page, few to others, and short pages without a result.
+    pages += [(100 + i, f"Other {i}", f"Page {0 if i < 70 else i % 40}", "", "the heat") for i in range(90)]
+    pages += [(200 + i, f"Short {i}", "", "", "the sun") for i in range(30)]
+    index = pq.write_index(spark.createDataFrame(pages, PAGE_SCHEMA), str(tmp_path / "index"), page_buckets=3)
+    requests = spark.createDataFrame([(1, "10 the heat"), (2, "5 sun the")], REQUEST_SCHEMA)
+    terms = rk.distinct_terms(pq.parse_request(requests))
+
+    def resolved(*columns, targets=index.page_targets):
+        postings = index.paged.select("word", "id", "tf", "n_words", "max_tf", *columns)
+        return pq.redirect_resolve(pq.score_by_length(pq.term_lookup(terms, postings, index.vocabulary)), targets)
+
+    some = index.page_targets.where("id % 3 > 0").unionByName(spark.createDataFrame([(5, 6), (None, 7), (8, None)], "id long, result_id long"))
+    plain, plain_some = rows(resolved()), rows(resolved("home", targets=some))
+    best = rows(pq.dedup_results(rk.body_places(resolved())).select("request_id", "id", "place.*"))
+    monkeypatch.setattr(sizing.is_small, "__defaults__", (2, 10))
+    found = resolved("home")
+    assert found.columns == resolved().columns and rows(found) == plain and len(plain) == 2 * 130
+    assert rows(resolved("home", targets=some)) == plain_some and 0 < len(plain_some) < len(plain)
+    places = pq.dedup_results(rk.body_places(found))
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [home" in plan and "hashpartitioning(request_id" not in plan
+    assert re.findall(r"Exchange hashpartitioning\(home[^)]*\), (\w+)", plan) == ["REPARTITION_BY_NUM"]
+    assert rows(places.select("request_id", "id", "place.*")) == best and len(best) == 2 * 40
+
+
+def test_a_value_in_a_sorted_array(spark):
+    numbers = [-7, -7, 0, 3, 4, 9, 9, 12, 40]
+    asked = spark.createDataFrame([(n, numbers[:n], v) for n in range(10) for v in range(-9, 42)] + [(0, [1], None)], "n int, l array<int>, v int")
+    for row in asked.select("l", "v", rk.in_sorted("l", "v").alias("found")).collect():
+        assert row["found"] == (row["v"] in row["l"])
+
+
 def test_matches_that_lie_by_id_are_not_shuffled(spark):
     """Scores of dealt pages: nothing but page rows, page statistics and few terms goes through an exchange."""
     pages = spark.createDataFrame([(i, "the heat of " + "x" * (i % 5 + 1)) for i in range(50)], "id long, content string")
